@@ -85,9 +85,7 @@ def norm_email(c) -> Column:
     """Email key: NFKC, trim, lower, one ``mailto:`` dropped, trim, outer
     quote/angle characters dropped, trim, then every whitespace or zero-width
     character deleted wherever it is."""
-    raw = text(c)
-    non_ascii = F.when(raw.rlike(r"[^\x00-\x7F]"), raw)
-    s = F.lower(F.btrim(F.coalesce(nfkc(non_ascii), raw), F.lit(WHITESPACE)))
+    s = F.lower(F.btrim(nfkc(text(c)), F.lit(WHITESPACE)))
     n = len(S.MAILTO_PREFIX)
     s = F.when(s.startswith(S.MAILTO_PREFIX), s.substr(F.lit(n + 1), F.length(s))).otherwise(s)
     s = F.btrim(F.btrim(F.btrim(s, F.lit(WHITESPACE)), F.lit(EMAIL_QUOTE_CHARS)), F.lit(WHITESPACE))

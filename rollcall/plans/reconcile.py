@@ -83,9 +83,16 @@ def reconcile_zone(
     add: DataFrame | None = None,
     zone: str | None = None,
     gen: int = 1,
+    materialize=None,
 ) -> ZoneRun:
     """Reconcile one zone. ``gen`` stamps appended rows and must exceed every
-    ``_gen`` already in the userbase so they sort after it."""
+    ``_gen`` already in the userbase so they sort after it.
+
+    ``materialize`` (e.g. ``lambda df: df.checkpoint()``) is applied to the
+    per-row flag and duplicate tables, which feed both the table and the
+    summary; a job passes it so that neither is computed twice and lineage
+    is cut at a reliable copy."""
+    keep = materialize or (lambda df: df)
     ub = prepare_userbase(userbase)
     S.require_columns(roster, (S.GLOBAL_ID, S.EMAIL), "Zones roster tab")
     if S.ORD not in roster.columns:
@@ -109,19 +116,28 @@ def reconcile_zone(
     )
     keys_r = match.key_index(keyed_r, match.RID, match.ACT)
 
-    probes = [keys_r]
-    keys_a = add_valid = None
+    # One probe table for roster and add list: one semi-join against ``exists``.
+    probe = keys_r.select(F.lit("r").alias("_src"), match.RID, match.ACT, match.TIER, match.KEY)
+    add_valid = None
     if add is not None:
         add_valid = clean.valid_rows(add)
         keyed_a = match.with_norm_keys(add_valid.withColumn(match.RID, F.col(S.ORD)))
-        keys_a = match.key_index(keyed_a, match.RID)
-        probes.append(keys_a)
+        keys_a = match.key_index(keyed_a, match.RID).select(
+            F.lit("a").alias("_src"), match.RID, F.lit(None).cast("string").alias(match.ACT), match.TIER, match.KEY
+        )
+        probe = probe.unionByName(keys_a)
 
-    cands = match.candidates(keys_u, match.probed_keys(*probes))
+    cands = match.candidates(keys_u, match.probed_keys(probe))
     exists = match.existing_keys(cands)
-    winners = match.cascade_match(keys_r, exists, match.RID, match.ACT)
+    hit = probe.join(exists, [match.TIER, match.KEY], "left_semi")
+    winners = (
+        hit.filter(F.col("_src") == "r")
+        .groupBy(match.RID, match.ACT)
+        .agg(F.min(F.struct(match.TIER, match.KEY)).alias("_w"))
+        .select(match.RID, match.ACT, F.col("_w." + match.TIER).alias(match.TIER), F.col("_w." + match.KEY).alias(match.KEY))
+    )
     flags = match.key_flags(winners)
-    rflags = match.row_flags(cands, flags)
+    rflags = keep(match.row_flags(cands, flags))
 
     decided = update.with_row_decisions(ub, rflags, zone)
 
@@ -130,21 +146,25 @@ def reconcile_zone(
     columns = ub.columns
     add_new = add_existing = appended = None
     if add is not None:
-        hit_ids = match.matched_rows(keys_a, exists).withColumnRenamed(match.RID, S.ORD)
+        hit_ids = hit.filter(F.col("_src") == "a").select(F.col(match.RID).alias(S.ORD))
         add_new = add_valid.join(hit_ids, S.ORD, "left_anti")
         add_existing = add_valid.join(hit_ids, S.ORD, "left_semi")
         appended = update.append_new(add_new, columns, zone, gen)
 
     # Keep-first dedupe over survivors then appended rows; blank emails exempt.
+    # The tier-1 rows of the key table are exactly the non-blank email keys.
     e = match.E
     survivors = (
-        keyed_u.select(S.GEN, S.ORD, e)
+        keys_u.filter(F.col(match.TIER) == S.TIER_EMAIL)
+        .select(S.GEN, S.ORD, F.col(match.KEY).alias(e))
         .join(rflags.filter(F.col(match.D)).select(S.GEN, S.ORD), [S.GEN, S.ORD], "left_anti")
     )
     rows = survivors
     if appended is not None:
-        rows = rows.unionByName(match.with_norm_keys(appended).select(S.GEN, S.ORD, e))
-    dups = duplicate_rows(rows.filter(F.col(e) != ""), e)
+        rows = rows.unionByName(
+            match.with_norm_keys(appended).select(S.GEN, S.ORD, e).filter(F.col(e) != "")
+        )
+    dups = keep(duplicate_rows(rows, e))
 
     kept_ub = (
         update.apply_status(update.remove_rows(decided))
