@@ -152,3 +152,26 @@ def zone_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias(S.NAME),
         k.cast("bigint").alias(S.ORD),
     )
+
+
+SECOND_ZONE = "EUROPE"
+
+
+def roster_second_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roster of a second zone run: the customers the first roster left
+    out (``k % 3 = 2``), no local-id column, actions by ``k % 4``."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    k = F.col("c_custkey")
+    email = (
+        F.when(k % 6 == 5, F.concat(F.lit("User"), _s(k), F.lit("@corp.com")))
+        .otherwise(F.concat(F.lit("other"), _s(k), F.lit("@corp.com")))
+    )
+    m = k % 4
+    action = F.when(m == 0, F.lit("remove")).when(m == 1, F.lit("")).otherwise(F.lit("ok"))
+    return c.filter(k % 3 == 2).select(
+        F.col("c_name").alias(S.NAME),
+        email.alias(S.EMAIL),
+        _s(k).alias(S.GLOBAL_ID),
+        action.alias(S.ACTION),
+        k.cast("bigint").alias(S.ORD),
+    )

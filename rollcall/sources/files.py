@@ -31,6 +31,15 @@ BROADCAST_MAX_FILES = 200_000
 _ROW_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):/+"
+
+
+def _path_key(c):
+    """File path in one spelling for both the listing and ``_metadata``:
+    URL-decoded, scheme slashes collapsed (``file:///x`` == ``file:/x``)."""
+    return F.regexp_replace(F.url_decode(c), _SCHEME, "$1:/")
+
+
 def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
     """Column names from the header line only (no data job beyond one line)."""
     df = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
@@ -60,12 +69,13 @@ def read_delimited(
     files = sorted(raw.inputFiles())
     if len(files) >= MAX_FILES:
         raise ValueError(f"{len(files)} input files exceed the {MAX_FILES} the ordinal can number")
-    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_path string, _rank long")
+    ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_listed string, _rank long")
+    ranks = ranks.select(_path_key(F.regexp_replace("_listed", "%", "%25")).alias("_path"), "_rank")
     if len(files) <= BROADCAST_MAX_FILES:
         ranks = F.broadcast(ranks)
     with_pos = raw.select(
         "*",
-        F.col("_metadata.file_path").alias("_path"),
+        _path_key(F.col("_metadata.file_path")).alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         (F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))).alias("_row"),
     )
