@@ -39,7 +39,7 @@ from rollcall.operators.zone import resolve_zones  # noqa: E402
 from rollcall.plans import diagnose as diag  # noqa: E402
 from rollcall.plans import jobs  # noqa: E402
 from rollcall.plans.reconcile import reconcile_zone  # noqa: E402
-from rollcall.session import scratch_path  # noqa: E402
+from rollcall.session import scratch_path, written_table  # noqa: E402
 from rollcall.sources import derived, files, snapshots, tabs  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -77,9 +77,14 @@ def _inputs(spark, sf):
     return derived.userbase(spark, sf), derived.roster(spark, sf), derived.add_list(spark, sf)
 
 
-def _run(spark, sf):
+def _run(spark, sf, materialize: bool = False):
+    """The zone run over the derived inputs. Queries that need the final
+    table or the counters materialise the three small fan-in tables (as the
+    jobs do) so no part of the plan is computed twice; queries that stop
+    earlier keep one lazy plan."""
     ub, ros, add = _inputs(spark, sf)
-    return reconcile_zone(ub, ros, add, zone=ZONE)
+    hook = written_table(spark, "zone-run") if materialize else None
+    return reconcile_zone(ub, ros, add, zone=ZONE, materialize=hook)
 
 
 def _diag(spark, sf):
@@ -129,7 +134,7 @@ def q_read_export_sheet(spark, sf):
 def q_write_snapshot(spark, sf):
     base = scratch_path(spark, "snapshots")
     snapshots.write_snapshot(derived.userbase(spark, sf), base, 0)
-    run = _run(spark, sf)
+    run = _run(spark, sf, materialize=True)
     snapshots.write_snapshot(run.table, base, 1)
     return short(snapshots.read_snapshot(spark, base), FINAL)
 
@@ -278,7 +283,7 @@ def q_row_flags(spark, sf):
 
 
 def q_reconcile_summary(spark, sf):
-    return _run(spark, sf).summary
+    return _run(spark, sf, materialize=True).summary
 
 
 def q_diagnose_summary(spark, sf):
@@ -324,12 +329,12 @@ def q_topk_per_key(spark, sf):
 
 
 def q_stable_order(spark, sf):
-    t = _run(spark, sf).table
+    t = _run(spark, sf, materialize=True).table
     return short(t.orderBy(S.GEN, S.ORD), ["gen", "ord", "email", "status"])
 
 
 def q_reconcile_zone(spark, sf):
-    return short(_run(spark, sf).table, FINAL)
+    return short(_run(spark, sf, materialize=True).table, FINAL)
 
 
 def q_run_zone(spark, sf):

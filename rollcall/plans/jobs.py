@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rollcall import schema as S
 from rollcall.operators.clean import clean_export
 from rollcall.plans.reconcile import reconcile_zone
-from rollcall.session import case_sensitive, shared_dir
+from rollcall.session import case_sensitive, written_table
 from rollcall.sources import snapshots
 
 CLEAN_MODES = ("auto", "never", "force")
@@ -45,8 +45,7 @@ def should_clean(columns, clean: str) -> bool:
 
 
 def _checkpointer(spark: SparkSession):
-    shared_dir(spark)
-    return lambda df: df.checkpoint(eager=True)
+    return written_table(spark, "zone-run")
 
 
 def run_zone(

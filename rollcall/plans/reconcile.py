@@ -3,11 +3,11 @@
 Shape of the plan (every arrow a Spark operator, no driver loop):
 
     userbase --narrow--> keys_u(_tier,_key,_gen,_ord)  (blank keys dropped)
-    roster/add --narrow--> probe keys --distinct--> probed
-    keys_u LEFT SEMI probed          -> cands   (map-side when probed is small)
+    roster/add --narrow--> probe keys
+    keys_u LEFT SEMI probe keys      -> cands   (map-side when probe is small)
     cands.distinct(_tier,_key)       -> exists
-    roster keys SEMI exists, min(struct(tier,key)) per roster row -> winners
-    winners groupBy key              -> key flags (one row per key)
+    probe SEMI exists, min(struct(tier,key)) per probe row -> hits
+    roster hits groupBy key          -> key flags (one row per key)
     cands JOIN key flags, groupBy row -> row flags (<= 3 rows meet per row)
     userbase LEFT JOIN row flags     -> statuses, removals
     add keys SEMI exists             -> skipped; the rest are appended
@@ -88,10 +88,10 @@ def reconcile_zone(
     """Reconcile one zone. ``gen`` stamps appended rows and must exceed every
     ``_gen`` already in the userbase so they sort after it.
 
-    ``materialize`` (e.g. ``lambda df: df.checkpoint()``) is applied to the
-    per-row flag and duplicate tables, which feed both the table and the
-    summary; a job passes it so that neither is computed twice and lineage
-    is cut at a reliable copy."""
+    ``materialize`` (e.g. ``session.written_table(spark)``) is applied to
+    the three small fan-in tables (probe hits, per-row flags, duplicates),
+    each of which feeds several later steps; a job passes it so that none
+    is computed twice and lineage is cut at a reliable copy."""
     keep = materialize or (lambda df: df)
     ub = prepare_userbase(userbase)
     S.require_columns(roster, (S.GLOBAL_ID, S.EMAIL), "Zones roster tab")
@@ -127,15 +127,13 @@ def reconcile_zone(
         )
         probe = probe.unionByName(keys_a)
 
-    cands = match.candidates(keys_u, match.probed_keys(probe))
+    # The probe table is broadcast into the semi-join when small (duplicates
+    # are harmless there), so the userbase key table is filtered map-side.
+    cands = match.candidates(keys_u, probe.select(match.TIER, match.KEY))
     exists = match.existing_keys(cands)
-    hit = probe.join(exists, [match.TIER, match.KEY], "left_semi")
-    winners = (
-        hit.filter(F.col("_src") == "r")
-        .groupBy(match.RID, match.ACT)
-        .agg(F.min(F.struct(match.TIER, match.KEY)).alias("_w"))
-        .select(match.RID, match.ACT, F.col("_w." + match.TIER).alias(match.TIER), F.col("_w." + match.KEY).alias(match.KEY))
-    )
+    # First hitting tier per probe row, roster and add list in one aggregate.
+    hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT))
+    winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
     rflags = keep(match.row_flags(cands, flags))
 
@@ -146,7 +144,7 @@ def reconcile_zone(
     columns = ub.columns
     add_new = add_existing = appended = None
     if add is not None:
-        hit_ids = hit.filter(F.col("_src") == "a").select(F.col(match.RID).alias(S.ORD))
+        hit_ids = hits.filter(F.col("_src") == "a").select(F.col(match.RID).alias(S.ORD))
         add_new = add_valid.join(hit_ids, S.ORD, "left_anti")
         add_existing = add_valid.join(hit_ids, S.ORD, "left_semi")
         appended = update.append_new(add_new, columns, zone, gen)

@@ -78,3 +78,17 @@ def case_sensitive(spark: SparkSession):
 
 def env_path(name: str, default: str) -> str:
     return os.environ.get(name, default)
+
+
+def written_table(spark: SparkSession, name: str = "stage"):
+    """A ``materialize`` hook: write the DataFrame as parquet under the shared
+    folder and continue from the written copy. One job per table (an eager
+    ``checkpoint()`` computes its input twice), lineage is cut, and a lost
+    executor costs a re-read, not a recompute."""
+
+    def hook(df):
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    return hook
