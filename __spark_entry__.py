@@ -87,9 +87,10 @@ def _run(spark, sf, materialize: bool = False):
     return reconcile_zone(ub, ros, add, zone=ZONE, materialize=hook)
 
 
-def _diag(spark, sf):
+def _diag(spark, sf, materialize: bool = False):
     ub, ros, add = _inputs(spark, sf)
-    return diag.diagnose(ub, ros, add)
+    hook = written_table(spark, "diagnose") if materialize else None
+    return diag.diagnose(ub, ros, add, materialize=hook)
 
 
 # ---- sources / sinks -------------------------------------------------------
@@ -287,7 +288,7 @@ def q_reconcile_summary(spark, sf):
 
 
 def q_diagnose_summary(spark, sf):
-    return _diag(spark, sf).summary
+    return _diag(spark, sf, materialize=True).summary
 
 
 def q_removal_wins(spark, sf):
@@ -346,7 +347,7 @@ def q_run_zone(spark, sf):
 
 
 def q_nearmiss_report(spark, sf):
-    return short(_diag(spark, sf).report)
+    return short(_diag(spark, sf, materialize=True).report)
 
 
 def q_accumulate_zones(spark, sf):

@@ -52,7 +52,7 @@ def unmatched_roster(userbase: DataFrame, roster: DataFrame) -> DataFrame:
     keys_u = match.key_index(keyed_u, S.GEN, S.ORD)
     keyed_r = match.with_norm_keys(roster.withColumn(match.RID, F.col(S.ORD)))
     keys_r = match.key_index(keyed_r, match.RID)
-    cands = match.candidates(keys_u, match.probed_keys(keys_r))
+    cands = match.candidates(keys_u, keys_r.select(match.TIER, match.KEY))
     hit = keys_r.join(match.existing_keys(cands), [match.TIER, match.KEY], "left_semi")
     return keyed_r.join(hit.select(match.RID), match.RID, "left_anti")
 
@@ -156,7 +156,11 @@ def diagnose_summary(userbase, roster, add, unmatched) -> DataFrame:
     )
 
 
-def diagnose(userbase: DataFrame, roster: DataFrame, add: DataFrame | None = None) -> Diagnosis:
+def diagnose(userbase: DataFrame, roster: DataFrame, add: DataFrame | None = None, materialize=None) -> Diagnosis:
+    """``materialize`` (e.g. ``session.written_table(spark)``) is applied to
+    the unmatched rows, which feed all three clue joins and the report."""
     un = unmatched_roster(userbase, roster)
+    if materialize is not None:
+        un = materialize(un)
     e, g, n = nearmiss_email(userbase, un), nearmiss_gid(userbase, un), nearmiss_name(userbase, un)
     return Diagnosis(un, e, g, n, nearmiss_report(un, e, g, n), diagnose_summary(userbase, roster, add, un))

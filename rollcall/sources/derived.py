@@ -17,8 +17,18 @@ from rollcall import schema as S
 TEST_ZONE = "AMERICA"
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table. The DataFrame (a plan, not data) is kept per session
+    and path, so repeated queries skip re-listing and footer schema reads."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _s(c: Column) -> Column:
