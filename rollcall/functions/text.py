@@ -30,6 +30,11 @@ EMAIL_QUOTE_CHARS = "\"'<>"
 # --- end of fixed values ---
 
 WHITESPACE = "".join(map(chr, WHITESPACE_CODEPOINTS))
+_WS_CHARS = list(WHITESPACE)
+# Printable ASCII without space, quotes, angle brackets and colon: for such
+# values NFKC, trimming, ``mailto:``/quote stripping and deletion are no-ops,
+# so the email key is just the lower-cased value.
+_PLAIN_EMAIL = r"^[!#-&(-9;=?-~]*\z"
 EMAIL_DELETE = WHITESPACE + "".join(map(chr, ZERO_WIDTH_CODEPOINTS))
 
 _NUMERIC = (T.FloatType, T.DoubleType)
@@ -45,9 +50,19 @@ def text(c) -> Column:
     return F.coalesce(_c(c).cast("string"), F.lit(""))
 
 
+def _strip_text(t: Column) -> Column:
+    """Python ``str.strip()`` of a non-null string column.
+
+    Fast path: trim spaces (cheap), and only when another whitespace
+    character is left at either end run the full 29-character trim."""
+    s = F.trim(t)
+    other_ws = F.substring(s, 1, 1).isin(*_WS_CHARS) | F.substring(s, -1, 1).isin(*_WS_CHARS)
+    return F.when(other_ws, F.btrim(s, F.lit(WHITESPACE))).otherwise(s)
+
+
 def strip(c) -> Column:
     """Unicode trim with Python's whitespace set; null -> ''."""
-    return F.btrim(text(c), F.lit(WHITESPACE))
+    return _strip_text(text(c))
 
 
 def fold(c) -> Column:
@@ -78,25 +93,36 @@ def norm_id(c, data_type: T.DataType | None = None) -> Column:
         )
     if isinstance(data_type, _INTEGRAL):
         return text(col)
-    return F.regexp_replace(strip(col), r"^(\p{Nd}+)\.0$", "$1")
+    # One regex pass, but only over values that end in ``.0``.
+    t = strip(col)
+    return F.when(t.endswith(".0"), F.regexp_replace(t, r"^(\p{Nd}+)\.0\z", "$1")).otherwise(t)
 
 
 def norm_email(c) -> Column:
     """Email key: NFKC, trim, lower, one ``mailto:`` dropped, trim, outer
     quote/angle characters dropped, trim, then every whitespace or zero-width
     character deleted wherever it is."""
-    s = F.lower(F.btrim(nfkc(text(c)), F.lit(WHITESPACE)))
-    n = len(S.MAILTO_PREFIX)
-    s = F.when(s.startswith(S.MAILTO_PREFIX), s.substr(F.lit(n + 1), F.length(s))).otherwise(s)
-    s = F.btrim(F.btrim(F.btrim(s, F.lit(WHITESPACE)), F.lit(EMAIL_QUOTE_CHARS)), F.lit(WHITESPACE))
-    return F.translate(s, EMAIL_DELETE, "")
+    raw = text(c)
+    # Slow path for everything else; each step reads its input once, so the
+    # expression stays linear in size.
+    ws = F.lit(WHITESPACE)
+    s = F.lower(F.btrim(nfkc(raw), ws))
+    s = F.regexp_replace(s, "^" + S.MAILTO_PREFIX, "")
+    s = F.btrim(F.btrim(F.btrim(s, ws), F.lit(EMAIL_QUOTE_CHARS)), ws)
+    full = F.translate(s, EMAIL_DELETE, "")
+    return F.when(raw.rlike(_PLAIN_EMAIL), F.lower(raw)).otherwise(full)
 
 
 def valid_email_predicate(c) -> Column:
     """Filter form: null for null input (dropped by ``filter``), so the
     ``contains('@')`` part pushes down to parquet as StringContains."""
     col = _c(c).cast("string")
-    return col.contains("@") & ~col.rlike("(?iu)" + S.NOEMAIL_MARKER)
+    # Case-insensitive ``noemail@`` as Python's re.IGNORECASE sees it. Lower-
+    # casing agrees except for dotted and dotless i, which take the regex.
+    marker = F.lower(col).contains(S.NOEMAIL_MARKER) | (
+        (col.contains("\u0130") | col.contains("\u0131")) & col.rlike("(?iu)" + S.NOEMAIL_MARKER)
+    )
+    return col.contains("@") & ~marker
 
 
 def valid_email(c) -> Column:

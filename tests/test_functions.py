@@ -110,3 +110,42 @@ def test_small_helpers(spark):
     assert _eval(spark, ["00111", "000", "10"], strip_leading_zeros) == ["111", "", "10"]
     assert _eval(spark, ["ok", " OK ", "", "  ", "Left", None], action_class) == [
         "validate", "validate", "noop", "noop", "remove", "noop"]
+
+
+def _random_values(seed, alphabet, n=400, size=10):
+    import random
+
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, size))) for _ in range(n)] + [None]
+
+
+def test_strip_random(spark):
+    values = _random_values(1, list("ab ") + list(WHITESPACE) + ["​", "é"])
+    assert _eval(spark, values, strip) == [(v or "").strip() for v in values]
+
+
+def test_norm_id_random(spark):
+    def py(v):
+        s = (v or "").strip()
+        if s.endswith(".0") and s[:-2].isdigit() and all(ch in "0123456789" or not ch.isascii() for ch in s[:-2]):
+            s = s[:-2]
+        return s
+
+    values = _random_values(2, list("0123.") + ["\n", "\r", " ", "٣", "x"], size=7)
+    got = _eval(spark, values, norm_id)
+    want = [py(v) for v in values]
+    assert got == want
+
+
+def test_valid_email_random(spark):
+    import re
+
+    def py(v):
+        if v is None:
+            return False
+        e = v.strip()
+        return e != "" and "@" in e and not re.search("noemail@", e, re.IGNORECASE)
+
+    values = _random_values(3, list("noemailNOEMAIL@ x") + ["İ", "ı", "ſ"], size=12)
+    values += ["noemaİl@x", "NOEMAıL@y", "nöemail@z"]
+    assert _eval(spark, values, valid_email) == [py(v) for v in values]
