@@ -65,13 +65,13 @@ def run_zone(
     data_cols = [c for c in current.columns if c not in (S.GEN, S.ORD)]
     do_clean = should_clean(data_cols, clean)
     missing = S.missing_keep_columns(data_cols) if do_clean else []
+    hook = _checkpointer(spark)
     with case_sensitive(spark):
         userbase = clean_export(current) if do_clean else current
-        run = reconcile_zone(
-            userbase, roster, add, zone=zone, gen=version + 1, materialize=_checkpointer(spark)
-        )
+        run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook)
         snapshots.write_snapshot(run.table, base, version + 1)
         summary = run.summary.first().asDict()
+    hook.cleanup()  # the committed snapshot no longer depends on them
     return RunResult(
         version=version + 1,
         zone=run.zone,

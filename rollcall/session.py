@@ -84,11 +84,23 @@ def written_table(spark: SparkSession, name: str = "stage"):
     """A ``materialize`` hook: write the DataFrame as parquet under the shared
     folder and continue from the written copy. One job per table (an eager
     ``checkpoint()`` computes its input twice), lineage is cut, and a lost
-    executor costs a re-read, not a recompute."""
+    executor costs a re-read, not a recompute. ``hook.cleanup()`` removes
+    the tables this hook wrote (and nothing else)."""
+    written: list[str] = []
 
     def hook(df):
         path = scratch_path(spark, name)
         df.write.parquet(path)
+        written.append(path)
         return spark.read.parquet(path)
 
+    def cleanup():
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        while written:
+            p = jvm.org.apache.hadoop.fs.Path(written.pop())
+            p.getFileSystem(conf).delete(p, True)
+
+    hook.cleanup = cleanup
+    hook.paths = written
     return hook
