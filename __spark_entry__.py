@@ -88,7 +88,8 @@ def _run(spark, sf, materialize: bool = False):
 
 
 def _diag(spark, sf, materialize: bool = False):
-    ub, ros, add = _inputs(spark, sf)
+    ub, _, add = _inputs(spark, sf)
+    ros = derived.roster_near_miss(spark, sf)
     hook = written_table(spark, "diagnose") if materialize else None
     return diag.diagnose(ub, ros, add, materialize=hook)
 

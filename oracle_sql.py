@@ -196,13 +196,22 @@ BASE = [UB, ROSTER, ADD] + RECONCILE
 FINAL_COLS = "zone, country, gid, lid, name, email, status, gen, ord"
 
 
+ROSTER_NM = """rosnm AS (
+  SELECT name,
+         CASE WHEN ord % 32 = 1 THEN concat('user', CAST(ord AS VARCHAR), '@new.org') ELSE email END AS email,
+         CASE WHEN ord % 48 = 33 THEN concat('000', CAST(ord AS VARCHAR)) ELSE gid END AS gid,
+         lid, action, ord
+  FROM ros)"""
+
+
 def _diagnose_ctes() -> list[str]:
     """Unmatched roster rows (no email filter) and the three clue lists."""
     return [
         UB,
         ROSTER,
+        ROSTER_NM,
         f"du AS (SELECT *, {n_email('email')} AS e, {n_id('gid')} AS g, {n_local('lid')} AS l FROM ub)",
-        f"dr AS (SELECT *, {n_email('email')} AS e, {n_id('gid')} AS g, {n_local('lid')} AS l FROM ros)",
+        f"dr AS (SELECT *, {n_email('email')} AS e, {n_id('gid')} AS g, {n_local('lid')} AS l FROM rosnm)",
         """un AS (SELECT * FROM dr WHERE NOT (
               (e <> '' AND e IN (SELECT e FROM du)) OR (g <> '' AND g IN (SELECT g FROM du))
               OR (l <> '' AND l IN (SELECT l FROM du))))""",
@@ -307,9 +316,9 @@ def queries() -> dict[str, str]:
     q["row_flags"] = with_(*BASE) + "SELECT gen, ord, v, d FROM z_fl"
     q["reconcile_summary"] = with_(*BASE) + "SELECT * FROM z_sum"
     q["diagnose_summary"] = with_(*DIAG, ADD) + (
-        f"""SELECT (SELECT count(*) FROM ub) AS userbase_rows, (SELECT count(*) FROM ros) AS roster_rows,
+        f"""SELECT (SELECT count(*) FROM ub) AS userbase_rows, (SELECT count(*) FROM rosnm) AS roster_rows,
            (SELECT count(*) FROM addl) AS add_rows,
-           (SELECT count(*) FROM ros WHERE NOT {valid('email')}) AS invalid_roster_emails,
+           (SELECT count(*) FROM rosnm WHERE NOT {valid('email')}) AS invalid_roster_emails,
            (SELECT count(*) FROM un) AS unmatched"""
     )
     q["removal_wins"] = with_(*BASE) + "SELECT gen, ord, val AS validated, del AS removed FROM z_dec WHERE ref"

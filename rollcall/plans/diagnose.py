@@ -33,6 +33,20 @@ NAME_CLUES = 2
 
 KINDS = ("email_domain", "gid_zeros", "name", "none")
 
+# Broadcast the probe keys into the candidate scan only below this many
+# unmatched rows (keys are short: emails, ids, names).
+BROADCAST_MAX_PROBES = 500_000
+
+
+def _prefilter(candidates: DataFrame, probe: DataFrame, key: str, probe_rows: int | None) -> DataFrame:
+    """Keep candidates whose key some probe row carries, map-side, when the
+    probe side is known to be small. Otherwise keep all: the top-k below is
+    limited per map task before its shuffle, so a hot key stays bounded,
+    whereas a shuffled semi-join would put a hot key in one task."""
+    if probe_rows is None or probe_rows > BROADCAST_MAX_PROBES:
+        return candidates
+    return candidates.join(F.broadcast(probe.select(key).distinct()), key, "left_semi")
+
 
 @dataclass
 class Diagnosis:
@@ -57,7 +71,7 @@ def unmatched_roster(userbase: DataFrame, roster: DataFrame) -> DataFrame:
     return keyed_r.join(hit.select(match.RID), match.RID, "left_anti")
 
 
-def nearmiss_email(userbase: DataFrame, unmatched: DataFrame, k: int = EMAIL_CLUES) -> DataFrame:
+def nearmiss_email(userbase: DataFrame, unmatched: DataFrame, k: int = EMAIL_CLUES, probe_rows: int | None = None) -> DataFrame:
     """``(_rid, rank, candidate)``: userbase emails sharing the local part."""
     if S.EMAIL not in userbase.columns:
         return unmatched.select(match.RID, F.lit(1).alias("rank"), F.lit("").alias("candidate")).filter(F.lit(False))
@@ -67,14 +81,13 @@ def nearmiss_email(userbase: DataFrame, unmatched: DataFrame, k: int = EMAIL_CLU
         .select(F.col(match.E).alias("candidate"))
         .filter(F.col("candidate") != "")
         .withColumn("_lp", email_local_part("candidate"))
-        .join(probe.select("_lp").distinct(), "_lp", "left_semi")
-        .distinct()
     )
+    ub = _prefilter(ub, probe, "_lp", probe_rows).distinct()
     top = topk_per_key(ub, "_lp", [F.col("candidate")], k)
     return probe.join(top, "_lp").select(match.RID, "rank", "candidate")
 
 
-def nearmiss_gid(userbase: DataFrame, unmatched: DataFrame, k: int = GID_CLUES) -> DataFrame:
+def nearmiss_gid(userbase: DataFrame, unmatched: DataFrame, k: int = GID_CLUES, probe_rows: int | None = None) -> DataFrame:
     """``(_rid, rank, candidate)``: userbase ids equal once leading zeros go.
     Blank ids are excluded before stripping; an all-zero id may match."""
     if S.GLOBAL_ID not in userbase.columns:
@@ -85,14 +98,13 @@ def nearmiss_gid(userbase: DataFrame, unmatched: DataFrame, k: int = GID_CLUES)
         .select(F.col(match.G).alias("candidate"))
         .filter(F.col("candidate") != "")
         .withColumn("_gz", strip_leading_zeros("candidate"))
-        .join(probe.select("_gz").distinct(), "_gz", "left_semi")
-        .distinct()
     )
+    ub = _prefilter(ub, probe, "_gz", probe_rows).distinct()
     top = topk_per_key(ub, "_gz", [F.col("candidate")], k)
     return probe.join(top, "_gz").select(match.RID, "rank", "candidate")
 
 
-def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES) -> DataFrame:
+def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES, probe_rows: int | None = None) -> DataFrame:
     """``(_rid, rank, _gen, _ord, email, gid, lid)``: the first ``k`` userbase
     rows (table order) with the same folded name; raw keys shown."""
     cols = ["_rid", "rank", S.GEN, S.ORD, "email", "gid", "lid"]
@@ -109,7 +121,8 @@ def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES
     ub = userbase.select(
         fold_name(S.NAME).alias("_fn"), S.GEN, S.ORD,
         raw(S.EMAIL).alias("email"), raw(S.GLOBAL_ID).alias("gid"), raw(S.LOCAL_ID).alias("lid"),
-    ).join(probe.select("_fn").distinct(), "_fn", "left_semi")
+    )
+    ub = _prefilter(ub, probe, "_fn", probe_rows)
     top = topk_per_key(ub, "_fn", [F.col(S.GEN), F.col(S.ORD)], k)
     return probe.join(top, "_fn").select(*cols)
 
@@ -160,7 +173,11 @@ def diagnose(userbase: DataFrame, roster: DataFrame, add: DataFrame | None = Non
     """``materialize`` (e.g. ``session.written_table(spark)``) is applied to
     the unmatched rows, which feed all three clue joins and the report."""
     un = unmatched_roster(userbase, roster)
+    rows = None
     if materialize is not None:
         un = materialize(un)
-    e, g, n = nearmiss_email(userbase, un), nearmiss_gid(userbase, un), nearmiss_name(userbase, un)
+        rows = un.count()  # footer metadata of the written copy
+    e = nearmiss_email(userbase, un, probe_rows=rows)
+    g = nearmiss_gid(userbase, un, probe_rows=rows)
+    n = nearmiss_name(userbase, un, probe_rows=rows)
     return Diagnosis(un, e, g, n, nearmiss_report(un, e, g, n), diagnose_summary(userbase, roster, add, un))

@@ -185,3 +185,14 @@ def roster_second_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
         action.alias(S.ACTION),
         k.cast("bigint").alias(S.ORD),
     )
+
+
+def roster_near_miss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roster with near misses in the rows that match nothing
+    (``k % 16 = 1``): a changed mail domain for ``k % 32 = 1``, and a
+    zero-padded global id for ``k % 48 = 33``. Used by the diagnose job."""
+    r = roster(spark, sf_dir)
+    k = F.col(S.ORD)
+    email = F.when(k % 32 == 1, F.concat(F.lit("user"), _s(k), F.lit("@new.org"))).otherwise(F.col(S.EMAIL))
+    gid = F.when(k % 48 == 33, F.concat(F.lit("000"), _s(k))).otherwise(F.col(S.GLOBAL_ID))
+    return r.withColumns({S.EMAIL: email, S.GLOBAL_ID: gid})
