@@ -89,9 +89,10 @@ def reconcile_zone(
     ``_gen`` already in the userbase so they sort after it.
 
     ``materialize`` (e.g. ``session.written_table(spark)``) is applied to
-    the three small fan-in tables (probe hits, per-row flags, duplicates),
-    each of which feeds several later steps; a job passes it so that none
-    is computed twice and lineage is cut at a reliable copy."""
+    the narrow tables that feed several later steps: probe keys, candidate
+    userbase keys, probe hits, per-row flags and duplicates. A job passes it
+    so that none is computed twice (the roster's key normalisation is the
+    costliest per row) and lineage is cut at a reliable copy."""
     keep = materialize or (lambda df: df)
     ub = prepare_userbase(userbase)
     S.require_columns(roster, (S.GLOBAL_ID, S.EMAIL), "Zones roster tab")
@@ -129,7 +130,8 @@ def reconcile_zone(
 
     # The probe table is broadcast into the semi-join when small (duplicates
     # are harmless there), so the userbase key table is filtered map-side.
-    cands = match.candidates(keys_u, probe.select(match.TIER, match.KEY))
+    probe = keep(probe)
+    cands = keep(match.candidates(keys_u, probe.select(match.TIER, match.KEY)))
     exists = match.existing_keys(cands)
     # First hitting tier per probe row, roster and add list in one aggregate.
     hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT))
