@@ -35,6 +35,7 @@ _WS_CHARS = list(WHITESPACE)
 # values NFKC, trimming, ``mailto:``/quote stripping and deletion are no-ops,
 # so the email key is just the lower-cased value.
 _PLAIN_EMAIL = r"^[!#-&(-9;=?-~]*\z"
+_SPACED_ASCII = r"^[ -~]*\z"
 EMAIL_DELETE = WHITESPACE + "".join(map(chr, ZERO_WIDTH_CODEPOINTS))
 
 _NUMERIC = (T.FloatType, T.DoubleType)
@@ -110,7 +111,16 @@ def norm_email(c) -> Column:
     s = F.regexp_replace(s, "^" + S.MAILTO_PREFIX, "")
     s = F.btrim(F.btrim(F.btrim(s, ws), F.lit(EMAIL_QUOTE_CHARS)), ws)
     full = F.translate(s, EMAIL_DELETE, "")
-    return F.when(raw.rlike(_PLAIN_EMAIL), F.lower(raw)).otherwise(full)
+    # Printable ASCII with spaces: NFKC is a no-op and the space is the only
+    # whitespace, so trimming is ``trim`` and deletion is ``replace``.
+    m = F.lower(F.trim(raw))
+    m = F.regexp_replace(m, "^" + S.MAILTO_PREFIX, "")
+    m = F.replace(F.trim(F.btrim(F.trim(m), F.lit(EMAIL_QUOTE_CHARS))), F.lit(" "), F.lit(""))
+    return (
+        F.when(raw.rlike(_PLAIN_EMAIL), F.lower(raw))
+        .when(raw.rlike(_SPACED_ASCII), m)
+        .otherwise(full)
+    )
 
 
 def valid_email_predicate(c) -> Column:
