@@ -45,15 +45,6 @@ def key_index(keyed: DataFrame, *carry: str) -> DataFrame:
     return keyed.select(*carry, F.inline(tiers)).filter(F.col(KEY) != "")
 
 
-def probed_keys(*probe_key_tables: DataFrame) -> DataFrame:
-    """Distinct ``(_tier, _key)`` over the probing tables (roster, add list)."""
-    out = None
-    for t in probe_key_tables:
-        k = t.select(TIER, KEY)
-        out = k if out is None else out.unionByName(k)
-    return out.distinct()
-
-
 def candidates(userbase_keys: DataFrame, probe_keys: DataFrame) -> DataFrame:
     """Userbase key rows whose key some probe row carries.
 
@@ -77,11 +68,6 @@ def cascade_match(probe: DataFrame, exists: DataFrame, *row_cols: str) -> DataFr
     )
 
 
-def matched_rows(probe: DataFrame, exists: DataFrame, row_col: str = RID) -> DataFrame:
-    """Ids of probe rows with any hit (the cascade hits iff some tier hits)."""
-    return probe.join(exists, [TIER, KEY], "left_semi").select(row_col).distinct()
-
-
 def key_flags(winners: DataFrame) -> DataFrame:
     """Roster actions reduced to one row per winning key (partial aggregation
     collapses a hot key map-side). Presence of a key = referenced."""

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from rollcall import schema as S
 from rollcall.functions import ACT_NOOP, action_class, valid_email
 from rollcall.operators import clean, match, update
-from rollcall.operators.dedupe import DUP, duplicate_rows
+from rollcall.operators.dedupe import duplicate_rows
 from rollcall.operators.zone import resolve_zone
 
 SUMMARY_COLUMNS = [

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import os
 import tempfile
 import uuid
 
@@ -76,9 +75,6 @@ def case_sensitive(spark: SparkSession):
     return conf_scope(spark, spark__sql__caseSensitive="true")
 
 
-def env_path(name: str, default: str) -> str:
-    return os.environ.get(name, default)
-
 
 def written_table(spark: SparkSession, name: str = "stage"):
     """A ``materialize`` hook: write the DataFrame as parquet under the shared
