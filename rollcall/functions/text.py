@@ -43,7 +43,7 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
 
 
 def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return S.qcol(c) if isinstance(c, str) else c
 
 
 def text(c) -> Column:

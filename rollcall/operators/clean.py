@@ -28,7 +28,7 @@ def project_required(df: DataFrame) -> DataFrame:
         return df.select(
             *[F.lit(None).cast("string").alias(c) for c in S.KEEP_COLUMNS], *_order_cols(df)
         ).filter(F.lit(False))
-    return df.select(*[F.col(c) for c in keep], *_order_cols(df))
+    return df.select(*[S.qcol(c) for c in keep], *_order_cols(df))
 
 
 def clean_export(df: DataFrame) -> DataFrame:

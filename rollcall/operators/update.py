@@ -71,10 +71,10 @@ def append_new(new_rows: DataFrame, columns: list[str], zone: str, gen: int) ->
         elif c == S.GLOBAL_ID and c in new_rows.columns:
             out.append(norm_id_of(new_rows, c).alias(c))
         elif c == S.ZONE:
-            z = F.col(c).cast("string") if c in new_rows.columns else F.lit("")
+            z = S.qcol(c).cast("string") if c in new_rows.columns else F.lit("")
             out.append(F.when(strip(z) == "", F.lit(zone)).otherwise(z).alias(c))
         elif c in new_rows.columns:
-            out.append(F.col(c).cast("string").alias(c))
+            out.append(S.qcol(c).cast("string").alias(c))
         else:
             out.append(F.lit("").alias(c))
     return new_rows.select(*out)

@@ -169,7 +169,7 @@ def reconcile_zone(
     kept_ub = (
         update.apply_status(update.remove_rows(decided))
         .join(dups, [S.GEN, S.ORD], "left_anti")
-        .select(*columns)
+        .select(*[S.qcol(c) for c in columns])
     )
     table = kept_ub
     if appended is not None:

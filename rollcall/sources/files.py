@@ -18,6 +18,8 @@ checked file count.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,10 +42,37 @@ def _path_key(c):
     return F.regexp_replace(F.url_decode(c), _SCHEME, "$1:/")
 
 
+def dedupe_names(names: list[str]) -> list[str]:
+    """Repeated header names keep the first as is and number the later ones
+    ``name.1``, ``name.2`` ... (so the first ``Zone`` stays ``Zone``)."""
+    seen: dict[str, int] = {}
+    taken = set(names)
+    out = []
+    for n in names:
+        if n not in seen:
+            seen[n] = 0
+            out.append(n)
+            continue
+        k = seen[n]
+        while True:
+            k += 1
+            cand = f"{n}.{k}"
+            if cand not in taken:
+                break
+        seen[n] = k
+        taken.add(cand)
+        out.append(cand)
+    return out
+
+
 def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    """Column names from the header line only (no data job beyond one line)."""
-    df = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
-    return df.columns
+    """Column names from the first line of the first file (one line read;
+    a leading BOM dropped; quoted names parsed as CSV)."""
+    first = sorted(spark.read.text(path).inputFiles())[0]
+    line = spark.read.option("encoding", encoding).text(first).first()
+    text = (line[0] if line else "").lstrip("\ufeff")
+    names = next(csv.reader([text], delimiter=sep)) if text else []
+    return dedupe_names(names)
 
 
 def read_delimited(
@@ -64,6 +93,7 @@ def read_delimited(
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
+        .option("enforceSchema", True)
         .csv(path)
     )
     files = sorted(raw.inputFiles())
@@ -80,7 +110,7 @@ def read_delimited(
         (F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))).alias("_row"),
     )
     out = with_pos.join(ranks, "_path").select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in names],
+        *[F.coalesce(S.qcol(c), F.lit("")).alias(c) for c in names],
         F.lit(0).alias(S.GEN),
         (F.shiftleft(F.col("_rank"), OFFSET_BITS) + F.col("_start") + F.col("_row")).alias(S.ORD),
     )

@@ -103,7 +103,7 @@ def start(
 def land(df: DataFrame, landing: str, run: str, tab: str, zone: str | None) -> None:
     """Drop one tab of one run into the landing folder (used by producers and tests)."""
     out = df.select(
-        *[F.col(c).cast("string").alias(c) if c != S.ORD else F.col(c).cast("bigint") for c in df.columns],
+        *[S.qcol(c).cast("string").alias(c) if c != S.ORD else S.qcol(c).cast("bigint") for c in df.columns],
         F.lit(run).alias(RUN),
         F.lit(tab).alias(TAB),
         F.lit(zone).cast("string").alias(ZONE_TAG),

@@ -92,3 +92,13 @@ def test_stream_equals_sequential_runs(spark):
     batch = spark.read.parquet(landing)
     assert zone_feed.apply_batch(spark, base, batch, epoch=99) == []
     assert snapshots.versions(spark, base) == [0, 1, 2]
+
+
+def test_duplicate_headers_keep_the_first(spark, tmp_path):
+    p = tmp_path / "dup.csv"
+    p.write_text("Zone,Employee Email,Zone,\"Global Employee ID\"\nEUR,a@b,APAC,7\n", encoding="utf-8")
+    df = files.read_delimited(spark, str(p))
+    assert df.columns[:4] == ["Zone", "Employee Email", "Zone.1", "Global Employee ID"]
+    r = df.first()
+    assert (r["Zone"], r["Zone.1"], r["Global Employee ID"]) == ("EUR", "APAC", "7")
+    assert files.dedupe_names(["a", "a", "a.1", "a"]) == ["a", "a.2", "a.1", "a.3"]
