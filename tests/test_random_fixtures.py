@@ -54,3 +54,26 @@ def test_random_fixture_matches_bruteforce(spark, seed):
     assert counts == want_counts
     # rows out = rows in - removed + newly added - dedupe removed
     assert len(got) == len(ub) - counts["removed"] + counts["newly_added"] - counts["dedupe_removed"]
+
+
+def test_result_independent_of_partitioning_and_row_order(spark):
+    from pyspark.sql import functions as F
+
+    from rollcall.functions import norm_email
+    from rollcall.sources import derived
+
+    sf = "/root/testdata/sf0.001"
+    ub, ros, add = derived.userbase(spark, sf), derived.roster(spark, sf), derived.add_list(spark, sf)
+
+    def result(u, r, a):
+        run = reconcile_zone(u, r, a, zone="AMERICA")
+        return sorted(tuple(x) for x in run.table.collect()), run
+
+    base, run = result(ub, ros, add)
+    shuffled, _ = result(
+        ub.repartition(7).orderBy(F.rand(3)), ros.repartition(5).orderBy(F.rand(4)), add.repartition(3)
+    )
+    assert base == shuffled
+    t = run.table.withColumn("_e", norm_email(S.EMAIL)).filter("_e != ''")
+    assert t.groupBy("_e").count().filter("count > 1").count() == 0
+    assert run.decided.filter("_val AND _del").count() == 0
