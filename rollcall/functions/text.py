@@ -7,6 +7,8 @@ that contain a non-ASCII character (see ``unicode.nfkc``).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,6 @@ EMAIL_QUOTE_CHARS = "\"'<>"
 # --- end of fixed values ---
 
 WHITESPACE = "".join(map(chr, WHITESPACE_CODEPOINTS))
-_WS_CHARS = list(WHITESPACE)
 # Printable ASCII without space, quotes, angle brackets and colon: for such
 # values NFKC, trimming, ``mailto:``/quote stripping and deletion are no-ops,
 # so the email key is just the lower-cased value.
@@ -42,10 +43,31 @@ _NUMERIC = (T.FloatType, T.DoubleType)
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
 
 
+def _by_name(fn):
+    """Build the expression once per column name (and active context):
+    each expression is many JVM calls, and plans reuse the same keys."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(c, *args):
+        if not isinstance(c, str):
+            return fn(c, *args)
+        from pyspark import SparkContext
+
+        key = (id(SparkContext._active_spark_context), c, tuple(repr(a) for a in args))
+        col = cache.get(key)
+        if col is None:
+            col = cache[key] = fn(c, *args)
+        return col
+
+    return wrapper
+
+
 def _c(c) -> Column:
     return S.qcol(c) if isinstance(c, str) else c
 
 
+@_by_name
 def text(c) -> Column:
     """Null -> '', anything else as text."""
     return F.coalesce(_c(c).cast("string"), F.lit(""))
@@ -57,15 +79,19 @@ def _strip_text(t: Column) -> Column:
     Fast path: trim spaces (cheap), and only when another whitespace
     character is left at either end run the full 29-character trim."""
     s = F.trim(t)
-    other_ws = F.substring(s, 1, 1).isin(*_WS_CHARS) | F.substring(s, -1, 1).isin(*_WS_CHARS)
-    return F.when(other_ws, F.btrim(s, F.lit(WHITESPACE))).otherwise(s)
+    ws = F.lit(WHITESPACE)
+    # position('' , ws) is 1 too; the full trim of '' is '' anyway.
+    other_ws = (F.position(F.substring(s, 1, 1), ws) > 0) | (F.position(F.substring(s, -1, 1), ws) > 0)
+    return F.when(other_ws, F.btrim(s, ws)).otherwise(s)
 
 
+@_by_name
 def strip(c) -> Column:
     """Unicode trim with Python's whitespace set; null -> ''."""
     return _strip_text(text(c))
 
 
+@_by_name
 def fold(c) -> Column:
     """Trimmed and lower-cased (zone, local id, name comparisons)."""
     return F.lower(strip(c))
@@ -78,6 +104,7 @@ def norm_local(c) -> Column:
 fold_name = fold
 
 
+@_by_name
 def norm_id(c, data_type: T.DataType | None = None) -> Column:
     """Global id key: trim, then drop a final ``.0`` when only digits precede it.
 
@@ -99,6 +126,7 @@ def norm_id(c, data_type: T.DataType | None = None) -> Column:
     return F.when(t.endswith(".0"), F.regexp_replace(t, r"^(\p{Nd}+)\.0\z", "$1")).otherwise(t)
 
 
+@_by_name
 def norm_email(c) -> Column:
     """Email key: NFKC, trim, lower, one ``mailto:`` dropped, trim, outer
     quote/angle characters dropped, trim, then every whitespace or zero-width
@@ -123,6 +151,7 @@ def norm_email(c) -> Column:
     )
 
 
+@_by_name
 def valid_email_predicate(c) -> Column:
     """Filter form: null for null input (dropped by ``filter``), so the
     ``contains('@')`` part pushes down to parquet as StringContains."""
@@ -135,17 +164,20 @@ def valid_email_predicate(c) -> Column:
     return col.contains("@") & ~marker
 
 
+@_by_name
 def valid_email(c) -> Column:
     """Usable email: contains ``@`` and no ``noemail@`` (any case); null -> false.
     (Containing ``@`` already implies non-blank after trimming.)"""
     return F.coalesce(valid_email_predicate(c), F.lit(False))
 
 
+@_by_name
 def email_local_part(c) -> Column:
     """Text before the first ``@`` (all of it when there is none)."""
     return F.substring_index(text(c), "@", 1)
 
 
+@_by_name
 def strip_leading_zeros(c) -> Column:
     return F.regexp_replace(text(c), "^0+", "")
 
@@ -153,6 +185,7 @@ def strip_leading_zeros(c) -> Column:
 ACT_VALIDATE, ACT_NOOP, ACT_REMOVE = "validate", "noop", "remove"
 
 
+@_by_name
 def action_class(c) -> Column:
     """``ok`` (any case, trimmed) validates, blank is a no-op, anything else removes.
     ``c=None`` means the roster has no action column: every row validates."""

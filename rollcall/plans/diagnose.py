@@ -136,13 +136,13 @@ def nearmiss_report(unmatched, email_clues, gid_clues, name_clues) -> DataFrame:
     )
     clues = (
         email_clues.select(match.RID, F.lit("email_domain").alias("kind"), "rank", F.col("candidate").alias("detail"))
-        .unionByName(gid_clues.select(match.RID, F.lit("gid_zeros").alias("kind"), "rank", F.col("candidate").alias("detail")))
-        .unionByName(name_clues.select(match.RID, F.lit("name").alias("kind"), "rank", name_detail.alias("detail")))
+        .union(gid_clues.select(match.RID, F.lit("gid_zeros").alias("kind"), "rank", F.col("candidate").alias("detail")))
+        .union(name_clues.select(match.RID, F.lit("name").alias("kind"), "rank", name_detail.alias("detail")))
     )
     none = unmatched.select(match.RID).join(clues.select(match.RID), match.RID, "left_anti").select(
         match.RID, F.lit("none").alias("kind"), F.lit(1).alias("rank"), F.lit("").alias("detail")
     )
-    return clues.unionByName(none)
+    return clues.union(none)
 
 
 def diagnose_summary(userbase, roster, add, unmatched) -> DataFrame:
@@ -158,7 +158,7 @@ def diagnose_summary(userbase, roster, add, unmatched) -> DataFrame:
         parts.append(add.select(F.lit("a").alias("_s"), f.alias("_bad")))
     u = parts[0]
     for p in parts[1:]:
-        u = u.unionByName(p)
+        u = u.union(p)
     s = F.col("_s")
     return u.agg(
         F.count_if(s == "u").alias("userbase_rows"),

@@ -126,7 +126,7 @@ def reconcile_zone(
         keys_a = match.key_index(keyed_a, match.RID).select(
             F.lit("a").alias("_src"), match.RID, F.lit(None).cast("string").alias(match.ACT), match.TIER, match.KEY
         )
-        probe = probe.unionByName(keys_a)
+        probe = probe.union(keys_a)
 
     # The probe table is broadcast into the semi-join when small (duplicates
     # are harmless there), so the userbase key table is filtered map-side.
@@ -161,7 +161,7 @@ def reconcile_zone(
     )
     rows = survivors
     if appended is not None:
-        rows = rows.unionByName(
+        rows = rows.union(
             match.with_norm_keys(appended).select(S.GEN, S.ORD, e).filter(F.col(e) != "")
         )
     dups = keep(duplicate_rows(rows, e))
@@ -173,7 +173,8 @@ def reconcile_zone(
     )
     table = kept_ub
     if appended is not None:
-        table = table.unionByName(appended.join(dups, [S.GEN, S.ORD], "left_anti"))
+        kept_new = appended.join(dups, [S.GEN, S.ORD], "left_anti")
+        table = table.union(kept_new.select(*[S.qcol(c) for c in columns]))
 
     summary = _summary(zone, decided, roster, act_col, add, add_new, add_existing, dups)
     return ZoneRun(
@@ -223,7 +224,7 @@ def _summary(zone, decided, roster, act_col, add, add_new, add_existing, dups) -
         ]
     u = parts[0]
     for p in parts[1:]:
-        u = u.unionByName(p)
+        u = u.union(p)
     s = F.col("_s")
     return u.agg(
         F.count_if((s == "u") & F.col(a)).alias("validated"),
