@@ -95,3 +95,14 @@ def accumulate_zones(
 ) -> list[RunResult]:
     """Run zones in the given order, each from the previous one's snapshot."""
     return [run_zone(spark, base, r, a, zone=z, clean=clean) for r, a, z in runs]
+
+
+def diagnose_zone(spark: SparkSession, base: str, roster: DataFrame, add: DataFrame | None = None):
+    """Read-only diagnosis of a roster against the latest snapshot: unmatched
+    rows, near-miss clues and counts. The snapshot is never written; the
+    unmatched rows are kept once as a scratch copy in the shared folder."""
+    from rollcall.plans.diagnose import diagnose
+
+    current = snapshots.read_snapshot(spark, base)
+    with case_sensitive(spark):
+        return diagnose(current, roster, add, materialize=written_table(spark, "diagnose"))

@@ -102,3 +102,15 @@ def test_duplicate_headers_keep_the_first(spark, tmp_path):
     r = df.first()
     assert (r["Zone"], r["Zone.1"], r["Global Employee ID"]) == ("EUR", "APAC", "7")
     assert files.dedupe_names(["a", "a", "a.1", "a"]) == ["a", "a.2", "a.1", "a.3"]
+
+
+def test_diagnose_zone_job(spark):
+    base = scratch_path(spark, "diag-base")
+    jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
+    d = jobs.diagnose_zone(spark, base, derived.roster_near_miss(spark, SF_SMALL), derived.add_list(spark, SF_SMALL))
+    got = E.short(d.report)
+    con = oracle_check.duck(SF_SMALL)
+    rel = con.execute(E.oracle_sql()["nearmiss_report"])
+    want = oracle_check.rows_of([c[0] for c in rel.description], rel.fetchall())
+    assert oracle_check.rows_of(got.columns, [tuple(r) for r in got.collect()]) == want
+    assert snapshots.versions(spark, base) == [0]
