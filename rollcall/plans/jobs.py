@@ -55,9 +55,12 @@ def run_zone(
     add: DataFrame | None = None,
     zone: str | None = None,
     clean: str = "auto",
+    run_id: str | None = None,
 ) -> RunResult:
     """Reconcile ``roster``/``add`` into the latest snapshot under ``base``
-    and commit the result as the next version."""
+    and commit the result as the next version. With ``run_id`` the run is
+    recorded next to the version before it commits, so a caller that
+    retries can tell whether the run already took effect."""
     version = snapshots.latest_version(spark, base)
     if version is None:
         raise ValueError(f"No snapshot under {base}; ingest the export first")
@@ -69,6 +72,8 @@ def run_zone(
     with case_sensitive(spark):
         userbase = clean_export(current) if do_clean else current
         run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook)
+        if run_id is not None:
+            snapshots.record_run(spark, base, version + 1, run_id)
         snapshots.write_snapshot(run.table, base, version + 1)
         summary = run.summary.first().asDict()
     hook.cleanup()  # the committed snapshot no longer depends on them

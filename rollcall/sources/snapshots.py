@@ -54,12 +54,41 @@ def read_snapshot(spark: SparkSession, base: str, version: int | None = None) ->
 
 
 def write_snapshot(df: DataFrame, base: str, version: int) -> str:
-    """Write ``df`` as version ``version``; fails if that version exists."""
+    """Write ``df`` as version ``version``. A committed version is never
+    overwritten; leftovers of an attempt that never committed are replaced."""
+    spark = df.sparkSession
     path = snapshot_path(base, version)
-    df.write.mode("errorifexists").parquet(path)
+    fs, jvm = _fs(spark, base)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    if fs.exists(p):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+            raise ValueError(f"version {version} already committed under {base}")
+        df.write.mode("overwrite").parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
     return path
 
 
+RUNS = "_runs"
+
+
+def record_run(spark: SparkSession, base: str, version: int, run_id: str) -> None:
+    """Note which run produces ``version``, before that version commits."""
+    row = spark.createDataFrame([(run_id, version)], "run string, version int")
+    row.coalesce(1).write.mode("overwrite").parquet(f"{base.rstrip('/')}/{RUNS}/v={version}")
+
+
+def committed_runs(spark: SparkSession, base: str) -> dict[str, int]:
+    """Run id -> version, for runs whose version is committed."""
+    fs, jvm = _fs(spark, base)
+    root = f"{base.rstrip('/')}/{RUNS}"
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(root)):
+        return {}
+    done = set(versions(spark, base))
+    rows = spark.read.parquet(root).select("run", "version").collect()  # one row per version
+    return {r.run: r.version for r in rows if r.version in done}
+
+
 def retain_previous(spark: SparkSession, base: str, version: int) -> DataFrame:
     """The state kept from before a run: simply an older version."""
     return read_snapshot(spark, base, version)

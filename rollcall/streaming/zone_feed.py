@@ -7,9 +7,11 @@ query reads the folder and ``foreachBatch`` applies each run of the
 micro-batch, in ``_run`` order, with ``plans.jobs.run_zone`` (one
 distributed job per run, never per row).
 
-Exactly once: every applied run is recorded in ``<base>/_applied`` together
-with the snapshot version it produced. A micro-batch replayed after a
-failure skips runs already recorded, so a zone is never applied twice.
+Exactly once: each run's id is recorded next to the snapshot version it
+produces *before* that version commits, and a run counts as applied only
+once its version is committed. A micro-batch replayed after a failure at
+any point skips runs that took effect and redoes the rest (an uncommitted
+version folder is simply rewritten), so a zone is never applied twice.
 """
 
 from __future__ import annotations
@@ -20,9 +22,9 @@ from pyspark.sql import types as T
 
 from rollcall import schema as S
 from rollcall.plans.jobs import run_zone
+from rollcall.sources.snapshots import committed_runs
 
 RUN, TAB, ZONE_TAG = "_run", "_tab", "_zone"
-APPLIED = "_applied"
 
 # Runs in one micro-batch are listed on the driver; bounded by maxFilesPerTrigger.
 MAX_RUNS_PER_BATCH = 1000
@@ -40,27 +42,12 @@ def feed_schema(columns: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def _applied_runs(spark: SparkSession, base: str) -> set[str]:
-    from rollcall.sources.snapshots import _fs
-
-    fs, jvm = _fs(spark, base)
-    path = f"{base.rstrip('/')}/{APPLIED}"
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
-        return set()
-    return {r[0] for r in spark.read.parquet(path).select(RUN).distinct().collect()}
-
-
-def _record(spark: SparkSession, base: str, run: str, version: int, epoch: int) -> None:
-    row = spark.createDataFrame([(run, version, epoch)], f"{RUN} string, version int, epoch long")
-    row.coalesce(1).write.mode("append").parquet(f"{base.rstrip('/')}/{APPLIED}")
-
-
 def apply_batch(spark: SparkSession, base: str, batch: DataFrame, epoch: int, clean: str = "auto") -> list:
     """Apply every run of one micro-batch in run order; returns the results."""
     runs = [r[0] for r in batch.select(RUN).distinct().orderBy(RUN).limit(MAX_RUNS_PER_BATCH + 1).collect()]
     if len(runs) > MAX_RUNS_PER_BATCH:
         raise ValueError("too many runs in one micro-batch; lower maxFilesPerTrigger")
-    done = _applied_runs(spark, base)
+    done = committed_runs(spark, base)
     results = []
     for run in runs:
         if run in done:
@@ -70,9 +57,7 @@ def apply_batch(spark: SparkSession, base: str, batch: DataFrame, epoch: int, cl
         zone = zones[0] if len(zones) == 1 else None
         roster = rows.filter(F.col(TAB) == "roster").drop(RUN, TAB, ZONE_TAG)
         add = rows.filter(F.col(TAB) == "add").drop(RUN, TAB, ZONE_TAG)
-        res = run_zone(spark, base, roster, add, zone=zone, clean=clean)
-        _record(spark, base, run, res.version, epoch)
-        results.append(res)
+        results.append(run_zone(spark, base, roster, add, zone=zone, clean=clean, run_id=run))
     return results
 
 

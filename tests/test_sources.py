@@ -114,3 +114,24 @@ def test_diagnose_zone_job(spark):
     want = oracle_check.rows_of([c[0] for c in rel.description], rel.fetchall())
     assert oracle_check.rows_of(got.columns, [tuple(r) for r in got.collect()]) == want
     assert snapshots.versions(spark, base) == [0]
+
+
+def test_stream_replay_after_crash_before_commit(spark):
+    import os
+
+    base = scratch_path(spark, "crash-base")
+    landing = scratch_path(spark, "crash-landing")
+    jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
+    zone_feed.land(derived.roster(spark, SF_SMALL), landing, "001", "roster", "AMERICA")
+    zone_feed.land(derived.roster_second_zone(spark, SF_SMALL), landing, "002", "roster", "EUROPE")
+    # A first attempt recorded run 001 for version 1 and died before committing it.
+    snapshots.record_run(spark, base, 1, "001")
+    partial = snapshots.snapshot_path(base, 1).replace("file:", "")
+    os.makedirs(partial, exist_ok=True)
+    open(os.path.join(partial, "part-00000-partial.parquet"), "w").close()
+    assert snapshots.committed_runs(spark, base) == {}
+    batch = spark.read.parquet(landing)
+    done = zone_feed.apply_batch(spark, base, batch, epoch=0)
+    assert [r.version for r in done] == [1, 2]
+    assert snapshots.committed_runs(spark, base) == {"001": 1, "002": 2}
+    assert zone_feed.apply_batch(spark, base, batch, epoch=1) == []
