@@ -151,12 +151,12 @@ def reconcile_zone(
         add_existing = add_valid.join(hit_ids, S.ORD, "left_semi")
         appended = update.append_new(add_new, columns, zone, gen)
 
-    # Keep-first dedupe over survivors then appended rows; blank emails exempt.
-    # The tier-1 rows of the key table are exactly the non-blank email keys.
+    # Keep-first dedupe over survivors then appended rows; blank emails exempt
+    # (only the email key is computed for this branch).
     e = match.E
     survivors = (
-        keys_u.filter(F.col(match.TIER) == S.TIER_EMAIL)
-        .select(S.GEN, S.ORD, F.col(match.KEY).alias(e))
+        keyed_u.select(S.GEN, S.ORD, e)
+        .filter(F.col(e) != "")
         .join(rflags.filter(F.col(match.D)).select(S.GEN, S.ORD), [S.GEN, S.ORD], "left_anti")
     )
     rows = survivors
