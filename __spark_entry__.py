@@ -281,7 +281,7 @@ def q_resolve_zone(spark, sf):
 
 
 def q_row_flags(spark, sf):
-    return short(_run(spark, sf).row_flags)
+    return short(_run(spark, sf).row_flags, ["gen", "ord", "v", "d"])
 
 
 def q_reconcile_summary(spark, sf):

@@ -77,11 +77,12 @@ def key_flags(winners: DataFrame) -> DataFrame:
     )
 
 
-def row_flags(cands: DataFrame, flags: DataFrame) -> DataFrame:
-    """Per userbase row hit by the roster: ``_v`` validate, ``_d`` remove.
+def row_flags(cands: DataFrame, flags: DataFrame, *carry: str) -> DataFrame:
+    """Per userbase row hit by the roster: ``_v`` validate, ``_d`` remove
+    (plus boolean row attributes ``carry`` the key rows bring along).
     At most three rows (one per tier) meet per userbase row."""
     return (
         cands.join(flags, [TIER, KEY])
         .groupBy(S.GEN, S.ORD)
-        .agg(F.bool_or(V).alias(V), F.bool_or(D).alias(D))
+        .agg(F.bool_or(V).alias(V), F.bool_or(D).alias(D), *[F.bool_or(c).alias(c) for c in carry])
     )

@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall import schema as S
-from rollcall.functions import ACT_NOOP, action_class, valid_email
+from rollcall.functions import ACT_NOOP, action_class, in_zone, valid_email
 from rollcall.operators import clean, match, update
 from rollcall.operators.dedupe import duplicate_rows
 from rollcall.operators.zone import resolve_zone
 
+INZ = "_inz"
+
 SUMMARY_COLUMNS = [
     "zone",
     "validated",
@@ -108,8 +110,10 @@ def reconcile_zone(
     act_col = S.find_action_column(roster.columns)
 
     # Userbase keys (narrow), matched over the whole userbase: cross-zone hits count.
-    keyed_u = match.with_norm_keys(ub)
-    keys_u = match.key_index(keyed_u, S.GEN, S.ORD)
+    # Each key row carries its row's zone membership, so the counters never
+    # need to join the wide userbase again.
+    keyed_u = match.with_norm_keys(ub).withColumn(INZ, in_zone(S.ZONE, zone))
+    keys_u = match.key_index(keyed_u, S.GEN, S.ORD, INZ)
 
     # Roster keys, with the action class carried per row.
     keyed_r = match.with_norm_keys(
@@ -137,9 +141,9 @@ def reconcile_zone(
     hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT))
     winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
-    rflags = keep(match.row_flags(cands, flags))
+    rflags = keep(match.row_flags(cands, flags, INZ))
 
-    decided = update.with_row_decisions(ub, rflags, zone)
+    decided = update.with_row_decisions(ub, rflags.drop(INZ), zone)
 
     # Add list: rows with any hit in the ORIGINAL userbase (removed rows
     # included) are skipped; the rest are appended at the bottom.
@@ -176,7 +180,7 @@ def reconcile_zone(
         kept_new = appended.join(dups, [S.GEN, S.ORD], "left_anti")
         table = table.union(kept_new.select(*[S.qcol(c) for c in columns]))
 
-    summary = _summary(zone, decided, roster, act_col, add, add_new, add_existing, dups)
+    summary = _summary(zone, ub, rflags, roster, act_col, add, add_new, add_existing, dups)
     return ZoneRun(
         zone=zone,
         gen=gen,
@@ -195,19 +199,22 @@ def reconcile_zone(
     )
 
 
-def _summary(zone, decided, roster, act_col, add, add_new, add_existing, dups) -> DataFrame:
+def _summary(zone, ub, rflags, roster, act_col, add, add_new, add_existing, dups) -> DataFrame:
     """All nine counters in one aggregate over a tagged union of narrow
-    parts (no cross join of one-row results). Counters are taken before the
-    final dedupe, as the reference prints them."""
+    parts (no cross join of one-row results), taken before the final dedupe
+    as the reference prints them. The wide userbase contributes only a
+    column-pruned count of its in-zone rows: not found = in-zone rows minus
+    referenced in-zone rows, and every referenced row is in ``rflags``."""
     a, b, c = "_a", "_b", "_c"
     f = F.lit(False)
     parts = [
-        decided.select(
-            F.lit("u").alias("_s"),
-            F.col(update.VAL).alias(a),
-            F.col(update.DEL).alias(b),
-            F.col(update.NF).alias(c),
+        rflags.select(
+            F.lit("f").alias("_s"),
+            (F.col(match.V) & ~F.col(match.D)).alias(a),
+            F.col(match.D).alias(b),
+            F.col(INZ).alias(c),
         ),
+        ub.select(F.lit("z").alias("_s"), in_zone(S.ZONE, zone).alias(a), f.alias(b), f.alias(c)),
         roster.select(
             F.lit("r").alias("_s"),
             valid_email(S.EMAIL).alias(a),
@@ -227,9 +234,9 @@ def _summary(zone, decided, roster, act_col, add, add_new, add_existing, dups) -
         u = u.union(p)
     s = F.col("_s")
     return u.agg(
-        F.count_if((s == "u") & F.col(a)).alias("validated"),
-        F.count_if((s == "u") & F.col(c)).alias("not_found"),
-        F.count_if((s == "u") & F.col(b)).alias("removed"),
+        F.count_if((s == "f") & F.col(a)).alias("validated"),
+        (F.count_if((s == "z") & F.col(a)) - F.count_if((s == "f") & F.col(c))).alias("not_found"),
+        F.count_if((s == "f") & F.col(b)).alias("removed"),
         F.count_if(s == "n").alias("newly_added"),
         F.count_if(s == "x").alias("skipped_existing"),
         F.count_if(s == "d").alias("dedupe_removed"),
