@@ -1,7 +1,7 @@
 """Bench: headline jobs at $BENCH_SF_DIR on local[$BENCH_CPUS]; prints one JSON line.
 
 Each query's full plan is executed with the ``noop`` sink (no collect to the
-driver). Every query runs ``BENCH_REPEAT`` times (default 2) after a warm-up
+driver). Every query runs ``BENCH_REPEAT`` times (default 3) after a warm-up
 on sf0.001; the reported time per query is the fastest run.
 """
 
@@ -36,7 +36,7 @@ def _execute(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="rollcall-bench")
     entry = importlib.import_module("__spark_entry__")
     qs = entry.queries()
