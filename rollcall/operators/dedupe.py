@@ -4,7 +4,8 @@ Dedupe never gathers a duplicate group into one task: the first row of each
 email is found with a partially aggregated ``min(struct(_gen, _ord))``
 (map-side combine shrinks a hot email to one row per map task), and the
 later copies are picked out by an equi-join of the narrow key table with
-the groups that have copies, which AQE's skew handling can split.
+the groups that have copies, where emails with more rows than one task
+should hold are split over several tasks (``operators.skew``).
 Blank emails are exempt and never enter the shuffle.
 """
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions import norm_email
+from rollcall.operators.skew import hot_keys, rows_per_task, split_hot_join
 
 DUP = "_dup"
 
@@ -23,14 +25,14 @@ def duplicate_rows(rows: DataFrame, key: str) -> DataFrame:
     """``rows(key, _gen, _ord)`` with blank keys removed -> ``(_gen, _ord, _dup)``
     for every row that is not the first of its key."""
     pos = F.struct(S.GEN, S.ORD)
-    firsts = (
+    groups = (
         rows.groupBy(key)
         .agg(F.min(pos).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
-        .select(key, "_first")
     )
+    hot = hot_keys(groups, [key], "_n", rows_per_task(rows))
     return (
-        rows.join(firsts, key)
+        split_hot_join(rows, groups.select(key, "_first"), [key], hot, [S.GEN, S.ORD])
         .filter(pos != F.col("_first"))
         .select(S.GEN, S.ORD, F.lit(True).alias(DUP))
     )

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions import ACT_REMOVE, ACT_VALIDATE, norm_email, norm_id_of, norm_local
+from rollcall.operators.skew import split_hot_join
 
 TIER, KEY = "_tier", "_key"
 E, G, L = "_e", "_g", "_l"
@@ -57,10 +58,14 @@ def existing_keys(cands: DataFrame) -> DataFrame:
     return cands.select(TIER, KEY).distinct()
 
 
-def cascade_match(probe: DataFrame, exists: DataFrame, *row_cols: str) -> DataFrame:
+def cascade_match(probe: DataFrame, exists: DataFrame, *row_cols: str, hot: DataFrame | None = None) -> DataFrame:
     """Winning ``(_tier, _key)`` per probe row: the first tier whose key exists.
-    Probe rows with no hit at all are absent."""
-    hit = probe.join(exists, [TIER, KEY], "left_semi")
+    Probe rows with no hit at all are absent. ``hot`` (probe keys with too
+    many rows for one task, see ``skew.hot_keys``) splits those keys."""
+    if hot is None:
+        hit = probe.join(exists, [TIER, KEY], "left_semi")
+    else:
+        hit = split_hot_join(probe, exists, [TIER, KEY], hot, list(row_cols), "left_semi")
     return (
         hit.groupBy(*row_cols)
         .agg(F.min(F.struct(TIER, KEY)).alias("_w"))
@@ -77,12 +82,17 @@ def key_flags(winners: DataFrame) -> DataFrame:
     )
 
 
-def row_flags(cands: DataFrame, flags: DataFrame, *carry: str) -> DataFrame:
+def row_flags(cands: DataFrame, flags: DataFrame, *carry: str, hot: DataFrame | None = None) -> DataFrame:
     """Per userbase row hit by the roster: ``_v`` validate, ``_d`` remove
     (plus boolean row attributes ``carry`` the key rows bring along).
-    At most three rows (one per tier) meet per userbase row."""
+    At most three rows (one per tier) meet per userbase row. ``hot``
+    (userbase keys with too many rows for one task) splits those keys."""
+    if hot is None:
+        joined = cands.join(flags, [TIER, KEY])
+    else:
+        joined = split_hot_join(cands, flags, [TIER, KEY], hot, [S.GEN, S.ORD])
     return (
-        cands.join(flags, [TIER, KEY])
+        joined
         .groupBy(S.GEN, S.ORD)
         .agg(F.bool_or(V).alias(V), F.bool_or(D).alias(D), *[F.bool_or(c).alias(c) for c in carry])
     )

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions import ACT_NOOP, action_class, in_zone, valid_email
-from rollcall.operators import clean, match, update
+from rollcall.operators import clean, match, skew, update
 from rollcall.operators.dedupe import duplicate_rows
 from rollcall.operators.zone import resolve_zone
 
@@ -136,12 +136,22 @@ def reconcile_zone(
     # are harmless there), so the userbase key table is filtered map-side.
     probe = keep(probe)
     cands = keep(match.candidates(keys_u, probe.select(match.TIER, match.KEY)))
-    exists = match.existing_keys(cands)
+    # Distinct keys with their row counts (partial aggregation): the counts
+    # name the keys too big for one task, which the joins below split.
+    keys_tk = [match.TIER, match.KEY]
+    per_task = skew.rows_per_task(cands)
+    exists_n = cands.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
+    exists = exists_n.select(*keys_tk)
+    probe_n = probe.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
     # First hitting tier per probe row, roster and add list in one aggregate.
-    hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT))
+    hits = keep(
+        match.cascade_match(
+            probe, exists, "_src", match.RID, match.ACT, hot=skew.hot_keys(probe_n, keys_tk, "_n", per_task)
+        )
+    )
     winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
-    rflags = keep(match.row_flags(cands, flags, INZ))
+    rflags = keep(match.row_flags(cands, flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, "_n", per_task)))
 
     decided = update.with_row_decisions(ub, rflags.drop(INZ), zone)
 
