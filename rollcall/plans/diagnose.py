@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from rollcall import schema as S
 from rollcall.functions import email_local_part, fold_name, strip_leading_zeros, text, valid_email
-from rollcall.operators import match
+from rollcall.operators import match, skew
 from rollcall.operators.dedupe import topk_per_key
 
 # --- Fixed values: how many candidates each clue lists. ---
@@ -67,7 +67,10 @@ def unmatched_roster(userbase: DataFrame, roster: DataFrame) -> DataFrame:
     keyed_r = match.with_norm_keys(roster.withColumn(match.RID, F.col(S.ORD)))
     keys_r = match.key_index(keyed_r, match.RID)
     cands = match.candidates(keys_u, keys_r.select(match.TIER, match.KEY))
-    hit = keys_r.join(match.existing_keys(cands), [match.TIER, match.KEY], "left_semi")
+    keys_tk = [match.TIER, match.KEY]
+    counts = keys_r.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
+    hot = skew.hot_keys(counts, keys_tk, "_n", skew.rows_per_task(keys_r))
+    hit = skew.split_hot_join(keys_r, match.existing_keys(cands), keys_tk, hot, [match.RID], "left_semi")
     return keyed_r.join(hit.select(match.RID), match.RID, "left_anti")
 
 
