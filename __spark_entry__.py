@@ -77,13 +77,23 @@ def _inputs(spark, sf):
     return derived.userbase(spark, sf), derived.roster(spark, sf), derived.add_list(spark, sf)
 
 
-def _run(spark, sf, materialize: bool = False):
-    """The zone run over the derived inputs. Queries that need the final
-    table or the counters materialise the three small fan-in tables (as the
-    jobs do) so no part of the plan is computed twice; queries that stop
-    earlier keep one lazy plan."""
+# Materialisation points of a zone run, in the order the plan reaches them.
+_STAGES = ("probe", "cands", "hits", "row_flags", "dups")
+
+
+def _run(spark, sf, materialize: str | None = "dups"):
+    """The zone run over the derived inputs, writing the narrow fan-in tables
+    (as the jobs do) up to and including ``materialize`` so no part of the
+    plan a query needs is computed twice; later ones stay lazy."""
     ub, ros, add = _inputs(spark, sf)
-    hook = written_table(spark, "zone-run") if materialize else None
+    upto = _STAGES.index(materialize) + 1 if materialize else 0
+    written = written_table(spark, "zone-run")
+    seen = [0]
+
+    def hook(df):
+        seen[0] += 1
+        return written(df) if seen[0] <= upto else df
+
     return reconcile_zone(ub, ros, add, zone=ZONE, materialize=hook)
 
 
@@ -136,7 +146,7 @@ def q_read_export_sheet(spark, sf):
 def q_write_snapshot(spark, sf):
     base = scratch_path(spark, "snapshots")
     snapshots.write_snapshot(derived.userbase(spark, sf), base, 0)
-    run = _run(spark, sf, materialize=True)
+    run = _run(spark, sf)
     snapshots.write_snapshot(run.table, base, 1)
     return short(snapshots.read_snapshot(spark, base), FINAL)
 
@@ -238,21 +248,21 @@ def q_key_index(spark, sf):
 
 
 def q_cascade_match(spark, sf):
-    return short(_run(spark, sf).winners)
+    return short(_run(spark, sf, "hits").winners)
 
 
 def q_roster_match(spark, sf):
-    run = _run(spark, sf)
+    run = _run(spark, sf, "hits")
     sizes = run.keys_u.groupBy(match.TIER, match.KEY).agg(F.count(F.lit(1)).alias("n_hits"))
     return short(run.winners.join(sizes, [match.TIER, match.KEY]).select(match.RID, match.TIER, match.KEY, "n_hits"))
 
 
 def q_add_new_only(spark, sf):
-    return short(_run(spark, sf).add_new, ["ord", "gid", "email"])
+    return short(_run(spark, sf, "hits").add_new, ["ord", "gid", "email"])
 
 
 def q_add_existing(spark, sf):
-    return short(_run(spark, sf).add_existing, ["ord", "gid", "email"])
+    return short(_run(spark, sf, "hits").add_existing, ["ord", "gid", "email"])
 
 
 def q_unmatched_roster(spark, sf):
@@ -281,11 +291,11 @@ def q_resolve_zone(spark, sf):
 
 
 def q_row_flags(spark, sf):
-    return short(_run(spark, sf).row_flags, ["gen", "ord", "v", "d"])
+    return short(_run(spark, sf, "row_flags").row_flags, ["gen", "ord", "v", "d"])
 
 
 def q_reconcile_summary(spark, sf):
-    return _run(spark, sf, materialize=True).summary
+    return _run(spark, sf).summary
 
 
 def q_diagnose_summary(spark, sf):
@@ -293,30 +303,30 @@ def q_diagnose_summary(spark, sf):
 
 
 def q_removal_wins(spark, sf):
-    d = _run(spark, sf).decided
+    d = _run(spark, sf, "row_flags").decided
     return d.filter("_ref").select(F.col(S.GEN).alias("gen"), F.col(S.ORD).alias("ord"),
                                    F.col("_val").alias("validated"), F.col("_del").alias("removed"))
 
 
 def q_not_found(spark, sf):
-    d = _run(spark, sf).decided
+    d = _run(spark, sf, "row_flags").decided
     return short(d.filter("_nf"), ["gen", "ord", "zone"])
 
 
 def q_apply_status(spark, sf):
     from rollcall.operators.update import apply_status
 
-    return short(apply_status(_run(spark, sf).decided), ["gen", "ord", "status"])
+    return short(apply_status(_run(spark, sf, "row_flags").decided), ["gen", "ord", "status"])
 
 
 def q_remove_rows(spark, sf):
     from rollcall.operators.update import remove_rows
 
-    return short(remove_rows(_run(spark, sf).decided), ["gen", "ord", "email"])
+    return short(remove_rows(_run(spark, sf, "row_flags").decided), ["gen", "ord", "email"])
 
 
 def q_append_new(spark, sf):
-    return short(_run(spark, sf).appended, FINAL)
+    return short(_run(spark, sf, "hits").appended, FINAL)
 
 
 def q_dedupe_email(spark, sf):
@@ -331,12 +341,12 @@ def q_topk_per_key(spark, sf):
 
 
 def q_stable_order(spark, sf):
-    t = _run(spark, sf, materialize=True).table
+    t = _run(spark, sf).table
     return short(t.orderBy(S.GEN, S.ORD), ["gen", "ord", "email", "status"])
 
 
 def q_reconcile_zone(spark, sf):
-    return short(_run(spark, sf, materialize=True).table, FINAL)
+    return short(_run(spark, sf).table, FINAL)
 
 
 def q_run_zone(spark, sf):
