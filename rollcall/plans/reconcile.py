@@ -143,15 +143,19 @@ def reconcile_zone(
     exists_n = cands.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
     exists = exists_n.select(*keys_tk)
     probe_n = probe.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
+
+    def hot(table, counts):
+        # A written table with no more rows than one task holds cannot have a
+        # hot key (its count is footer metadata), so the plain join is exact.
+        if materialize is not None and table.count() <= per_task:
+            return None
+        return skew.hot_keys(counts, keys_tk, "_n", per_task)
+
     # First hitting tier per probe row, roster and add list in one aggregate.
-    hits = keep(
-        match.cascade_match(
-            probe, exists, "_src", match.RID, match.ACT, hot=skew.hot_keys(probe_n, keys_tk, "_n", per_task)
-        )
-    )
+    hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT, hot=hot(probe, probe_n)))
     winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
-    rflags = keep(match.row_flags(cands, flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, "_n", per_task)))
+    rflags = keep(match.row_flags(cands, flags, INZ, hot=hot(cands, exists_n)))
 
     decided = update.with_row_decisions(ub, rflags.drop(INZ), zone)
 
