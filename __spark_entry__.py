@@ -419,14 +419,27 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators, where those are installed."""
+    try:
+        import corpus_pipeline
+        from rollcall.llm import queries as training
+    except ModuleNotFoundError as e:
+        if (e.name or "").startswith(("rollcall.llm", "corpus_pipeline")):
+            return {}, {}
+        raise
+    runs = {**training.QUERIES, "pipeline": corpus_pipeline.run}
+    return runs, {**training.ORACLE_SQL, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: one zone reconcile on sf0.001 (final table)."""
     return q_reconcile_zone(spark, SF_SMOKE)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return _oracle.queries()
+    return {**_oracle.queries(), **_training_data()[1]}
