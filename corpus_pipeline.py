@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import language_id
+from rollcall.llm import language_id, simhash
 from rollcall.session import scratch_path
 
 STAGES = [
     ("language", language_id.stage),
+    ("near-duplicates", simhash.stage),
 ]
 
 # The stages learn models and hash shingles: not SQL. Tested against a brute-force version.

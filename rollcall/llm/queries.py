@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import language_id
+from rollcall.llm import language_id, simhash
 from rollcall.llm.common import table
 
 
@@ -14,8 +14,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.query(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {}
