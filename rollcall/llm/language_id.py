@@ -78,8 +78,11 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
     least cosine that it accepts.
     """
     named = pick(docs, doc_id="bigint", lang="string").filter(may_learn & F.col("lang").isNotNull())
-    nearest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = named.withColumn("_n", F.row_number().over(nearest)).filter(F.col("_n") <= per_language)
+    # A language may hold most rows: the smallest hashes of each of its 64 parts, then of those.
+    chosen = named.withColumn("_part", F.pmod(F.hash("doc_id"), F.lit(64)))
+    for within in (["lang", "_part"], ["lang"]):
+        smallest = Window.partitionBy(*within).orderBy(F.xxhash64("doc_id"), "doc_id")
+        chosen = chosen.withColumn("_n", F.row_number().over(smallest)).filter(F.col("_n") <= -(-per_language // (16 if len(within) > 1 else 1)))
     rows = bounded_examples(docs, chosen, "doc_id", "lang", limit)
 
     def learn(batches):
