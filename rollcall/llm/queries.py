@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import language_id, quality_ftrl, simhash, toxicity_knn
+from rollcall.llm import language_id, quality_ftrl, secrets_crf, simhash, toxicity_knn
 from rollcall.llm.common import table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_crf.query(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,6 +31,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
     "op4_language_id": op4_language_id,
     "op8_toxicity": op8_toxicity,
