@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import language_id, secrets_crf, simhash
+from rollcall.llm import language_id, packing, secrets_crf, simhash
 from rollcall.session import scratch_path
 
 STAGES = [
     ("language", language_id.stage),
     ("near-duplicates", simhash.stage),
     ("secrets", secrets_crf.stage),
+    ("packing", packing.stage),
 ]
 
 # The stages learn models and hash shingles: not SQL. Tested against a brute-force version.
