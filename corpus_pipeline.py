@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import language_id, packing, secrets_crf, simhash
+from rollcall.llm import decontaminate, language_id, packing, secrets_crf, simhash
 from rollcall.session import scratch_path
 
 STAGES = [
     ("language", language_id.stage),
     ("near-duplicates", simhash.stage),
+    ("decontamination", decontaminate.stage),
     ("secrets", secrets_crf.stage),
     ("packing", packing.stage),
 ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import language_id, packing, quality_ftrl, secrets_crf, simhash, toxicity_knn
+from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, secrets_crf, simhash, toxicity_knn
 from rollcall.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
@@ -38,9 +42,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
     "op4_language_id": op4_language_id,
+    "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_decontaminate": decontaminate.SQL,
+}
