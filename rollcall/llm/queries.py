@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, secrets_crf, simhash, toxicity_knn
+from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, secrets_crf, simhash, toxicity_knn, url_filter
 from rollcall.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_knn.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.query(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
 }
 
