@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, secrets_crf, simhash, toxicity_knn, url_filter
+from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, quality_rules, secrets_crf, simhash, toxicity_knn, url_filter
 from rollcall.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.query(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.query(table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_knn.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
+    "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
