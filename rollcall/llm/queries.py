@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, quality_rules, secrets_crf, simhash, toxicity_knn, url_filter
+from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, quality_rules, secrets_crf, simhash, substring_dedup, toxicity_knn, url_filter
 from rollcall.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ftrl.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.query(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_decontaminate": op5_decontaminate,
     "op6_packing": op6_packing,
