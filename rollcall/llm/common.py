@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +61,20 @@ def bounded_examples(docs: DataFrame, chosen: DataFrame, key: str, label: str, l
     return found.dropDuplicates(["doc_id"])
 
 
+def learned(rows: DataFrame, learn: Callable, otherwise):
+    """What ``learn`` makes of the rows, which meet in one task: for rows whose
+    number has a documented bound. ``otherwise`` if there are none.
+
+    ``learn`` takes the batches of rows (pandas) and returns any object.
+    """
+
+    def work(batches):
+        yield pd.DataFrame({"model": [pickle.dumps(learn(batches))]})
+
+    found = rows.repartition(1).mapInPandas(work, "model binary").first()
+    return pickle.loads(found["model"]) if found else otherwise
+
+
 class Memo(dict):
     """word -> value, computed once; emptied when it holds ``limit`` words, so
     that its memory stays bounded whatever the vocabulary."""

@@ -12,15 +12,12 @@ rejected. No training documents: every text is ``und``. Whole texts are used.
 
 from __future__ import annotations
 
-import pickle
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import bounded_examples, documents, fold_is, pick
+from rollcall.llm.common import bounded_examples, documents, fold_is, learned, pick
 
 UNDETERMINED = "und"
 SCHEMA = "doc_id bigint, lang_pred string, score double, rejected boolean"
@@ -95,8 +92,7 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
                 langs += part["label"].tolist()
                 ids += part["doc_id"].tolist()
         if not ids:
-            yield pd.DataFrame({"model": [pickle.dumps({})]})
-            return
+            return {}
         order = np.argsort(np.array(ids))
         m, langs = np.concatenate(raw)[order].astype(np.float32), np.array(langs, dtype=object)[order]
         idf = (np.log((1 + len(m)) / (1 + (m > 0).sum(axis=0))) + 1).astype(np.float32)
@@ -110,10 +106,9 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
             centres.append(c)
             names += [lang] * len(c)
             least += [bound] * len(c)
-        yield pd.DataFrame({"model": [pickle.dumps({"bins": bins, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "langs": names, "least": np.array(least)})]})
+        return {"bins": bins, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "langs": names, "least": np.array(least)}
 
-    # At most `limit` rows meet in this one task.
-    return pickle.loads(rows.repartition(1).mapInPandas(learn, "model binary").first()["model"])
+    return learned(rows, learn, {})
 
 
 def judged(whole: list, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

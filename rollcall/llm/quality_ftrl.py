@@ -15,17 +15,15 @@ the intercept. Without training rows all weights are 0 and every score is
 from __future__ import annotations
 
 import math
-import pickle
 import re
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, fold_is, pick
+from rollcall.llm.common import Memo, bounded_examples, fold_is, learned, pick
 
 BITS = 18
 SCHEMA = "doc_id bigint, score double"
@@ -90,7 +88,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 6000, ep
     """Weights learned from at most ``limit`` labelled documents (the documented
     bound of the fit); ``labels`` holds only rows that may be learned from.
     """
-    rows = bounded_examples(docs, pick(labels, **{"doc_id": "bigint", label: "int"}), "doc_id", label, limit)
+    rows = bounded_examples(docs, labels, "doc_id", label, limit)
 
     def learn(batches):
         memo, examples = Memo(word_code), []
@@ -103,10 +101,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 6000, ep
         for _ in range(epochs):
             for _, _, at, x, y in examples:
                 model.update(at, x.astype(np.float64), y)
-        yield pd.DataFrame({"model": [pickle.dumps(model.weights(slice(None)).astype(np.float32))]})
+        return model.weights(slice(None)).astype(np.float32)
 
-    # At most `limit` rows meet in this one task.
-    return pickle.loads(rows.repartition(1).mapInPandas(learn, "model binary").first()["model"])
+    return learned(rows, learn, np.zeros((1 << bits) + 1, dtype=np.float32))
 
 
 def predict(docs: DataFrame, weights: np.ndarray) -> DataFrame:
@@ -128,6 +125,6 @@ def predict(docs: DataFrame, weights: np.ndarray) -> DataFrame:
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held_out = fold_is("doc_id", 3, 1)
-    weights = fit(docs, labels.filter(~held_out), "quality")
+    weights = fit(docs, pick(labels, doc_id="bigint", quality="int").filter(~held_out), "quality")
     scored = predict(docs, weights)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

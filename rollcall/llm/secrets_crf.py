@@ -19,16 +19,14 @@ the end exclusive. Without training finds the CRF adds nothing.
 from __future__ import annotations
 
 import hashlib
-import pickle
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, documents, pick
+from rollcall.llm.common import Memo, bounded_examples, documents, learned, pick
 
 KINDS = ("assign", "access", "hex", "crf")
 O, B, I = 0, 1, 2  # noqa: E741
@@ -173,9 +171,10 @@ def trained(examples: list, rounds: int = 150, rate: float = 0.15, l2: float = 1
     return w
 
 
-def fit(docs: DataFrame, *, limit: int = 4000, most_windows: int = 6000) -> dict:
+def fit(docs: DataFrame, *, limit: int = 4000, most_windows: int = 6000) -> dict | None:
     """CRF weights learned from at most ``limit`` documents and ``most_windows``
-    windows of them (the documented bounds of the fit)."""
+    windows of them (the documented bounds of the fit); None if no pattern has
+    a find there."""
     ids = pick(docs, doc_id="bigint").withColumn("label", F.lit(1))
     rows = bounded_examples(docs, ids, "doc_id", "label", limit)
 
@@ -187,10 +186,9 @@ def fit(docs: DataFrame, *, limit: int = 4000, most_windows: int = 6000) -> dict
         examples.sort(key=lambda e: (e[1] > 2, hashlib.md5(str(e[0]).encode()).digest(), e[1]))
         examples = [x for *_, x in examples[:most_windows]]
         found = any((tags == B).any() for _, tags, _ in examples)
-        yield pd.DataFrame({"model": [pickle.dumps(trained(examples) if found else None)]})
+        return trained(examples) if found else None
 
-    # At most `limit` rows meet in this one task.
-    return pickle.loads(rows.repartition(1).mapInPandas(learn, "model binary").first()["model"])
+    return learned(rows, learn, None)
 
 
 # ---- decoding ---------------------------------------------------------------

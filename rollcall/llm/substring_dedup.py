@@ -130,18 +130,19 @@ class Chunk:
         return np.cumsum(edge)[:-1] > 0
 
 
-def gathered(bucket: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
-    """The bits of all buckets, in the order of the (sorted) entries asked."""
-    out = np.zeros(len(bucket), dtype=bool)
+def by_bucket(bucket: np.ndarray) -> list[tuple[int, slice]]:
+    """Each bucket's slice of the (sorted) entries."""
     buckets, first = np.unique(bucket, return_index=True)
-    for b, a, z in zip(buckets.tolist(), first, [*first[1:], len(bucket)], strict=True):
-        out[a:z] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=z - a)
-    return out
+    ends = np.append(first[1:], len(bucket))
+    return [(b, slice(a, z)) for b, a, z in zip(buckets.tolist(), first, ends, strict=False)]
 
 
-def by_bucket(bucket: np.ndarray) -> list[tuple[int, slice]]:
-    buckets, first = np.unique(bucket, return_index=True)
-    return [(b, slice(a, z)) for b, a, z in zip(buckets.tolist(), first, [*first[1:], len(bucket)], strict=True)]
+def gathered(bucket: np.ndarray, answers: dict[int, bytes]) -> np.ndarray:
+    """The bits of all buckets, in the order of the entries asked."""
+    out = np.zeros(len(bucket), dtype=bool)
+    for b, s in by_bucket(bucket):
+        out[s] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=s.stop - s.start)
+    return out
 
 
 ROWS = "bucket int, chunk int, kind int, blob binary"

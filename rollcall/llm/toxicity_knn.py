@@ -109,7 +109,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 8000, mo
     """Terms and examples from at most ``limit`` labelled documents (the
     documented bound of the fit); ``labels`` holds only rows that may be learned from.
     """
-    rows = bounded_examples(docs, pick(labels, **{"doc_id": "bigint", label: "int"}), "doc_id", label, limit)
+    rows = bounded_examples(docs, labels, "doc_id", label, limit)
 
     def count(batches):
         memo, found = Memo(terms), {}
@@ -183,5 +183,5 @@ def predict(docs: DataFrame, index: Index, *, k: int = 15, most_copies: int = 5)
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held_out = fold_is("doc_id", 4, 2)
-    scored = predict(docs, fit(docs, labels.filter(~held_out), "toxic"))
+    scored = predict(docs, fit(docs, pick(labels, doc_id="bigint", toxic="int").filter(~held_out), "toxic"))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence")
