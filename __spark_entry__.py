@@ -33,7 +33,7 @@ from rollcall.functions import (  # noqa: E402
     strip_leading_zeros,
     valid_email,
 )
-from rollcall.operators import clean, match  # noqa: E402
+from rollcall.operators import clean, match, skew  # noqa: E402
 from rollcall.operators.dedupe import dedupe_email, topk_per_key  # noqa: E402
 from rollcall.operators.zone import resolve_zones  # noqa: E402
 from rollcall.plans import diagnose as diag  # noqa: E402
@@ -78,7 +78,7 @@ def _inputs(spark, sf):
 
 
 # Materialisation points of a zone run, in the order the plan reaches them.
-_STAGES = ("probe", "cands", "hits", "row_flags", "dups")
+_STAGES = ("keyed", "probe", "probe_n", "exists_n", "hits", "row_flags", "groups", "dups")
 
 
 def _run(spark, sf, materialize: str | None = "dups"):
@@ -253,8 +253,10 @@ def q_cascade_match(spark, sf):
 
 def q_roster_match(spark, sf):
     run = _run(spark, sf, "hits")
-    sizes = run.keys_u.groupBy(match.TIER, match.KEY).agg(F.count(F.lit(1)).alias("n_hits"))
-    return short(run.winners.join(sizes, [match.TIER, match.KEY]).select(match.RID, match.TIER, match.KEY, "n_hits"))
+    keys = [match.TIER, match.KEY]
+    hot = skew.hot_keys(run.probe_n, keys, match.N, skew.rows_per_task(run.winners))
+    sized = skew.split_hot_join(run.winners, run.exists_n.withColumnRenamed(match.N, "n_hits"), keys, hot, [match.RID])
+    return short(sized.select(match.RID, *keys, "n_hits"))
 
 
 def q_add_new_only(spark, sf):

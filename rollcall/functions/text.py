@@ -1,8 +1,8 @@
 """Scalar key functions as Spark column expressions (JVM side, codegen'd).
 
 Null and blank are the same value: every function maps null to ''.
-Only the NFKC step of ``norm_email`` leaves the JVM, and only for values
-that contain a non-ASCII character (see ``unicode.nfkc``).
+Everything runs in the JVM; the NFKC step of ``norm_email`` calls its ICU, and
+only for values that contain a non-ASCII character (see ``unicode.nfkc``).
 """
 
 from __future__ import annotations
@@ -44,9 +44,9 @@ _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
 
 
 def _by_name(fn):
-    """Build the expression once per column name (and active context):
-    each expression is many JVM calls, and plans reuse the same keys."""
-    cache: dict = {}
+    """Build the expression once per column name: each is many JVM calls, and
+    plans reuse the same keys. The expressions are kept on the context that
+    they belong to and go with it."""
 
     @functools.wraps(fn)
     def wrapper(c, *args):
@@ -54,7 +54,8 @@ def _by_name(fn):
             return fn(c, *args)
         from pyspark import SparkContext
 
-        key = (id(SparkContext._active_spark_context), c, tuple(repr(a) for a in args))
+        cache = vars(SparkContext._active_spark_context).setdefault("_rollcall_expressions", {})
+        key = (fn.__name__, c, tuple(repr(a) for a in args))
         col = cache.get(key)
         if col is None:
             col = cache[key] = fn(c, *args)

@@ -21,15 +21,17 @@ from rollcall.operators.skew import hot_keys, rows_per_task, split_hot_join
 DUP = "_dup"
 
 
-def duplicate_rows(rows: DataFrame, key: str) -> DataFrame:
+def duplicate_rows(rows: DataFrame, key: str, materialize=None) -> DataFrame:
     """``rows(key, _gen, _ord)`` with blank keys removed -> ``(_gen, _ord, _dup)``
-    for every row that is not the first of its key."""
+    for every row that is not the first of its key. ``materialize`` is applied
+    to the groups with copies, which are used three times."""
     pos = F.struct(S.GEN, S.ORD)
     groups = (
         rows.groupBy(key)
         .agg(F.min(pos).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
     )
+    groups = materialize(groups) if materialize else groups
     hot = hot_keys(groups, [key], "_n", rows_per_task(rows))
     return (
         split_hot_join(rows, groups.select(key, "_first"), [key], hot, [S.GEN, S.ORD])

@@ -26,6 +26,7 @@ TIER, KEY = "_tier", "_key"
 E, G, L = "_e", "_g", "_l"
 RID, ACT = "_rid", "_act"
 V, D = "_v", "_d"
+N = "_n"
 
 
 def with_norm_keys(df: DataFrame, use_local: bool = True) -> DataFrame:
@@ -46,16 +47,9 @@ def key_index(keyed: DataFrame, *carry: str) -> DataFrame:
     return keyed.select(*carry, F.inline(tiers)).filter(F.col(KEY) != "")
 
 
-def candidates(userbase_keys: DataFrame, probe_keys: DataFrame) -> DataFrame:
-    """Userbase key rows whose key some probe row carries.
-
-    When the probe key set is small the planner broadcasts it and the
-    userbase key table is filtered map-side without a shuffle."""
-    return userbase_keys.join(probe_keys, [TIER, KEY], "left_semi")
-
-
-def existing_keys(cands: DataFrame) -> DataFrame:
-    return cands.select(TIER, KEY).distinct()
+def key_counts(keys: DataFrame) -> DataFrame:
+    """One row per key with its number of rows ``_n``."""
+    return keys.groupBy(TIER, KEY).agg(F.count(F.lit(1)).alias(N))
 
 
 def cascade_match(probe: DataFrame, exists: DataFrame, *row_cols: str, hot: DataFrame | None = None) -> DataFrame:
@@ -82,15 +76,15 @@ def key_flags(winners: DataFrame) -> DataFrame:
     )
 
 
-def row_flags(cands: DataFrame, flags: DataFrame, *carry: str, hot: DataFrame | None = None) -> DataFrame:
+def row_flags(keys_u: DataFrame, flags: DataFrame, *carry: str, hot: DataFrame | None = None) -> DataFrame:
     """Per userbase row hit by the roster: ``_v`` validate, ``_d`` remove
     (plus boolean row attributes ``carry`` the key rows bring along).
     At most three rows (one per tier) meet per userbase row. ``hot``
     (userbase keys with too many rows for one task) splits those keys."""
     if hot is None:
-        joined = cands.join(flags, [TIER, KEY])
+        joined = keys_u.join(flags, [TIER, KEY])
     else:
-        joined = split_hot_join(cands, flags, [TIER, KEY], hot, [S.GEN, S.ORD])
+        joined = split_hot_join(keys_u, flags, [TIER, KEY], hot, [S.GEN, S.ORD])
     return (
         joined
         .groupBy(S.GEN, S.ORD)

@@ -15,9 +15,10 @@ shuffle, so a hot key never ships more than ``k`` rows per map task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall import schema as S
@@ -33,19 +34,21 @@ NAME_CLUES = 2
 
 KINDS = ("email_domain", "gid_zeros", "name", "none")
 
-# Broadcast the probe keys into the candidate scan only below this many
-# unmatched rows (keys are short: emails, ids, names).
-BROADCAST_MAX_PROBES = 500_000
 
+def clued(probe: DataFrame, top: DataFrame, key: str) -> DataFrame:
+    """Unmatched rows with the candidates of their key; a key that very many
+    unmatched rows share is split over tasks."""
+    counts = probe.groupBy(key).agg(F.count(F.lit(1)).alias(match.N))
+    hot = skew.hot_keys(counts, [key], match.N, skew.rows_per_task(probe))
+    return skew.split_hot_join(probe, top, [key], hot, [match.RID])
 
-def _prefilter(candidates: DataFrame, probe: DataFrame, key: str, probe_rows: int | None) -> DataFrame:
-    """Keep candidates whose key some probe row carries, map-side, when the
-    probe side is known to be small. Otherwise keep all: the top-k below is
-    limited per map task before its shuffle, so a hot key stays bounded,
-    whereas a shuffled semi-join would put a hot key in one task."""
-    if probe_rows is None or probe_rows > BROADCAST_MAX_PROBES:
-        return candidates
-    return candidates.join(F.broadcast(probe.select(key).distinct()), key, "left_semi")
+
+def first_distinct(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
+    """The first ``k`` distinct values of each key with their rank. Values rank
+    densely, which limits every map task's share of a hot key before the
+    shuffle; the copies are dropped among the few that are left."""
+    w = Window.partitionBy(key).orderBy(value)
+    return df.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k).dropDuplicates([key, value])
 
 
 @dataclass
@@ -56,6 +59,7 @@ class Diagnosis:
     name_clues: DataFrame
     report: DataFrame
     summary: DataFrame
+    close: Callable[[], None] = lambda: None  # removes the scratch copies of a job
 
 
 def unmatched_roster(userbase: DataFrame, roster: DataFrame) -> DataFrame:
@@ -66,15 +70,16 @@ def unmatched_roster(userbase: DataFrame, roster: DataFrame) -> DataFrame:
     keys_u = match.key_index(keyed_u, S.GEN, S.ORD)
     keyed_r = match.with_norm_keys(roster.withColumn(match.RID, F.col(S.ORD)))
     keys_r = match.key_index(keyed_r, match.RID)
-    cands = match.candidates(keys_u, keys_r.select(match.TIER, match.KEY))
     keys_tk = [match.TIER, match.KEY]
-    counts = keys_r.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
-    hot = skew.hot_keys(counts, keys_tk, "_n", skew.rows_per_task(keys_r))
-    hit = skew.split_hot_join(keys_r, match.existing_keys(cands), keys_tk, hot, [match.RID], "left_semi")
+    counts = match.key_counts(keys_r)
+    # The userbase's distinct keys: a hot one collapses map-side.
+    exists = keys_u.select(*keys_tk).distinct().join(counts.select(*keys_tk), keys_tk, "left_semi")
+    hot = skew.hot_keys(counts, keys_tk, match.N, skew.rows_per_task(keys_r))
+    hit = skew.split_hot_join(keys_r, exists, keys_tk, hot, [match.RID], "left_semi")
     return keyed_r.join(hit.select(match.RID), match.RID, "left_anti")
 
 
-def nearmiss_email(userbase: DataFrame, unmatched: DataFrame, k: int = EMAIL_CLUES, probe_rows: int | None = None) -> DataFrame:
+def nearmiss_email(userbase: DataFrame, unmatched: DataFrame, k: int = EMAIL_CLUES) -> DataFrame:
     """``(_rid, rank, candidate)``: userbase emails sharing the local part."""
     if S.EMAIL not in userbase.columns:
         return unmatched.select(match.RID, F.lit(1).alias("rank"), F.lit("").alias("candidate")).filter(F.lit(False))
@@ -85,12 +90,10 @@ def nearmiss_email(userbase: DataFrame, unmatched: DataFrame, k: int = EMAIL_CLU
         .filter(F.col("candidate") != "")
         .withColumn("_lp", email_local_part("candidate"))
     )
-    ub = _prefilter(ub, probe, "_lp", probe_rows).distinct()
-    top = topk_per_key(ub, "_lp", [F.col("candidate")], k)
-    return probe.join(top, "_lp").select(match.RID, "rank", "candidate")
+    return clued(probe, first_distinct(ub, "_lp", "candidate", k), "_lp").select(match.RID, "rank", "candidate")
 
 
-def nearmiss_gid(userbase: DataFrame, unmatched: DataFrame, k: int = GID_CLUES, probe_rows: int | None = None) -> DataFrame:
+def nearmiss_gid(userbase: DataFrame, unmatched: DataFrame, k: int = GID_CLUES) -> DataFrame:
     """``(_rid, rank, candidate)``: userbase ids equal once leading zeros go.
     Blank ids are excluded before stripping; an all-zero id may match."""
     if S.GLOBAL_ID not in userbase.columns:
@@ -102,12 +105,10 @@ def nearmiss_gid(userbase: DataFrame, unmatched: DataFrame, k: int = GID_CLUES,
         .filter(F.col("candidate") != "")
         .withColumn("_gz", strip_leading_zeros("candidate"))
     )
-    ub = _prefilter(ub, probe, "_gz", probe_rows).distinct()
-    top = topk_per_key(ub, "_gz", [F.col("candidate")], k)
-    return probe.join(top, "_gz").select(match.RID, "rank", "candidate")
+    return clued(probe, first_distinct(ub, "_gz", "candidate", k), "_gz").select(match.RID, "rank", "candidate")
 
 
-def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES, probe_rows: int | None = None) -> DataFrame:
+def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES) -> DataFrame:
     """``(_rid, rank, _gen, _ord, email, gid, lid)``: the first ``k`` userbase
     rows (table order) with the same folded name; raw keys shown."""
     cols = ["_rid", "rank", S.GEN, S.ORD, "email", "gid", "lid"]
@@ -116,7 +117,7 @@ def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES
             match.RID, F.lit(1).alias("rank"), F.lit(0).alias(S.GEN), F.lit(0).cast("bigint").alias(S.ORD),
             *[F.lit("").alias(c) for c in cols[4:]],
         ).filter(F.lit(False))
-    probe = unmatched.filter(text(S.NAME) != "").select(match.RID, fold_name(S.NAME).alias("_fn"))
+    probe = unmatched.select(match.RID, fold_name(S.NAME).alias("_fn")).filter("_fn <> ''")
 
     def raw(c):
         return text(c) if c in userbase.columns else F.lit("")
@@ -124,10 +125,9 @@ def nearmiss_name(userbase: DataFrame, unmatched: DataFrame, k: int = NAME_CLUES
     ub = userbase.select(
         fold_name(S.NAME).alias("_fn"), S.GEN, S.ORD,
         raw(S.EMAIL).alias("email"), raw(S.GLOBAL_ID).alias("gid"), raw(S.LOCAL_ID).alias("lid"),
-    )
-    ub = _prefilter(ub, probe, "_fn", probe_rows)
+    ).filter("_fn <> ''")
     top = topk_per_key(ub, "_fn", [F.col(S.GEN), F.col(S.ORD)], k)
-    return probe.join(top, "_fn").select(*cols)
+    return clued(probe, top, "_fn").select(*cols)
 
 
 def nearmiss_report(unmatched, email_clues, gid_clues, name_clues) -> DataFrame:
@@ -176,11 +176,9 @@ def diagnose(userbase: DataFrame, roster: DataFrame, add: DataFrame | None = Non
     """``materialize`` (e.g. ``session.written_table(spark)``) is applied to
     the unmatched rows, which feed all three clue joins and the report."""
     un = unmatched_roster(userbase, roster)
-    rows = None
     if materialize is not None:
         un = materialize(un)
-        rows = un.count()  # footer metadata of the written copy
-    e = nearmiss_email(userbase, un, probe_rows=rows)
-    g = nearmiss_gid(userbase, un, probe_rows=rows)
-    n = nearmiss_name(userbase, un, probe_rows=rows)
+    e = nearmiss_email(userbase, un)
+    g = nearmiss_gid(userbase, un)
+    n = nearmiss_name(userbase, un)
     return Diagnosis(un, e, g, n, nearmiss_report(un, e, g, n), diagnose_summary(userbase, roster, add, un))

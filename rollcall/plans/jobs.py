@@ -58,9 +58,8 @@ def run_zone(
     run_id: str | None = None,
 ) -> RunResult:
     """Reconcile ``roster``/``add`` into the latest snapshot under ``base``
-    and commit the result as the next version. With ``run_id`` the run is
-    recorded next to the version before it commits, so a caller that
-    retries can tell whether the run already took effect."""
+    and commit the result as the next version. ``run_id`` becomes part of
+    the commit, so a caller that retries can tell whether the run took effect."""
     version = snapshots.latest_version(spark, base)
     if version is None:
         raise ValueError(f"No snapshot under {base}; ingest the export first")
@@ -69,14 +68,14 @@ def run_zone(
     do_clean = should_clean(data_cols, clean)
     missing = S.missing_keep_columns(data_cols) if do_clean else []
     hook = _checkpointer(spark)
-    with case_sensitive(spark):
-        userbase = clean_export(current) if do_clean else current
-        run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook)
-        if run_id is not None:
-            snapshots.record_run(spark, base, version + 1, run_id)
-        snapshots.write_snapshot(run.table, base, version + 1)
-        summary = run.summary.first().asDict()
-    hook.cleanup()  # the committed snapshot no longer depends on them
+    try:
+        with case_sensitive(spark):
+            userbase = clean_export(current) if do_clean else current
+            run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook)
+            summary = run.summary.first().asDict()
+            snapshots.write_snapshot(run.table, base, version + 1, run_id)
+    finally:
+        hook.cleanup()  # the committed snapshot doesn't depend on them
     return RunResult(
         version=version + 1,
         zone=run.zone,
@@ -104,10 +103,17 @@ def accumulate_zones(
 
 def diagnose_zone(spark: SparkSession, base: str, roster: DataFrame, add: DataFrame | None = None):
     """Read-only diagnosis of a roster against the latest snapshot: unmatched
-    rows, near-miss clues and counts. The snapshot is never written; the
-    unmatched rows are kept once as a scratch copy in the shared folder."""
+    rows, near-miss clues and counts. The snapshot is never written; scratch
+    copies in the shared folder go with ``close()`` of the result."""
     from rollcall.plans.diagnose import diagnose
 
     current = snapshots.read_snapshot(spark, base)
-    with case_sensitive(spark):
-        return diagnose(current, roster, add, materialize=written_table(spark, "diagnose"))
+    hook = written_table(spark, "diagnose")
+    try:
+        with case_sensitive(spark):
+            found = diagnose(current, roster, add, materialize=hook)
+    except BaseException:
+        hook.cleanup()
+        raise
+    found.close = hook.cleanup
+    return found

@@ -2,13 +2,13 @@
 
 Shape of the plan (every arrow a Spark operator, no driver loop):
 
-    userbase --narrow--> keys_u(_tier,_key,_gen,_ord)  (blank keys dropped)
+    userbase --narrow--> keyed_u(_gen,_ord, three keys)   (the one key scan)
+    keyed_u --> keys_u(_tier,_key,_gen,_ord)              (blank keys dropped)
     roster/add --narrow--> probe keys
-    keys_u LEFT SEMI probe keys      -> cands   (map-side when probe is small)
-    cands.distinct(_tier,_key)       -> exists
+    keys_u count per key, SEMI distinct probe keys -> exists (hot keys collapse map-side)
     probe SEMI exists, min(struct(tier,key)) per probe row -> hits
     roster hits groupBy key          -> key flags (one row per key)
-    cands JOIN key flags, groupBy row -> row flags (<= 3 rows meet per row)
+    keys_u JOIN key flags (hot keys split), groupBy row -> row flags (<= 3 rows meet per row)
     userbase LEFT JOIN row flags     -> statuses, removals
     add keys SEMI exists             -> skipped; the rest are appended
     survivors + appended, narrow     -> keep-first dedupe on the email key
@@ -53,6 +53,8 @@ class ZoneRun:
     gen: int
     keys_u: DataFrame
     exists: DataFrame
+    exists_n: DataFrame
+    probe_n: DataFrame
     winners: DataFrame
     flags: DataFrame
     row_flags: DataFrame
@@ -91,10 +93,11 @@ def reconcile_zone(
     ``_gen`` already in the userbase so they sort after it.
 
     ``materialize`` (e.g. ``session.written_table(spark)``) is applied to
-    the narrow tables that feed several later steps: probe keys, candidate
-    userbase keys, probe hits, per-row flags and duplicates. A job passes it
-    so that none is computed twice (the roster's key normalisation is the
-    costliest per row) and lineage is cut at a reliable copy."""
+    the narrow tables that feed several later steps: the userbase's keys per
+    row, probe keys, counts of probe keys and of the userbase's keys among
+    them, probe hits, per-row flags, groups of equal emails and duplicates. A
+    job passes it so that none is computed twice (the key normalisation is
+    the costliest per row) and lineage is cut at a reliable copy."""
     keep = materialize or (lambda df: df)
     ub = prepare_userbase(userbase)
     S.require_columns(roster, (S.GLOBAL_ID, S.EMAIL), "Zones roster tab")
@@ -112,7 +115,7 @@ def reconcile_zone(
     # Userbase keys (narrow), matched over the whole userbase: cross-zone hits count.
     # Each key row carries its row's zone membership, so the counters never
     # need to join the wide userbase again.
-    keyed_u = match.with_norm_keys(ub).withColumn(INZ, in_zone(S.ZONE, zone))
+    keyed_u = keep(match.with_norm_keys(ub).select(S.GEN, S.ORD, match.E, match.G, match.L, in_zone(S.ZONE, zone).alias(INZ)))
     keys_u = match.key_index(keyed_u, S.GEN, S.ORD, INZ)
 
     # Roster keys, with the action class carried per row.
@@ -132,30 +135,21 @@ def reconcile_zone(
         )
         probe = probe.union(keys_a)
 
-    # The probe table is broadcast into the semi-join when small (duplicates
-    # are harmless there), so the userbase key table is filtered map-side.
     probe = keep(probe)
-    cands = keep(match.candidates(keys_u, probe.select(match.TIER, match.KEY)))
-    # Distinct keys with their row counts (partial aggregation): the counts
-    # name the keys too big for one task, which the joins below split.
+    # Keys with their row counts: a hot key is one row per map task before its
+    # shuffle, and the counts name the keys that the joins below split.
     keys_tk = [match.TIER, match.KEY]
-    per_task = skew.rows_per_task(cands)
-    exists_n = cands.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
+    per_task = skew.rows_per_task(probe)
+    probe_n = keep(match.key_counts(probe))
+    exists_n = keep(match.key_counts(keys_u).join(probe_n.select(*keys_tk), keys_tk, "left_semi"))
     exists = exists_n.select(*keys_tk)
-    probe_n = probe.groupBy(*keys_tk).agg(F.count(F.lit(1)).alias("_n"))
-
-    def hot(table, counts):
-        # A written table with no more rows than one task holds cannot have a
-        # hot key (its count is footer metadata), so the plain join is exact.
-        if materialize is not None and table.count() <= per_task:
-            return None
-        return skew.hot_keys(counts, keys_tk, "_n", per_task)
 
     # First hitting tier per probe row, roster and add list in one aggregate.
-    hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT, hot=hot(probe, probe_n)))
+    probe_hot = skew.hot_keys(probe_n, keys_tk, match.N, per_task)
+    hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT, hot=probe_hot))
     winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
-    rflags = keep(match.row_flags(cands, flags, INZ, hot=hot(cands, exists_n)))
+    rflags = keep(match.row_flags(keys_u, flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, match.N, per_task)))
 
     decided = update.with_row_decisions(ub, rflags.drop(INZ), zone)
 
@@ -182,7 +176,7 @@ def reconcile_zone(
         rows = rows.union(
             match.with_norm_keys(appended).select(S.GEN, S.ORD, e).filter(F.col(e) != "")
         )
-    dups = keep(duplicate_rows(rows, e))
+    dups = keep(duplicate_rows(rows, e, materialize=keep))
 
     kept_ub = (
         update.apply_status(update.remove_rows(decided))
@@ -194,12 +188,14 @@ def reconcile_zone(
         kept_new = appended.join(dups, [S.GEN, S.ORD], "left_anti")
         table = table.union(kept_new.select(*[S.qcol(c) for c in columns]))
 
-    summary = _summary(zone, ub, rflags, roster, act_col, add, add_new, add_existing, dups)
+    summary = _summary(zone, keyed_u, rflags, roster, act_col, add, add_new, add_existing, dups)
     return ZoneRun(
         zone=zone,
         gen=gen,
         keys_u=keys_u,
         exists=exists,
+        exists_n=exists_n,
+        probe_n=probe_n,
         winners=winners,
         flags=flags,
         row_flags=rflags,
@@ -213,11 +209,11 @@ def reconcile_zone(
     )
 
 
-def _summary(zone, ub, rflags, roster, act_col, add, add_new, add_existing, dups) -> DataFrame:
+def _summary(zone, keyed_u, rflags, roster, act_col, add, add_new, add_existing, dups) -> DataFrame:
     """All nine counters in one aggregate over a tagged union of narrow
     parts (no cross join of one-row results), taken before the final dedupe
-    as the reference prints them. The wide userbase contributes only a
-    column-pruned count of its in-zone rows: not found = in-zone rows minus
+    as the reference prints them. The userbase contributes the count of its
+    in-zone rows, from its key table: not found = in-zone rows minus
     referenced in-zone rows, and every referenced row is in ``rflags``."""
     a, b, c = "_a", "_b", "_c"
     f = F.lit(False)
@@ -228,7 +224,7 @@ def _summary(zone, ub, rflags, roster, act_col, add, add_new, add_existing, dups
             F.col(match.D).alias(b),
             F.col(INZ).alias(c),
         ),
-        ub.select(F.lit("z").alias("_s"), in_zone(S.ZONE, zone).alias(a), f.alias(b), f.alias(c)),
+        keyed_u.select(F.lit("z").alias("_s"), F.col(INZ).alias(a), f.alias(b), f.alias(c)),
         roster.select(
             F.lit("r").alias("_s"),
             valid_email(S.EMAIL).alias(a),

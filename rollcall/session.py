@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -31,14 +32,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a folder of our own
-    created and registered, so that ``checkpoint()`` and written
-    intermediates land somewhere every executor can read.
+    Only a local session that names none gets a folder of our own. On a
+    cluster such a folder would be seen by one machine alone: that raises.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="rollcall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

