@@ -109,13 +109,13 @@ def _diag(spark, sf, materialize: bool = False):
 def q_read_userbase(spark, sf):
     path = scratch_path(spark, "userbase-csv")
     files.write_delimited(derived.userbase(spark, sf), path)
-    return short(files.read_userbase(spark, path), ["zone", "country", "gid", "lid", "name", "email", "status"])
+    return short(files.read_userbase(spark, path, multi_line=True), ["zone", "country", "gid", "lid", "name", "email", "status"])
 
 
 def q_read_export(spark, sf):
     path = scratch_path(spark, "export-csv")
     files.write_delimited(derived.export(spark, sf), path)
-    return short(files.read_export(spark, path), ["zone", "country", "gid", "lid", "name", "emp_status", "email"])
+    return short(files.read_export(spark, path, multi_line=True), ["zone", "country", "gid", "lid", "name", "emp_status", "email"])
 
 
 def _zone_workbook(spark, sf):
@@ -123,7 +123,7 @@ def _zone_workbook(spark, sf):
     region = derived.table(spark, sf, "region")
     tabs.write_workbook(
         spark, base, "zones",
-        [("Current users", derived.roster(spark, sf)), ("Info", region), ("to ADD", derived.add_list(spark, sf))],
+        [("Current users", derived.roster(spark, sf, everyone=True)), ("Info", region), ("to ADD", derived.add_list(spark, sf))],
     )
     return base
 
@@ -184,14 +184,14 @@ def q_valid_email(spark, sf):
 
 
 def q_invalid_rows(spark, sf):
-    _, ros, add = _inputs(spark, sf)
+    ros, add = derived.roster(spark, sf, everyone=True), derived.add_list(spark, sf)
     pick = lambda df, s: clean.invalid_rows(df).select(
         F.lit(s).alias("src"), F.col(S.ORD).alias("ord"), F.col(S.EMAIL).alias("email"))
     return pick(ros, "roster").unionByName(pick(add, "add"))
 
 
 def q_action_class(spark, sf):
-    ros = derived.roster(spark, sf)
+    ros = derived.roster(spark, sf, everyone=True)
     return ros.select(F.col(S.ORD).alias("ord"), F.col(S.ACTION).alias("action"),
                       action_class(S.ACTION).alias("action_class"))
 
@@ -214,7 +214,7 @@ q_norm_local = _norm_query(S.LOCAL_ID, lambda df, c: norm_local(c))
 
 
 def q_strip(spark, sf):
-    ros = derived.roster(spark, sf)
+    ros = derived.roster(spark, sf, everyone=True)
     out = None
     for c, name in ((S.EMAIL, "email"), (S.LOCAL_ID, "lid"), (S.ACTION, "action")):
         part = ros.select(F.lit(name).alias("col"), F.col(S.ORD).alias("ord"), F.col(c).alias("raw"),
@@ -236,7 +236,7 @@ def q_strip_leading_zeros(spark, sf):
 
 
 def q_fold_name(spark, sf):
-    ros = derived.roster(spark, sf)
+    ros = derived.roster(spark, sf, everyone=True)
     return ros.select(F.col(S.ORD).alias("ord"), F.col(S.NAME).alias("name"), fold_name(S.NAME).alias("folded"))
 
 

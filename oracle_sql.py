@@ -65,19 +65,24 @@ _EMAIL = (
 )
 _PEOPLE = "customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 
+_NAME = (
+    "CASE c_custkey % 17 WHEN 1 THEN '' WHEN 2 THEN '  ' WHEN 3 THEN concat('Smith, \"', c_name, '\", Jr') "
+    "WHEN 4 THEN concat(' ', c_name, ' ') WHEN 5 THEN concat(c_name, chr(10), 'II') ELSE c_name END"
+)
+
 UB = f"""ub AS (
   SELECT r_name AS zone, n_name AS country, {_GID} AS gid, concat('L-', CAST(c_custkey AS VARCHAR)) AS lid,
-         c_name AS name, {_EMAIL} AS email, '' AS status, 0 AS gen, c_custkey AS ord
+         {_NAME} AS name, {_EMAIL} AS email, '' AS status, 0 AS gen, c_custkey AS ord
   FROM {_PEOPLE})"""
 
 EXPORT = f"""ex AS (
   SELECT r_name AS zone, n_name AS country, {_GID} AS gid, concat('L-', CAST(c_custkey AS VARCHAR)) AS lid,
-         c_name AS name, CASE WHEN c_custkey % 7 = 0 THEN 'Inactive' ELSE 'Active' END AS emp_status,
+         {_NAME} AS name, CASE WHEN c_custkey % 7 = 0 THEN 'Inactive' ELSE 'Active' END AS emp_status,
          {_EMAIL} AS email, 0 AS gen, c_custkey AS ord
   FROM {_PEOPLE})"""
 
-ROSTER = """ros AS (
-  SELECT c_name AS name,
+ROSTER = f"""ros AS (
+  SELECT CASE WHEN c_custkey % 17 <> 6 THEN {_NAME} END AS name,
          CASE WHEN c_custkey % 4 = 1 THEN concat('moved', CAST(c_custkey AS VARCHAR), '@new.com')
               WHEN c_custkey % 40 = 2 THEN 'noemail@corp.com'
               ELSE concat(' mailto:User', CAST(c_custkey AS VARCHAR), '@Corp.com ') END AS email,
@@ -88,6 +93,9 @@ ROSTER = """ros AS (
          c_custkey AS ord
   FROM customer WHERE c_custkey % 3 <> 2)"""
 
+# Queries that look at roster rows alone take all customers.
+EVERYONE = ROSTER.replace(" WHERE c_custkey % 3 <> 2", "")
+
 ROSTER2 = """ros2 AS (
   SELECT c_name AS name,
          CASE WHEN c_custkey % 6 = 5 THEN concat('User', CAST(c_custkey AS VARCHAR), '@corp.com')
@@ -228,7 +236,7 @@ def _diagnose_ctes() -> list[str]:
         """cn AS (SELECT un.ord AS rid, u.gen, u.ord, u.email, u.gid, u.lid,
               CAST(row_number() OVER (PARTITION BY un.ord ORDER BY u.gen, u.ord) AS INTEGER) AS rank
             FROM un JOIN ub u ON lower(trim(u.name)) = lower(trim(un.name))
-            WHERE coalesce(un.name, '') <> '' QUALIFY rank <= 2)""",
+            WHERE trim(coalesce(un.name, '')) <> '' QUALIFY rank <= 2)""",
     ]
 
 
@@ -239,8 +247,7 @@ ZONE_ROSTERS = """zr AS (
          CASE WHEN c_custkey % 7 = 0 THEN ' '
               WHEN r_name = 'MIDDLE EAST' AND c_custkey % 13 = 0 THEN 'EUROPE'
               ELSE concat(' ', r_name) END AS zone
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE c_custkey % 3 <> 2)"""
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 def _norm_rows(fn) -> str:
@@ -259,7 +266,7 @@ def queries() -> dict[str, str]:
     clean_sel = f"SELECT {', '.join(CLEAN_COLS)} FROM ex WHERE {valid('email')}"
     q["read_export"] = with_(EXPORT) + clean_sel
     q["read_tabs"] = (
-        with_(ROSTER, ADD)
+        with_(EVERYONE, ADD)
         + "SELECT 'Current users' AS tab, ord, gid, email FROM ros UNION ALL SELECT 'to ADD' AS tab, ord, gid, email FROM addl"
     )
     q["read_export_sheet"] = with_(EXPORT) + clean_sel
@@ -271,15 +278,15 @@ def queries() -> dict[str, str]:
         f"SELECT '{s}' AS src, ord, email, {valid('email')} AS valid FROM {t}"
         for s, t in (("userbase", "ub"), ("roster", "ros"), ("add", "addl"))
     )
-    q["invalid_rows"] = with_(ROSTER, ADD) + " UNION ALL ".join(
+    q["invalid_rows"] = with_(EVERYONE, ADD) + " UNION ALL ".join(
         f"SELECT '{s}' AS src, ord, email FROM {t} WHERE NOT {valid('email')}" for s, t in (("roster", "ros"), ("add", "addl"))
     )
-    q["action_class"] = with_(ROSTER) + f"SELECT ord, action, {act('action')} AS action_class FROM ros"
+    q["action_class"] = with_(EVERYONE) + f"SELECT ord, action, {act('action')} AS action_class FROM ros"
     q["in_zone"] = with_(UB) + f"SELECT ord, zone, lower(trim(zone)) = '{ZONE.lower()}' AS in_zone FROM ub"
     q["norm_id"] = with_(UB, ROSTER, ADD) + _norm_rows(n_id).format(c="gid")
     q["norm_email"] = with_(UB, ROSTER, ADD) + _norm_rows(n_email).format(c="email")
     q["norm_local"] = with_(UB, ROSTER, ADD) + _norm_rows(n_local).format(c="lid")
-    q["strip"] = with_(ROSTER) + " UNION ALL ".join(
+    q["strip"] = with_(EVERYONE) + " UNION ALL ".join(
         f"SELECT '{c}' AS col, ord, {c} AS raw, {strip(c)} AS stripped FROM ros" for c in ("email", "lid", "action")
     )
     q["email_local_part"] = with_(UB) + (
@@ -289,7 +296,7 @@ def queries() -> dict[str, str]:
     q["strip_leading_zeros"] = with_(UB) + (
         f"SELECT ord, g AS gid_norm, ltrim(g, '0') AS gid_nozeros FROM (SELECT ord, {n_id('gid')} AS g FROM ub)"
     )
-    q["fold_name"] = with_(ROSTER) + "SELECT ord, name, lower(trim(name)) AS folded FROM ros"
+    q["fold_name"] = with_(EVERYONE) + "SELECT ord, name, lower(trim(coalesce(name, ''))) AS folded FROM ros"
     q["key_index"] = with_(UB) + " UNION ALL ".join(
         f"SELECT gen, ord, {t} AS tier, k AS key FROM (SELECT gen, ord, {fn} AS k FROM ub) WHERE k <> ''"
         for t, fn in ((1, n_email("email")), (2, n_id("gid")), (3, n_local("lid")))

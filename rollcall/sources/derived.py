@@ -37,6 +37,19 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _name(k: Column) -> Column:
+    """Names with all that delimited text has to carry, and blank ones."""
+    m = k % 17
+    return (
+        F.when(m == 1, F.lit(""))
+        .when(m == 2, F.lit("  "))
+        .when(m == 3, F.concat(F.lit('Smith, "'), F.col("c_name"), F.lit('", Jr')))
+        .when(m == 4, F.concat(F.lit(" "), F.col("c_name"), F.lit(" ")))
+        .when(m == 5, F.concat(F.col("c_name"), F.lit("\nII")))
+        .otherwise(F.col("c_name"))
+    )
+
+
 def _userbase_columns(k: Column) -> dict:
     gid = (
         F.when(k % 5 == 0, F.concat(_s(k), F.lit(".0")))
@@ -55,7 +68,7 @@ def _userbase_columns(k: Column) -> dict:
         "Country": F.col("n_name"),
         S.GLOBAL_ID: gid,
         S.LOCAL_ID: F.concat(F.lit("L-"), _s(k)),
-        S.NAME: F.col("c_name"),
+        S.NAME: _name(k),
         S.EMAIL: email,
     }
 
@@ -88,7 +101,9 @@ def export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+def roster(spark: SparkSession, sf_dir: str, everyone: bool = False) -> DataFrame:
+    """The first roster: two thirds of the customers, as people are missing from
+    a roster; ``everyone`` for queries that look at roster rows alone."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k = F.col("c_custkey")
     email = (
@@ -106,8 +121,9 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(m == 9, F.lit(" OK "))
         .otherwise(F.lit("ok"))
     )
-    return c.filter(k % 3 != 2).select(
-        F.col("c_name").alias(S.NAME),
+    name = F.when(k % 17 != 6, _name(k))
+    return c.filter(F.lit(everyone) | (k % 3 != 2)).select(
+        name.alias(S.NAME),
         email.alias(S.EMAIL),
         gid.alias(S.GLOBAL_ID),
         lid.alias(S.LOCAL_ID),
@@ -136,10 +152,10 @@ def add_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zone_rosters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One roster workbook per region: its customers (``k % 3 <> 2``), with
+    """One roster workbook per region: its customers, with
     the ``Zone`` column named by region, blank for ``k % 7 = 0`` and, in the
     ``MIDDLE EAST`` workbook, a second zone for ``k % 13 = 0``."""
-    p = people(spark, sf_dir).filter(F.col("k") % 3 != 2)
+    p = people(spark, sf_dir)
     k = F.col("k")
     z = (
         F.when(k % 7 == 0, F.lit(" "))

@@ -134,16 +134,16 @@ def read_delimited(
     return out
 
 
-def read_userbase(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_userbase(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """A userbase file as text, ready for ``reconcile_zone``."""
-    return read_delimited(spark, path, sep=sep)
+    return read_delimited(spark, path, sep=sep, multi_line=multi_line)
 
 
-def read_export(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_export(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """The raw export, cleaned: keep-list columns and usable emails only.
     Spark's file splits replace the reference's 200,000-row chunks; the clean
     is narrow, so the whole ingest is one stage with no shuffle."""
-    return clean_export(read_delimited(spark, path, sep=sep))
+    return clean_export(read_delimited(spark, path, sep=sep, multi_line=multi_line))
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
