@@ -64,5 +64,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": substring_dedup.SQL,
     "op5_decontaminate": decontaminate.SQL,
 }

@@ -252,3 +252,17 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
 def query(docs: DataFrame) -> DataFrame:
     return deduplicated(docs)
+
+
+# Every window as a string; those that aren't the first of their string are later ones.
+SQL = r"""
+with d as (select doc_id, row_number() over (order by doc_id, text) as r, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+windows as (select r, s, array_to_string(w[s:s + 19], ' ') as t from (select r, w, unnest(range(1, len(w) - 18)) as s from d where len(w) >= 20)),
+later as (select r, s from windows qualify row_number() over (partition by t order by r, s) > 1),
+cut as (select distinct r, unnest(range(s, s + 20)) as i from later),
+words as (select r, i, w[i] as x from (select r, w, unnest(range(1, len(w) + 1)) as i from d)),
+kept as (select r, string_agg(x, ' ' order by i) as k from words anti join cut using (r, i) group by r),
+n as (select r, count(*) as n_removed from cut group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(k, '')) as kept_sha256
+from d left join n using (r) left join kept using (r)
+"""
