@@ -91,11 +91,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 6000, ep
     rows = bounded_examples(docs, labels, "doc_id", label, limit)
 
     def learn(batches):
-        memo, examples = Memo(word_code), []
+        memo, examples = Memo(word_code, 100_000), []
         for pdf in batches:
             for doc_id, text, y in zip(pdf["doc_id"], pdf["text"], pdf["label"], strict=True):
                 at, x = sparse(features(text, memo, bits), 1 << bits)
                 examples.append((zlib.crc32(str(doc_id).encode()), doc_id, at.astype(np.int32), x.astype(np.float32), int(y)))
+            del pdf
         examples.sort(key=lambda e: e[:2])
         model = Ftrl(1 << bits)
         for _ in range(epochs):
@@ -111,7 +112,7 @@ def predict(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     bits = (len(weights) - 1).bit_length() - 1
 
     def work(batches):
-        memo = Memo(word_code)
+        memo = Memo(word_code, 200_000)
         for b in batches:
             score = []
             for text in b.column("text").to_pylist():
