@@ -45,17 +45,16 @@ def bounded_examples(docs: DataFrame, chosen: DataFrame, key: str, label: str, l
     """(doc_id, text, label) of at most ``limit`` labelled documents.
 
     ``chosen`` holds the doc_id and label that may be learned from. The ids
-    with the smallest hashes are taken: a narrow top-k, whose result of at
-    most ``limit`` rows is then broadcast to the scan of the texts. ``limit``
-    is the documented bound of the fit; nothing else is sampled.
+    with the smallest hashes are taken. Their number being known, a bound on
+    the hash leaves about twice as many for the top-k, however many tasks
+    there are. The result of at most ``limit`` rows is then broadcast to the
+    scan of the texts. ``limit`` is the documented bound of the fit; nothing
+    else is sampled.
     """
-    ids = (
-        chosen.filter(F.col(key).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(key).alias("doc_id"))
-        .agg(F.max(label).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(limit)
-    )
+    ids = chosen.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("doc_id")).agg(F.max(label).alias("label"))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    share = min(1.0, 2 * limit / max(1, ids.count()))
+    ids = ids.filter(place < F.lit(int(share * (1 << 40)))).orderBy(place, "doc_id").limit(limit)
     found = texts(docs).filter(F.col("doc_id").isNotNull()).join(F.broadcast(ids), "doc_id")
     # Repeated rows of one document count once.
     return found.dropDuplicates(["doc_id"])
