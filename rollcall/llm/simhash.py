@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.golay import BITS, DATA_BITS
 from rollcall.llm.golay import keys as golay_keys
-from rollcall.llm.common import documents, pick
+from rollcall.llm.common import documents, texts
 from rollcall.llm.components import components
+from rollcall.operators.skew import hot_keys, rows_per_task, split_hot_join
 from rollcall.session import written_table
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
@@ -60,14 +61,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit number."""
+    """(doc_id, copy, fp): a hash of the text, and the fingerprint as a signed
+    64-bit number."""
 
     def work(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("copy"), pa.array(fps.view(np.int64))], ["doc_id", "copy", "fp"])
 
-    return pick(docs, doc_id="bigint", text="string").mapInArrow(work, "doc_id bigint, fp bigint")
+    copied = texts(docs).select("doc_id", "text", F.xxhash64("text").alias("copy"))
+    return copied.mapInArrow(work, "doc_id bigint, copy bigint, fp bigint")
 
 
 def join_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,17 +202,22 @@ def links(fps: DataFrame, *, distance: int = DISTANCE, most: int = 4000) -> Data
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of docs; the component is the
-    smallest doc_id that links reach from the row's fingerprint."""
+    """(doc_id, copy, fp, component, component_id) for every row of docs.
+
+    ``component_id`` is the smallest doc_id that links reach from the row's
+    fingerprint; ``component`` names the group also where all ids are null.
+    ``copy`` is a hash of the text. Fingerprints and groups with very many rows
+    are split over tasks.
+    """
     keep = written_table(docs.sparkSession, "simhash")
     rows = keep(fingerprints(docs, shingle))
-    # The least doc_id stands for a fingerprint; a row without doc_id has no name to give.
-    classes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    classes = keep(rows.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     found = components(links(classes.select("fp"), distance=distance), "simhash-components")
     member = classes.join(found, classes["fp"] == found["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
-    smallest = member.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = member.join(smallest, "component").select("fp", "component_id")
-    return rows.join(named, "fp")
+    smallest = keep(member.groupBy("component").agg(F.min("first").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    most = rows_per_task(rows)
+    named = split_hot_join(member.select("fp", "component"), smallest.drop("n"), ["component"], hot_keys(smallest, ["component"], "n", most), ["fp"])
+    return split_hot_join(rows, named, ["fp"], hot_keys(classes, ["fp"], "n", most), ["doc_id"])
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -221,6 +229,8 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one with the smallest doc_id, once."""
     kept = documents(docs)
     found = near_duplicates(kept)
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    once = kept.join(first, "doc_id", "left_semi")
-    return once.groupBy("doc_id").agg(*[F.first(c).alias(c) for c in kept.columns if c != "doc_id"]).select(*kept.columns)
+    best = found.groupBy("component").agg(F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "copy")).alias("best"))
+    key = [F.coalesce("doc_id", F.lit(-1)).alias("_doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_copy")]
+    first = best.select(F.coalesce("best.doc_id", F.lit(-1)).alias("_doc"), F.col("best.copy").alias("_copy"))
+    once = kept.select("*", *key).join(first, ["_doc", "_copy"], "left_semi")
+    return once.dropDuplicates(["_doc", "_copy"]).select(*kept.columns)
