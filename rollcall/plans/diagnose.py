@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall import schema as S
@@ -44,11 +44,10 @@ def clued(probe: DataFrame, top: DataFrame, key: str) -> DataFrame:
 
 
 def first_distinct(df: DataFrame, key: str, value: str, k: int) -> DataFrame:
-    """The first ``k`` distinct values of each key with their rank. Values rank
-    densely, which limits every map task's share of a hot key before the
-    shuffle; the copies are dropped among the few that are left."""
-    w = Window.partitionBy(key).orderBy(value)
-    return df.withColumn("rank", F.dense_rank().over(w)).filter(F.col("rank") <= k).dropDuplicates([key, value])
+    """The first ``k`` distinct values of each key with their rank. Copies
+    collapse map-side in the distinct, which deals a hot key out by value; the
+    top-k is limited per map task before its shuffle."""
+    return topk_per_key(df.select(key, value).distinct(), key, [F.col(value)], k)
 
 
 @dataclass

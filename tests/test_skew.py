@@ -62,3 +62,17 @@ def test_hot_email_is_exact_and_split(spark):
         assert counts[k] == want_counts[k], k
     assert "_salt" in plan
     assert hot == 20
+
+
+def test_no_task_gathers_a_hot_key(tmp_path):
+    """Rows read by each task, from the event log: 13,000 rows share one email,
+    and as many roster rows one local part, with a bound of 1,000 a task."""
+    import subprocess
+    import sys
+
+    import skew_probe
+
+    subprocess.run([sys.executable, skew_probe.__file__, str(tmp_path)], check=True, timeout=900, capture_output=True)
+    reads = skew_probe.largest_reads(str(tmp_path))
+    even = 2 * skew_probe.PEOPLE / skew_probe.PARTITIONS  # two keys a row
+    assert reads and reads[-1] <= 3 * skew_probe.BOUND + 2 * even, reads[-10:]
