@@ -29,15 +29,18 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     minimum by a partial aggregate, and joined back to it in several tasks.
     """
     spark = edges.sparkSession
-    keep = written_table(spark, name)
-    now = keep(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
+    held = written_table(spark, name)
+    now = held(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct())
     before = None
     while True:
+        keep = written_table(spark, name)
         both = now.union(now.select("b", "a"))
         large = keep(tied(both.select("a", "b"), keep).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
         small = tied(large, keep)
         now = keep(small.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").union(small.select("a", F.col("m").alias("b"))).distinct())
         state = now.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("bigint")), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
+        held.cleanup()  # this round's edges are written: the last round's go
+        held = keep
         if state == before:
             break
         before = state
