@@ -14,7 +14,7 @@ benchmark's tables are written first, so that Spark knows their true sizes.
 
 Defined results: null and empty texts, and documents without words, have no
 windows and are not contaminated; items without words have no windows. Rows
-that repeat a doc_id are told apart by a hash of the text.
+that repeat a doc_id, or an item_id, are told apart by a hash of the text.
 """
 
 from __future__ import annotations
@@ -48,10 +48,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def item_terms(items: DataFrame) -> DataFrame:
-    """(item_id, place, term, width): the words of every item; width is that of its windows."""
-    found = pick(items, item_id="bigint", text="string").filter("item_id is not null and text is not null").select("item_id", words(F.col("text")).alias("words"))
+    """(item, item_id, place, term, width, size): the words of every item, and
+    the width of its windows. ``item`` tells texts of the same item_id apart."""
+    found = pick(items, item_id="bigint", text="string").filter("item_id is not null and text is not null").distinct()
+    found = found.select(F.xxhash64("item_id", "text").alias("item"), "item_id", words(F.col("text")).alias("words"))
     width = F.least(F.size("words"), F.lit(WINDOW))
-    return found.select("item_id", width.alias("width"), F.size("words").alias("size"), F.posexplode("words").alias("place", "word")).select("item_id", "place", folded(F.col("word")).alias("term"), "width", "size")
+    each = found.select("item", "item_id", width.alias("width"), F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
+    return each.select("item", "item_id", "place", folded(F.col("word")).alias("term"), "width", "size")
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -61,16 +64,16 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def rarest(places: DataFrame, counts: DataFrame) -> DataFrame:
-    """(item_id, first, first_term, second, second_term): for every window the
+    """(item, first, first_term, second, second_term): for every window the
     places of its rarest term and its second rarest. Windows with a term that
     no document has are gone."""
     counted = places.join(counts, "term", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     starts = F.sequence(F.greatest(F.lit(0), F.col("place") - F.col("width") + 1), F.least(F.col("place"), F.col("size") - F.col("width")))
     inside = counted.withColumn("start", F.explode(starts))
-    ranked = inside.groupBy("item_id", "start").agg(F.array_sort(F.collect_list(F.struct("n", "place", "term"))).alias("by_n"), F.first("width").alias("width"))
+    ranked = inside.groupBy("item", "start").agg(F.array_sort(F.collect_list(F.struct("n", "place", "term"))).alias("by_n"), F.first("width").alias("width"))
     whole = ranked.filter(F.col("by_n")[0]["n"] > 0)
     second = F.when(F.size("by_n") > 1, F.col("by_n")[1]).otherwise(F.col("by_n")[0])
-    return whole.select("item_id", F.col("by_n")[0]["place"].alias("first"), F.col("by_n")[0]["term"].alias("first_term"), second["place"].alias("second"), second["term"].alias("second_term")).distinct()
+    return whole.select("item", F.col("by_n")[0]["place"].alias("first"), F.col("by_n")[0]["term"].alias("first_term"), second["place"].alias("second"), second["term"].alias("second_term")).distinct()
 
 
 def matches(docs: DataFrame, items: DataFrame, *, slop: int = 0) -> DataFrame:
@@ -84,20 +87,20 @@ def matches(docs: DataFrame, items: DataFrame, *, slop: int = 0) -> DataFrame:
     pairs = keep(rarest(places.drop("word"), counts).repartition(1))
 
     off = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
-    first = pairs.select(F.col("first_term").alias("term"), "item_id", "first").distinct()
-    aligned = index.join(first, "term").select(*KEY, "item_id", "first", (F.col("pos") - F.col("first")).alias("at"))
+    first = pairs.select(F.col("first_term").alias("term"), "item", "first").distinct()
+    aligned = index.join(first, "term").select(*KEY, "item", "first", (F.col("pos") - F.col("first")).alias("at"))
     # The second rarest terms are a small part of the index.
     seconds = pairs.select(F.col("second_term").alias("term")).distinct()
-    wanted = aligned.join(pairs.select("item_id", "first", "second", "second_term"), ["item_id", "first"])
-    wanted = wanted.select(*KEY, "item_id", "at", F.col("second_term").alias("term"), (F.col("at") + F.col("second")).alias("place"))
+    wanted = aligned.join(pairs.select("item", "first", "second", "second_term"), ["item", "first"])
+    wanted = wanted.select(*KEY, "item", "at", F.col("second_term").alias("term"), (F.col("at") + F.col("second")).alias("place"))
     wanted = wanted.select("*", off.alias("off")).withColumn("pos", F.col("place") + F.col("off")).drop("place", "off")
-    left = keep(wanted.join(index.join(seconds, "term", "left_semi"), [*KEY, "pos", "term"]).select(*KEY, "item_id", "at").distinct())
+    left = keep(wanted.join(index.join(seconds, "term", "left_semi"), [*KEY, "pos", "term"]).select(*KEY, "item", "at").distinct())
 
     # Those few alignments against all terms of their items.
-    every = left.join(places.select("item_id", "place", "term", "width", "size"), "item_id")
+    every = left.join(places.select("item", "item_id", "place", "term", "width", "size"), "item")
     every = every.select("*", off.alias("off")).withColumn("pos", F.col("at") + F.col("place") + F.col("off"))
     there = index.join(left.select(*KEY).distinct(), KEY, "left_semi")
-    met = every.join(there, [*KEY, "pos", "term"]).groupBy(*KEY, "item_id", "at").agg(F.array_sort(F.collect_set("place")).alias("met"), F.first("width").alias("width"))
+    met = every.join(there, [*KEY, "pos", "term"]).groupBy(*KEY, "item", "at").agg(F.array_sort(F.collect_set("place")).alias("met"), F.first("width").alias("width"), F.first("item_id").alias("item_id"))
     met = met.filter("size(met) >= width")
     begins = F.expr("filter(transform(sequence(0, size(met) - width), i -> if(met[i + width - 1] - met[i] = width - 1, met[i], -1)), p -> p >= 0)")
     return met.select(*KEY, "item_id", "at", begins.alias("starts"), "width").filter("size(starts) > 0")

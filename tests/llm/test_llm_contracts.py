@@ -74,6 +74,7 @@ def test_decontamination_planted(spark):
         a = int(rng.integers(0, len(part)))
         docs.append((i, " ".join(w[:20] + part[a : a + 15] + w[20:]).upper() + (" Éw1 é" if i % 5 else "")))
     texts = [(i, " ".join(w)) for i, w in items]
+    texts += [(3, " ".join(make(20))), (4, texts[4][1])]  # another text of one item, and a repeated row
     found = decontaminate.query(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(texts, "item_id bigint, text string"))
     by = dict(docs)
     for r in found.collect():
