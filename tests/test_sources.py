@@ -4,7 +4,6 @@ import importlib
 
 import pytest
 from conftest import SF_SMALL
-from pyspark.sql import functions as F
 
 import oracle_check
 from rollcall import schema as S
