@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pickle
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,11 +75,18 @@ def learned(rows: DataFrame, learn: Callable, otherwise):
     return pickle.loads(found["model"]) if found else otherwise
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that few texts are Python strings at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 class Memo(dict):
     """word -> value, computed once; emptied when it holds ``limit`` words, so
     that its memory stays bounded whatever the vocabulary."""
 
-    def __init__(self, compute: Callable, limit: int = 400_000):
+    def __init__(self, compute: Callable, limit: int = 150_000):
         super().__init__()
         self.compute, self.limit = compute, limit
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import bounded_examples, documents, fold_is, learned, pick
+from rollcall.llm.common import bounded_examples, documents, fold_is, learned, pick, small
 
 UNDETERMINED = "und"
 SCHEMA = "doc_id bigint, lang_pred string, score double, rejected boolean"
@@ -130,7 +130,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, lang_pred, score (cosine), rejected: one row per document."""
 
     def work(batches):
-        for b in batches:
+        for b in small(batches):
             pred, score, rejected = judged(b.column("text").to_pylist(), model)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(rejected)], ["doc_id", "lang_pred", "score", "rejected"])
 
@@ -142,7 +142,7 @@ def known(docs: DataFrame, model: dict) -> DataFrame:
     plain = documents(docs)
 
     def work(batches):
-        for b in batches:
+        for b in small(batches):
             yield b.filter(pa.array(~judged(b.column("text").to_pylist(), model)[2]))
 
     return plain.mapInArrow(work, plain.schema)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rollcall.llm.common import Memo, pick
+from rollcall.llm.common import Memo, pick, small
 from rollcall.session import written_table
 
 SIZE, END_ID = 4096, 2
@@ -102,9 +102,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFrame:
 
     def work(batches):
         words = Words(vocabulary)
-        memo = Memo(words, 600_000)
+        memo = Memo(words, 400_000)
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for b in batches:
+        for b in small(batches):
             out = []
             for doc_id, row, text in zip(b.column("doc_id").to_pylist(), b.column("row").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids = token_bytes(words, text or "", memo) + end

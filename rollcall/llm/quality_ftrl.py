@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, fold_is, learned, pick
+from rollcall.llm.common import Memo, bounded_examples, fold_is, learned, pick, small
 
 BITS = 18
 SCHEMA = "doc_id bigint, score double"
@@ -91,7 +91,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 6000, ep
     rows = bounded_examples(docs, labels, "doc_id", label, limit)
 
     def learn(batches):
-        memo, examples = Memo(word_code, 100_000), []
+        memo, examples = Memo(word_code), []
         for pdf in batches:
             for doc_id, text, y in zip(pdf["doc_id"], pdf["text"], pdf["label"], strict=True):
                 at, x = sparse(features(text, memo, bits), 1 << bits)
@@ -112,8 +112,8 @@ def predict(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     bits = (len(weights) - 1).bit_length() - 1
 
     def work(batches):
-        memo = Memo(word_code, 200_000)
-        for b in batches:
+        memo = Memo(word_code)
+        for b in small(batches):
             score = []
             for text in b.column("text").to_pylist():
                 bins = features(text, memo, bits)

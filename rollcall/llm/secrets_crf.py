@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, documents, learned, pick
+from rollcall.llm.common import Memo, bounded_examples, documents, learned, pick, small
 
 KINDS = ("assign", "access", "hex", "crf")
 O, B, I = 0, 1, 2  # noqa: E741
@@ -274,7 +274,7 @@ def find(docs: DataFrame, w: dict | None) -> DataFrame:
 
     def work(batches):
         tagger = Tagger(w) if w else None
-        for b in batches:
+        for b in small(batches):
             rows = []
             for text in b.column("text").to_pylist():
                 base, every = all_spans(text or "", tagger)
@@ -302,7 +302,7 @@ def redact(docs: DataFrame, w: dict | None) -> DataFrame:
 
     def work(batches):
         tagger = Tagger(w) if w else None
-        for b in batches:
+        for b in small(batches):
             texts, sizes = b.column("text").to_pylist(), b.column("n_chars").to_pylist()
             for i, text in enumerate(texts):
                 spans = all_spans(text, tagger)[1] if text else []

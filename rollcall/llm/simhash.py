@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.golay import BITS, DATA_BITS
 from rollcall.llm.golay import keys as golay_keys
-from rollcall.llm.common import documents, texts
+from rollcall.llm.common import documents, small, texts
 from rollcall.llm.components import components
 from rollcall.operators.skew import hot_keys, rows_per_task, split_hot_join
 from rollcall.session import written_table
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     64-bit number."""
 
     def work(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
+        for b in small(batches):
             fps = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("copy"), pa.array(fps.view(np.int64))], ["doc_id", "copy", "fp"])
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, fold_is, pick
+from rollcall.llm.common import Memo, bounded_examples, fold_is, pick, small
 
 SCHEMA = "doc_id bigint, score double, evidence array<string>"
 _WORD = re.compile(r"[^\W_]+")
@@ -113,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 8000, mo
 
     def count(batches):
         memo, found = Memo(terms), {}
-        for b in batches:
+        for b in small(batches):
             for text, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True):
                 for t in {"", *(t for ts in map(memo.__getitem__, text.split()) for t in ts)}:  # "": the documents
                     pair = found.setdefault(t, [0, 0])
@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 8000, mo
 
     def vectors(batches):
         memo = Memo(lambda chunk: tuple(vocabulary[t] for t in terms(chunk) if t in vocabulary))
-        for b in batches:
+        for b in small(batches):
             ids = [coded(t, memo) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), b.column("label")], ["doc_id", "ids", "label"])
 
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, index: Index, *, k: int = 15, most_copies: int = 5)
             return score, [f"{example[r]}:{c:.3f}" for r, c in zip(rows[:3], near[:3], strict=True)]
 
         judged = Memo(judge, 20_000)
-        for b in batches:
+        for b in small(batches):
             codes = [coded(text, memo) for text in b.column("text").to_pylist()]
             out = [judged[c] if c else (plain, []) for c in codes]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.string()))], ["doc_id", "score", "evidence"])
