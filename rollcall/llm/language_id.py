@@ -3,11 +3,17 @@
 Every document becomes a normalised TF-IDF vector of hashed character pairs
 and triples. Each language is described by several centroids (spherical
 k-means over its training documents); a document gets the language of the
-centroid with the largest cosine. A document whose cosine stays below the
-distance bound learned for that language is marked as rejected.
+centroid with the largest cosine.
+
+Rejection: hashed bins collide, so the cosine of a text in no known language
+grows with its length. What is compared instead is the share of the text's
+character triples, by 32-bit hashes, that the training documents of its
+language hold; it doesn't depend on the length. The bound is learned from the
+shares of the training documents themselves, each against the others.
 
 Defined results: null text, or a text without any letter: ``und``, score 0,
 rejected. No training documents: every text is ``und``. Whole texts are used.
+A text that shares no triple with its language is always rejected.
 """
 
 from __future__ import annotations
@@ -30,21 +36,21 @@ def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)
 
 
-def grams(text: str, bins: int) -> np.ndarray:
-    """Hashed pairs and triples of the lower-cased text; what is no ASCII letter
-    below 128 counts as a space, runs of which are one."""
+def pairs_and_triples(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the pairs and triples of the lower-cased text; what is no
+    ASCII letter below 128 counts as a space, runs of which are one."""
     codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     codes = np.where(codes < 128, _SPACED[np.minimum(codes, 127)], codes)
     space = codes == 32
     codes = codes[~(space & np.concatenate(([False], space[:-1])))].astype(np.uint64)
     two = codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:] * np.uint64(0xC2B2AE3D27D4EB4F)
     three = two[:-1] * np.uint64(0x165667B19E3779F9) + codes[2:] * np.uint64(0x27D4EB2F165667C5)
-    return (np.concatenate((two, three)) >> np.uint64(40)).astype(np.int64) & (bins - 1)
+    return two, three
 
 
-def vectors(batch: list[str], bins: int, idf: np.ndarray | None) -> np.ndarray:
-    """One row per text: log(1 + count), weighted by idf, of length 1."""
-    parts = [grams(t, bins) for t in batch]
+def vectors(batch: list[tuple], bins: int, idf: np.ndarray | None) -> np.ndarray:
+    """One row per text, given as its pairs and triples: log(1 + count), weighted by idf, of length 1."""
+    parts = [(np.concatenate(both) >> np.uint64(40)).astype(np.int64) & (bins - 1) for both in batch]
     at = np.concatenate(parts) + np.repeat(np.arange(len(parts)) * bins, [len(p) for p in parts])
     counts = np.bincount(at, minlength=len(parts) * bins).reshape(len(parts), bins).astype(np.float32)
     out = np.log1p(counts)
@@ -67,12 +73,43 @@ def clustered(rows: np.ndarray, clusters: int, rounds: int = 8) -> np.ndarray:
     return centres
 
 
+def short_hashes(triples: np.ndarray) -> np.ndarray:
+    return (triples >> np.uint64(32)).astype(np.uint32)
+
+
+def share_in(known: np.ndarray, triples: np.ndarray) -> float:
+    """The share of the triples that is in ``known`` (sorted hashes)."""
+    if not len(known) or not len(triples):
+        return 0.0
+    at = np.minimum(np.searchsorted(known, triples), len(known) - 1)
+    return float((known[at] == triples).mean())
+
+
+def known_triples(own: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, float]:
+    """The triples of a language and the least share of them that it accepts,
+    from the distinct triples and their counts of each training document.
+
+    One in a hundred documents holds a known triple, so that a few noisy ones
+    teach nothing; fewer where that leaves much of the ordinary texts unknown.
+    """
+    values, held = np.unique(np.concatenate([v for v, _ in own]), return_counts=True)
+    for least in (max(2, len(own) // 100), 2, 1):
+        # Against the other documents only: its own doesn't count.
+        others = values[held > least]
+        shares = [np.average(np.isin(v, others), weights=n) for v, n in own]
+        if np.median(shares) >= 0.8:
+            break
+    # Noisy documents in the sample don't lower the bound below half of what is usual.
+    bound = max(float(np.quantile(shares, 0.001)), float(np.median(shares)) / 2, 1e-9)
+    return values[held >= least], bound
+
+
 def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 8000, clusters: int = 4, bins: int = 4096) -> dict:
     """Centroids learned from at most ``per_language`` documents of each
     language, ``limit`` in all (the documented bounds of the fit).
 
-    Returns a small dict: idf, centres, the language of each centre and the
-    least cosine that it accepts.
+    Returns a small dict: idf, centres, the language of each centre, and by
+    language its known triples and the least share of them that it accepts.
     """
     named = pick(docs, doc_id="bigint", lang="string").filter(may_learn & F.col("lang").isNotNull())
     # A language may hold most rows: the smallest hashes of each of its 64 parts, then of those.
@@ -83,12 +120,14 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
     rows = bounded_examples(docs, chosen, "doc_id", "lang", limit)
 
     def learn(batches):
-        raw, langs, ids = [], [], []
+        raw, langs, ids, triples = [], [], [], []
         for pdf in batches:
             pdf = pdf[[has_letter(t) for t in pdf["text"]]]
             for at in range(0, len(pdf), 64):
                 part = pdf.iloc[at : at + 64]
-                raw.append(vectors(part["text"].tolist(), bins, None).astype(np.float16))
+                both = [pairs_and_triples(t) for t in part["text"]]
+                raw.append(vectors(both, bins, None).astype(np.float16))
+                triples += [(v, n.astype(np.uint32)) for v, n in (np.unique(short_hashes(three), return_counts=True) for _, three in both)]
                 langs += part["label"].tolist()
                 ids += part["doc_id"].tolist()
         if not ids:
@@ -97,16 +136,15 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
         m, langs = np.concatenate(raw)[order].astype(np.float32), np.array(langs, dtype=object)[order]
         idf = (np.log((1 + len(m)) / (1 + (m > 0).sum(axis=0))) + 1).astype(np.float32)
         m = unit(m * idf)
-        centres, names, least = [], [], []
+        triples = [triples[i] for i in order]
+        centres, names, known = [], [], {}
         for lang in sorted(set(langs)):
             own = m[langs == lang]
             c = clustered(own, clusters)
-            # Far below what the training documents reach: only texts unlike all of them are rejected.
-            bound = 0.35 * float(np.quantile((own @ c.T).max(axis=1), 0.001))
             centres.append(c)
             names += [lang] * len(c)
-            least += [bound] * len(c)
-        return {"bins": bins, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "langs": names, "least": np.array(least)}
+            known[lang] = known_triples([triples[i] for i in np.nonzero(langs == lang)[0]])
+        return {"bins": bins, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "langs": names, "known": known}
 
     return learned(rows, learn, {})
 
@@ -118,11 +156,14 @@ def judged(whole: list, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray
     usable = [i for i, t in enumerate(whole) if model and t is not None and has_letter(t)]
     for at in range(0, len(usable), 64):
         rows = usable[at : at + 64]
-        cosine = vectors([whole[i] for i in rows], model["bins"], model["idf"]) @ model["centres"].T
+        both = [pairs_and_triples(whole[i]) for i in rows]
+        cosine = vectors(both, model["bins"], model["idf"]) @ model["centres"].T
         best = cosine.argmax(axis=1)
         score[rows] = np.clip(cosine[np.arange(len(rows)), best], 0, 1)
         pred[rows] = [model["langs"][b] for b in best]
-        rejected[rows] = score[rows] < model["least"][best]
+        for i, (_, three) in zip(rows, both, strict=True):
+            known, least = model["known"][pred[i]]
+            rejected[i] = share_in(known, short_hashes(three)) < least
     return pred, score, rejected
 
 

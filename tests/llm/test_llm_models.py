@@ -50,6 +50,30 @@ def test_language_rejects_the_unlike(spark):
     assert rejected.all() and score.max() < 0.2
 
 
+def test_language_rejects_the_unlike_at_any_length(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    from pyspark.sql import functions as F
+
+    model = language_id.fit(docs, F.lit(True))
+    rng = np.random.default_rng(8)
+    scripts = {"Greek": (0x3B1, 25), "Cyrillic": (0x430, 32), "Arabic": (0x628, 35), "Chinese": (0x4E00, 3000), "letters": (ord("a"), 26)}
+    salads = {(name, n): " ".join("".join(chr(x) for x in rng.integers(first, first + size, rng.integers(2, 10))) for _ in range(n)) for name, (first, size) in scripts.items() for n in (10, 60, 150, 400, 2000, 10_000)}
+    _, _, rejected = language_id.judged(list(salads.values()), model)
+    assert [key for key, gone in zip(salads, rejected, strict=True) if not gone] == []
+    texts = [r.text for r in docs.collect()]
+    assert np.mean(language_id.judged(texts, model)[2]) < 0.01
+
+
+def test_language_noise_in_the_sample_keeps_the_bound():
+    rng = np.random.default_rng(9)
+    words = ["".join(chr(97 + x) for x in rng.integers(0, 26, 5)) for _ in range(80)]
+    ordinary = [" ".join(rng.choice(words, 60)) for _ in range(990)]
+    noise = ["".join(chr(0x400 + x) for x in rng.integers(0, 200, 30)) for _ in range(10)]
+    counted = [np.unique(language_id.short_hashes(language_id.pairs_and_triples(t)[1]), return_counts=True) for t in ordinary + noise]
+    _, least = language_id.known_triples(counted)
+    assert least >= 0.4
+
+
 def test_toxicity_held_out(spark):
     truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{MID}/labels.parquet").collect()}
     rows = queries.op8_toxicity(spark, MID).collect()
