@@ -6,6 +6,9 @@ references are the sums of these histograms over all documents of each
 language. The Jensen-Shannon distance (square root of the divergence, base 2)
 to the nearest language decides, with guards for short texts: the classes
 count from ``least_chars`` characters, the words from ``least_words`` words.
+How far a text can be by its words depends on the language: one that holds
+none of the common words is at ``sqrt(sum / 2 + term(1, 1 - sum))``, ``sum``
+being their share in the reference. The bound is a share of that.
 
 Only DataFrame functions are used, within the row: no text is shuffled.
 
@@ -15,6 +18,8 @@ Without documents of a known language the distances are 0.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,6 +111,14 @@ def term(p: Column, q: Column) -> Column:
     return (part(p) + part(q)) / 2
 
 
+def farthest(common: dict[str, float]) -> float:
+    """The word distance of a text that holds none of the common words."""
+    listed = sum(common.values())
+    rest = max(0.0, 1 - listed)
+    m = (1 + rest) / 2
+    return math.sqrt(max(0.0, listed / 2 + (-math.log2(m) + (rest * math.log2(rest / m) if rest else 0.0)) / 2))
+
+
 def known_in(share: Column):
     return lambda x: F.map_contains_key(share, x["word"])
 
@@ -121,7 +134,8 @@ def added(share: Column, n: Column):
 
 
 def distances(rows: DataFrame, reference: dict) -> DataFrame:
-    """Adds class_distance and word_distance: to the language whose sum of both is least."""
+    """Adds class_distance and word_distance, to the language whose sum of both
+    is least, and the farthest word distance there."""
     chars = F.aggregate("classes", F.lit(0.0), lambda a, x: a + x)
     both = []
     for lang in sorted(reference):
@@ -135,17 +149,18 @@ def distances(rows: DataFrame, reference: dict) -> DataFrame:
         there = F.aggregate(own, F.lit(0.0), added(share, n))
         by_word = there + F.lit(sum(common.values()) / 2) + term(1 - listed, F.lit(1 - sum(common.values())))
         root = lambda x: F.sqrt(F.greatest(x, F.lit(0.0)))
-        both.append(F.struct((root(by_class) + root(by_word)).alias("sum"), root(by_class).alias("class_distance"), root(by_word).alias("word_distance")))
-    nearest = F.array_min(F.array(*both)) if both else F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("class_distance"), F.lit(0.0).alias("word_distance"))
-    return rows.withColumn("near", nearest).select(*rows.columns, "near.class_distance", "near.word_distance")
+        both.append(F.struct((root(by_class) + root(by_word)).alias("sum"), root(by_class).alias("class_distance"), root(by_word).alias("word_distance"), F.lit(farthest(common)).alias("farthest")))
+    nearest = F.array_min(F.array(*both)) if both else F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("class_distance"), F.lit(0.0).alias("word_distance"), F.lit(0.0).alias("farthest"))
+    return rows.withColumn("near", nearest).select(*rows.columns, "near.class_distance", "near.word_distance", "near.farthest")
 
 
-def judged(docs: DataFrame, *, most_class: float = 0.28, most_word: float = 0.4, least_chars: int = 200, least_words: int = 100) -> DataFrame:
-    """The counts of every document, base_failed and kept."""
+def judged(docs: DataFrame, *, most_class: float = 0.28, most_word: float = 0.8, least_chars: int = 200, least_words: int = 100) -> DataFrame:
+    """The counts of every document, base_failed and kept. ``most_word`` is a
+    share of the farthest word distance, so that it can always be passed."""
     rows = written_table(docs.sparkSession, "quality-counts")(features(docs))
     rows = distances(rows, references(rows))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    far = ((F.col("word_chars") >= least_chars) & (F.col("class_distance") > most_class)) | ((F.col("n_words") >= least_words) & (F.col("word_distance") > most_word))
+    far = ((F.col("word_chars") >= least_chars) & (F.col("class_distance") > most_class)) | ((F.col("n_words") >= least_words) & (F.col("word_distance") > most_word * F.col("farthest")))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~far).alias("kept"), "class_distance", "word_distance")
 
 

@@ -169,6 +169,19 @@ def test_jensen_shannon(spark):
         assert np.allclose(best[1:], (r.class_distance, r.word_distance), atol=1e-6)
 
 
+def test_texts_without_common_words_go(spark, documents):
+    from rollcall.llm import quality_rules as Q
+
+    rng = np.random.default_rng(7)
+    long = [r for r in documents.collect() if len(r.text.split()) >= 300]
+    # Letters and spaces as in the texts, none of the words: each is turned around.
+    planted = [(-1 - i, " ".join(w if w.startswith("#") else w[::-1] + "qx" for w in rng.permutation(r.text.split())), r.lang, None, None) for i, r in enumerate(long[:20])]
+    found = {r.doc_id: r for r in Q.query(documents.unionByName(spark.createDataFrame(planted, documents.schema))).collect()}
+    judged = [found[i] for i, *_ in planted if not found[i].base_failed]
+    assert judged and not any(r.kept for r in judged)
+    assert all(r.class_distance <= 0.28 for r in judged)  # by their words alone
+
+
 def test_simhash(spark, texts):
     rows = queries.op10_simhash(spark, SF).collect()
     fps = {i: brute.fingerprint(t) for i, t in texts.items()}
