@@ -182,6 +182,19 @@ def test_texts_without_common_words_go(spark, documents):
     assert all(r.class_distance <= 0.28 for r in judged)  # by their words alone
 
 
+def test_every_language_has_a_reference(spark, documents):
+    from rollcall.llm import quality_rules as Q
+
+    rng = np.random.default_rng(8)
+    planted = []
+    for k, (lang, first) in enumerate((("el", 0x3B1), ("ru", 0x430), ("xx", ord("a")))):
+        words = ["".join(chr(first + x) for x in rng.integers(0, 24, rng.integers(2, 9))) for _ in range(400)]
+        odds = 1 / np.arange(1, 401)
+        planted += [(-1 - 100 * k - i, " ".join(rng.choice(words, 300, p=odds / odds.sum())), lang, None, None) for i in range(40)]
+    found = {r.doc_id: r for r in Q.query(documents.unionByName(spark.createDataFrame(planted, documents.schema))).collect()}
+    assert all(found[i].kept for i, *_ in planted)
+
+
 def test_simhash(spark, texts):
     rows = queries.op10_simhash(spark, SF).collect()
     fps = {i: brute.fingerprint(t) for i, t in texts.items()}
