@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, documents, learned, pick, small
+from rollcall.llm.common import Memo, bounded_examples, documents, learned, pick, small, texts
+from rollcall.session import written_table
 
 KINDS = ("assign", "access", "hex", "crf")
 O, B, I = 0, 1, 2  # noqa: E741
@@ -104,6 +105,7 @@ def emissions(codes: np.ndarray, kind: int, w: dict) -> np.ndarray:
 # ---- training ---------------------------------------------------------------
 
 AROUND = 12
+BEYOND = -1  # the tag of places beyond a short text's end, which count for nothing
 
 
 def windows(text: str, memo: Memo, step: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
@@ -122,9 +124,12 @@ def windows(text: str, memo: Memo, step: int) -> list[tuple[np.ndarray, np.ndarr
             middles.append((i + j) // 2)
     middles += range(AROUND, len(where), step)
     size, kind, out = 2 * AROUND + 1, text_kind(text), []
+    if 0 < len(where) < size:  # one window, filled up with places beyond the text
+        gap = size - len(where)
+        return [(np.pad(codes, (0, gap)), np.pad(tags, (0, gap), constant_values=BEYOND), kind)]
     for m in middles:
         a = max(0, min(m - AROUND, len(where) - size))
-        if len(where) >= size:
+        if len(where):
             out.append((codes[a : a + size + 3], tags[a : a + size], kind))
     return out
 
@@ -137,8 +142,10 @@ def trained(examples: list, rounds: int = 150, rate: float = 0.15, l2: float = 1
     shapes_of = {"own": (0, N_SHAPES), "back": (0, N_SHAPES), "back2": (0, N_SHAPES), "next": (0, N_SHAPES), "text": (0, 8)}
     w = {k: np.zeros((s[1], 3)) for k, s in shapes_of.items()} | {"step": np.zeros((3, 3))}
     slices = {"own": codes[:, 2:-1], "back": codes[:, 1:-2], "back2": codes[:, :-3], "next": codes[:, 3:], "text": np.repeat(kinds[:, None], size, axis=1)}
+    there = tags != BEYOND
+    tags = np.where(there, tags, O)
     one_hot = np.eye(3)[tags]
-    seen_step = np.eye(9)[3 * tags[:, :-1] + tags[:, 1:]].sum(axis=(0, 1)).reshape(3, 3)
+    seen_step = (np.eye(9)[3 * tags[:, :-1] + tags[:, 1:]] * there[:, 1:, None]).sum(axis=(0, 1)).reshape(3, 3)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     # Finds are rare among the windows' tokens: nothing is reweighted, the transitions carry their length.
     for r in range(1, rounds + 1):
@@ -148,17 +155,17 @@ def trained(examples: list, rounds: int = 150, rate: float = 0.15, l2: float = 1
         forward[:, 0] = x[:, 0] / x[:, 0].sum(axis=1, keepdims=True)
         for t in range(1, size):
             f = (forward[:, t - 1] @ scale) * x[:, t]
-            forward[:, t] = f / f.sum(axis=1, keepdims=True)
+            forward[:, t] = np.where(there[:, t, None], f / f.sum(axis=1, keepdims=True), forward[:, t - 1])
         backward[:, -1] = 1
         for t in range(size - 2, -1, -1):
             g = (backward[:, t + 1] * x[:, t + 1]) @ scale.T
-            backward[:, t] = g / g.sum(axis=1, keepdims=True)
+            backward[:, t] = np.where(there[:, t + 1, None], g / g.sum(axis=1, keepdims=True), 1.0)
         p = forward * backward
         p /= p.sum(axis=2, keepdims=True)
         pairs = forward[:, :-1, :, None] * scale * (x[:, 1:] * backward[:, 1:])[:, :, None, :]
         pairs /= pairs.sum(axis=(2, 3), keepdims=True)
-        gradient = {"step": seen_step - pairs.sum(axis=(0, 1))}
-        off = (one_hot - p).reshape(-1, 3)
+        gradient = {"step": seen_step - (pairs * there[:, 1:, None, None]).sum(axis=(0, 1))}
+        off = ((one_hot - p) * there[:, :, None]).reshape(-1, 3)
         for k in slices:
             at = slices[k].reshape(-1)
             gradient[k] = np.stack([np.bincount(at, off[:, y], minlength=len(w[k])) for y in range(3)], axis=1)
@@ -171,19 +178,35 @@ def trained(examples: list, rounds: int = 150, rate: float = 0.15, l2: float = 1
     return w
 
 
+def with_finds(docs: DataFrame) -> DataFrame:
+    """(doc_id, label) of every text: a hash of it, and 1 if a pattern finds something."""
+
+    def work(batches):
+        for b in small(batches):
+            label = [int(bool(base_spans(t))) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(label, pa.int64())], ["doc_id", "label"])
+
+    return docs.mapInArrow(work, "doc_id bigint, label bigint")
+
+
 def fit(docs: DataFrame, *, limit: int = 4000, most_windows: int = 6000) -> dict | None:
-    """CRF weights learned from at most ``limit`` documents and ``most_windows``
-    windows of them (the documented bounds of the fit); None if no pattern has
-    a find there."""
-    ids = pick(docs, doc_id="bigint").withColumn("label", F.lit(1))
-    rows = bounded_examples(docs, ids, "doc_id", "label", limit)
+    """CRF weights learned from at most ``limit`` texts, up to half of them
+    from those with finds of all documents, and ``most_windows`` windows of
+    them, those with finds first (the documented bounds of the fit); None if
+    no pattern has a find in any document."""
+    # By the text's hash: rows without an id or with another's count as well.
+    keyed = texts(docs).select(F.xxhash64("text").alias("doc_id"), "text")
+    marked = written_table(docs.sparkSession, "secrets-finds")(with_finds(keyed))
+    half = limit // 2
+    positive, rest = (bounded_examples(keyed, marked.filter(F.col("label") == x), "doc_id", "label", n) for x, n in ((1, half), (0, limit - half)))
+    rows = positive.unionByName(rest)
 
     def learn(batches):
         memo, examples = Memo(shapes), []
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 examples += [(doc_id, i, x) for i, x in enumerate(windows(text, memo, 400))]
-        examples.sort(key=lambda e: (e[1] > 2, hashlib.md5(str(e[0]).encode()).digest(), e[1]))
+        examples.sort(key=lambda e: (not (e[2][1] == B).any(), e[1] > 2, hashlib.md5(str(e[0]).encode()).digest(), e[1]))
         examples = [x for *_, x in examples[:most_windows]]
         found = any((tags == B).any() for _, tags, _ in examples)
         return trained(examples) if found else None

@@ -127,6 +127,14 @@ def test_crf_finds_the_patterns(spark):
     assert total and met / total > 0.9
 
 
+def test_crf_learns_from_rare_finds_in_short_texts(spark):
+    plain = [(i, f"some plain words number {i} of the text", "en", "a", None) for i in range(1500)]
+    rare = [(2000 + i, f"token = Zz9Zz9Zz9Zz9Zz{i}", "en", "a", None) for i in range(2)]
+    docs = spark.createDataFrame(plain + rare, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    # Two in 1,500, far more than fit in the sample.
+    assert secrets_crf.fit(docs, limit=40, most_windows=60) is not None
+
+
 def test_redaction():
     text = "say password=abcdefgh12 and 0f0f0f0f0f0f0f0f0f0f0f0f0f0f0f0f now"
     spans = secrets_crf.all_spans(text, None)[1]
