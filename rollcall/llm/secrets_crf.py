@@ -4,8 +4,8 @@ The patterns (``base_spans``) give the sure finds. The CRF tags every token as
 begin (B), inside (I) or outside (O) of a secret from its shape, the shapes
 of the two tokens before and the one after it, and features of the whole
 text; Viterbi decodes the best tags. It is trained here on windows around the
-patterns' finds and on windows of other text. Its finds that touch no pattern
-find are added as kind ``crf``.
+patterns' finds and on windows of other text. What of its finds no pattern
+find covers is added as kind ``crf``.
 
 Viterbi runs only where it can matter: where O beats B and I at a token by
 more than any two transitions can give back, every best path has O there
@@ -282,10 +282,25 @@ class Tagger:
         return found
 
 
+def outside(text: str, span: tuple, base: list) -> list[tuple[int, int, int]]:
+    """The parts of a CRF span that no pattern's find covers, from their first
+    token to their last; parts without a letter or digit are no secrets."""
+    touching = [b for b in base if span[0] < b[2] and b[0] < span[2]]
+    if not touching:
+        return [span]
+    parts, at = [], span[0]
+    for a, _, b, *_ in [*touching, (span[2], 0, span[2])]:
+        tokens = [m.span() for m in _TOKEN.finditer(text, at, max(at, a))]
+        if tokens and any(map(str.isalnum, text[at:a])):
+            parts.append((tokens[0][0], span[1], tokens[-1][1]))
+        at = max(at, b)
+    return parts
+
+
 def all_spans(text: str, tagger: Tagger | None) -> tuple[list, list]:
     """The patterns' finds, and those with the CRF's further ones."""
     base = base_spans(text)
-    more = [s for s in tagger.spans(text) if not any(s[0] < b[2] and b[0] < s[2] for b in base)] if tagger else []
+    more = [s for found in tagger.spans(text) for s in outside(text, found, base)] if tagger else []
     return base, sorted([*base, *more]) if more else base
 
 

@@ -135,6 +135,23 @@ def test_crf_learns_from_rare_finds_in_short_texts(spark):
     assert secrets_crf.fit(docs, limit=40, most_windows=60) is not None
 
 
+def test_crf_spans_keep_what_no_pattern_covers():
+    class Fixed:
+        def __init__(self, *found):
+            self.found = list(found)
+
+        def spans(self, text):
+            return self.found
+
+    text = "x password=abcdefgh12 Zz9Zz9Zz9Zz9 ; end"
+    a, b = text.index("abcd"), text.index(" ; end")
+    base, every = secrets_crf.all_spans(text, Fixed((a, 3, b)))
+    assert [s[:3] for s in every if s not in base] == [(text.index("Zz9"), 3, b)]
+    assert secrets_crf.redacted(text, every) == "x <SECRET> <SECRET> ; end"
+    assert secrets_crf.all_spans(text, Fixed((a, 3, text.index(" Zz9"))))[1] == base  # nothing left
+    assert secrets_crf.all_spans("a Zz9 b", Fixed((2, 3, 5)))[1] == [(2, 3, 5)]
+
+
 def test_redaction():
     text = "say password=abcdefgh12 and 0f0f0f0f0f0f0f0f0f0f0f0f0f0f0f0f now"
     spans = secrets_crf.all_spans(text, None)[1]
