@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import decontaminate, language_id, packing, quality_ftrl, quality_rules, secrets_crf, simhash, substring_dedup, toxicity_knn, url_filter
+from rollcall.llm import decontaminate, hard_negatives, language_id, packing, quality_ftrl, quality_rules, secrets_crf, simhash, substring_dedup, token_alignment, toxicity_knn, url_filter
 from rollcall.llm.common import table
 
 
@@ -50,6 +50,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.query(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.query(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
@@ -61,9 +69,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": substring_dedup.SQL,
     "op5_decontaminate": decontaminate.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
