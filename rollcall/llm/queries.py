@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import decontaminate, hard_negatives, language_id, packing, quality_ftrl, quality_rules, secrets_crf, simhash, substring_dedup, token_alignment, toxicity_knn, url_filter
+from rollcall.llm import decontaminate, hard_negatives, language_id, packing, page_wrappers, quality_ftrl, quality_rules, secrets_crf, simhash, substring_dedup, token_alignment, toxicity_knn, url_filter
 from rollcall.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op11_page_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_wrappers.query(table(spark, sf_dir, "pages"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.query(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_urls": op9_urls,
     "op10_simhash": op10_simhash,
+    "op11_page_wrappers": op11_page_wrappers,
     "op12_token_alignment": op12_token_alignment,
     "op13_hard_negatives": op13_hard_negatives,
 }
