@@ -9,7 +9,7 @@ import oracle_check
 from rollcall import schema as S
 from rollcall.plans import jobs
 from rollcall.session import conf_scope, scratch_path
-from rollcall.sources import derived, files, snapshots, tabs
+from rollcall.sources import csv_records, derived, files, snapshots, tabs
 from rollcall.streaming import zone_feed
 
 E = importlib.import_module("__spark_entry__")
@@ -160,7 +160,7 @@ def test_of_two_writers_one_commits(spark):
 def test_csv_quotes_breaks_and_spaces(spark, tmp_path):
     p = tmp_path / "q.csv"
     p.write_text('Zone,Employee Name,"Employee\nEmail",Global Employee ID\nEUR,"Smith, ""Bob"", Jr",a@b,1\n EUR ,"two\nlines"," x\\",2\n', encoding="utf-8")
-    rows = files.read_delimited(spark, str(p), multi_line=True).orderBy(S.ORD).collect()
+    rows = files.read_delimited(spark, str(p)).orderBy(S.ORD).collect()
     assert [tuple(r)[:4] for r in rows] == [("EUR", 'Smith, "Bob", Jr', "a@b", "1"), (" EUR ", "two\nlines", " x\\", "2")]
 
 
@@ -172,6 +172,86 @@ def test_csv_round_trip_keeps_values(spark):
     assert [(r.a, r.b) for r in back] == [v[:2] for v in values]
 
 
+def _table(rng, n):
+    """Rows whose values hold breaks, quotes, separators and blanks, some of them long."""
+    kinds = ["plain", "", " ", "two\nlines", "a,b", 'q"q', '"', "\n\n", "x\r\ny", ',"', '",\n"', "é\u2028", "long " * 40 + "\n" + "tail " * 30, "\n".join("many" * 9 for _ in range(40))]
+    return [[str(i), *(rng.choice(kinds) for _ in range(3))] for i in range(n)]
+
+
+@pytest.mark.parametrize(("ending", "split"), [("\n", 300), ("\r\n", 1024)])
+def test_csv_breaks_in_quotes_across_splits(spark, tmp_path, ending, split):
+    """Equal to pandas' rows, in file order, on files of very many splits."""
+    import csv
+    import random
+
+    import pandas as pd
+
+    want = []
+    for k in range(3):
+        rows = _table(random.Random(k), 60) if k < 2 else [[str(i), "x", "y", 'z "z"'] for i in range(60)]
+        with open(tmp_path / f"{k} é%+[a].csv", "w", newline="", encoding="utf-8") as f:
+            f.write("\ufeff" if k == 0 else "")
+            w = csv.writer(f, lineterminator=ending)
+            w.writerows([["id", "a b", "b", "c"], *rows])
+        found = pd.read_csv(tmp_path / f"{k} é%+[a].csv", dtype=str, keep_default_na=False, encoding="utf-8-sig")
+        want += [tuple(r) for r in found.itertuples(index=False)]
+        assert [list(r) for r in want[-60:]] == rows
+    with conf_scope(spark, spark__sql__files__maxPartitionBytes=split, spark__sql__files__openCostInBytes=1):
+        df = files.read_delimited(spark, str(tmp_path))
+        got = [tuple(r)[:4] for r in sorted(df.collect(), key=lambda r: r[S.ORD])]
+        parts = df.rdd.getNumPartitions()
+    assert got == want and parts > 10
+
+
+def test_csv_states_of_splits(spark):
+    """The prefix over splits against walking through them."""
+    import itertools
+
+    kinds = [(0, 1), (1, 0), (0, 0), (1, 1)]
+    rows, want = [], {}
+    for k, effects in enumerate(itertools.product(kinds, repeat=4)):
+        state = 0
+        for i, (a, b) in enumerate(effects):
+            rows.append((str(k), i * 10, a, b))
+            want[str(k), i * 10] = state
+            state = (a, b)[state]
+    df = csv_records.split_states(spark.createDataFrame(rows, "path string, start bigint, after_outside int, after_inside int"))
+    assert {(r["path"], r["start"]): r["state"] for r in df.collect()} == want
+
+
+def test_csv_quotes_amid_values(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('a,b\n5" pipe,x\n"in\nside",7"\n\n   \n"last\n\nline",\n"open\nend,1\n')
+    rows = files.read_delimited(spark, str(tmp_path)).orderBy(S.ORD).collect()
+    assert [(r.a, r.b) for r in rows][:3] == [('5" pipe', "x"), ("in\nside", '7"'), ("last\n\nline", "")] and len(rows) == 4
+    assert csv_records.ends_inside('"a', False, ",") and csv_records.ends_inside('a;"b""', False, ";")
+    assert not csv_records.ends_inside('a"b', False, ",") and not csv_records.ends_inside('x"', True, ",") and csv_records.ends_inside('x","', True, ",")
+
+
+def test_csv_record_longer_than_splits(spark, tmp_path):
+    """One value over very many splits, most of which hold no quote."""
+    long = "line of a long value\n" * 3000
+    (tmp_path / "a.csv").write_text(f'a,b\n1,"{long}"\n2,x\n"{long}",3\n')
+    with conf_scope(spark, spark__sql__files__maxPartitionBytes=4096, spark__sql__files__openCostInBytes=1):
+        rows = files.read_delimited(spark, str(tmp_path)).orderBy(S.ORD).collect()
+    assert [(r.a, r.b) for r in rows] == [("1", long), ("2", "x"), (long, "3")]
+
+
+def test_csv_other_encodings(spark, tmp_path):
+    for name in ("latin-1", "utf-16"):
+        p = tmp_path / f"{name}.csv"
+        p.write_text('a,b\n"é\nü",1\n', encoding=name)
+        assert [(r.a, r.b) for r in files.read_delimited(spark, str(p), encoding={"latin-1": "ISO-8859-1"}.get(name, name)).collect()] == [("é\nü", "1")]
+
+
+def test_csv_headers_with_breaks_are_checked(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"Zone\nname",b\n"x\ny",1\n')
+    (tmp_path / "b.csv").write_text('"Zone\nname",b\n"z\n",2\n')
+    assert {tuple(r)[:2] for r in files.read_delimited(spark, str(tmp_path)).collect()} == {("x\ny", "1"), ("z\n", "2")}
+    (tmp_path / "c.csv").write_text('b,"Zone\nname"\n2,"z\n"\n')
+    with pytest.raises(Exception, match="CSV header"):
+        files.read_delimited(spark, str(tmp_path)).collect()
+
+
 def test_csv_files_with_other_columns_are_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Zone,Employee Email\nEUR,a@b\n")
     (tmp_path / "b.csv").write_text("Employee Email,Zone\nc@d,APAC\n")
