@@ -49,9 +49,9 @@ def dedupe_email(df: DataFrame) -> DataFrame:
     return keyed.join(duplicate_rows(rows, e), [S.GEN, S.ORD], "left_anti").drop(e)
 
 
-def topk_per_key(df: DataFrame, key: str, order: list, k: int, rank_col: str = "rank") -> DataFrame:
+def topk_per_key(df: DataFrame, key: str | list[str], order: list, k: int, rank_col: str = "rank") -> DataFrame:
     """First ``k`` rows per ``key`` by ``order``. ``row_number() <= k`` is
     planned with a partial WindowGroupLimit before the shuffle, so a hot key
     ships at most ``k`` rows per map task."""
-    w = Window.partitionBy(key).orderBy(*order)
+    w = Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)

@@ -5,7 +5,8 @@ Shape of the plan (every arrow a Spark operator, no driver loop):
     userbase --narrow--> keyed_u(_gen,_ord, three keys)   (the one key scan)
     keyed_u --> keys_u(_tier,_key,_gen,_ord)              (blank keys dropped)
     roster/add --narrow--> probe keys
-    keys_u count per key, SEMI distinct probe keys -> exists (hot keys collapse map-side)
+    keys_u that may meet a probe key (broadcast slots), count per key,
+        SEMI distinct probe keys -> exists (hot keys collapse map-side)
     probe SEMI exists, min(struct(tier,key)) per probe row -> hits
     roster hits groupBy key          -> key flags (one row per key)
     keys_u JOIN key flags (hot keys split), groupBy row -> row flags (<= 3 rows meet per row)
@@ -29,6 +30,7 @@ from rollcall import schema as S
 from rollcall.functions import ACT_NOOP, action_class, in_zone, valid_email
 from rollcall.operators import clean, match, skew, update
 from rollcall.operators.dedupe import duplicate_rows
+from rollcall.operators.prefilter import near
 from rollcall.operators.zone import resolve_zone
 
 INZ = "_inz"
@@ -141,7 +143,9 @@ def reconcile_zone(
     keys_tk = [match.TIER, match.KEY]
     per_task = skew.rows_per_task(probe)
     probe_n = keep(match.key_counts(probe))
-    exists_n = keep(match.key_counts(keys_u).join(probe_n.select(*keys_tk), keys_tk, "left_semi"))
+    # In a job the userbase's keys are first cut to those that may meet the probe's.
+    meets = near if materialize else (lambda big, small, keys: big)
+    exists_n = keep(match.key_counts(meets(keys_u, probe_n, keys_tk)).join(probe_n.select(*keys_tk), keys_tk, "left_semi"))
     exists = exists_n.select(*keys_tk)
 
     # First hitting tier per probe row, roster and add list in one aggregate.
@@ -149,7 +153,7 @@ def reconcile_zone(
     hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT, hot=probe_hot))
     winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
-    rflags = keep(match.row_flags(keys_u, flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, match.N, per_task)))
+    rflags = keep(match.row_flags(meets(keys_u, exists, keys_tk), flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, match.N, per_task)))
 
     decided = update.with_row_decisions(ub, rflags.drop(INZ), zone)
 
