@@ -58,12 +58,16 @@ def run_zone(
     run_id: str | None = None,
 ) -> RunResult:
     """Reconcile ``roster``/``add`` into the latest snapshot under ``base``
-    and commit the result as the next version. ``run_id`` becomes part of
-    the commit, so a caller that retries can tell whether the run took effect."""
+    and commit the result as the next version: what it changed, as a layer over
+    the version before; the whole table where the clean changed its rows and
+    columns, where it had no status yet, and after ``snapshots.MAX_LAYERS``
+    layers. ``run_id`` becomes part of the commit, so a caller that retries can
+    tell whether the run took effect."""
     version = snapshots.latest_version(spark, base)
     if version is None:
         raise ValueError(f"No snapshot under {base}; ingest the export first")
-    current = snapshots.read_snapshot(spark, base, version)
+    below = snapshots.read_commit(spark, base, version)
+    current = snapshots.merged(spark, base, below.chain)
     data_cols = [c for c in current.columns if c not in (S.GEN, S.ORD)]
     do_clean = should_clean(data_cols, clean)
     missing = S.missing_keep_columns(data_cols) if do_clean else []
@@ -71,9 +75,13 @@ def run_zone(
     try:
         with case_sensitive(spark):
             userbase = clean_export(current) if do_clean else current
-            run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook)
+            run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook, unique_emails=below.unique_emails and not do_clean)
             summary = run.summary.first().asDict()
-            snapshots.write_snapshot(run.table, base, version + 1, run_id)
+            if do_clean or not S.is_prepared(data_cols) or S.GEN not in current.columns or len(below.chain) > snapshots.MAX_LAYERS:
+                snapshots.write_snapshot(run.table, base, version + 1, run_id, unique_emails=True)
+            else:
+                layer = snapshots.Layer(run.changed, run.removed, run.kept_new)
+                snapshots.write_layer(spark, layer, base, version + 1, run_id, unique_emails=True)
     finally:
         hook.cleanup()  # the committed snapshot doesn't depend on them
     return RunResult(

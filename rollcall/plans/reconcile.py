@@ -66,6 +66,9 @@ class ZoneRun:
     appended: DataFrame | None
     dups: DataFrame
     table: DataFrame
+    changed: DataFrame  # rows that stay with another status
+    removed: DataFrame  # rows of the userbase that go, as removals or as copies
+    kept_new: DataFrame | None  # appended rows that stay
     summary: DataFrame
 
 
@@ -90,6 +93,7 @@ def reconcile_zone(
     zone: str | None = None,
     gen: int = 1,
     materialize=None,
+    unique_emails: bool = False,
 ) -> ZoneRun:
     """Reconcile one zone. ``gen`` stamps appended rows and must exceed every
     ``_gen`` already in the userbase so they sort after it.
@@ -99,7 +103,10 @@ def reconcile_zone(
     row, probe keys, counts of probe keys and of the userbase's keys among
     them, probe hits, per-row flags, groups of equal emails and duplicates. A
     job passes it so that none is computed twice (the key normalisation is
-    the costliest per row) and lineage is cut at a reliable copy."""
+    the costliest per row) and lineage is cut at a reliable copy.
+
+    ``unique_emails`` states that no two userbase rows share a normalised email
+    (a run before left it so): the dedupe then looks at appended emails only."""
     keep = materialize or (lambda df: df)
     ub = prepare_userbase(userbase)
     S.require_columns(roster, (S.GLOBAL_ID, S.EMAIL), "Zones roster tab")
@@ -175,22 +182,22 @@ def reconcile_zone(
         .filter(F.col(e) != "")
         .join(rflags.filter(F.col(match.D)).select(S.GEN, S.ORD), [S.GEN, S.ORD], "left_anti")
     )
-    rows = survivors
+    rows = survivors.filter(F.lit(False)) if unique_emails else survivors
     if appended is not None:
-        rows = rows.union(
-            match.with_norm_keys(appended).select(S.GEN, S.ORD, e).filter(F.col(e) != "")
-        )
+        new = match.with_norm_keys(appended).select(S.GEN, S.ORD, e).filter(F.col(e) != "")
+        rows = (near(survivors, new, [e]) if unique_emails else survivors).union(new)
     dups = keep(duplicate_rows(rows, e, materialize=keep))
 
-    kept_ub = (
-        update.apply_status(update.remove_rows(decided))
-        .join(dups, [S.GEN, S.ORD], "left_anti")
-        .select(*[S.qcol(c) for c in columns])
-    )
-    table = kept_ub
+    old = "_old"
+    staying = update.apply_status(update.remove_rows(decided).withColumn(old, F.col(S.STATUS))).join(dups, [S.GEN, S.ORD], "left_anti")
+    table = staying.select(*[S.qcol(c) for c in columns])
+    changed = staying.filter(F.col(S.STATUS) != F.col(old)).select(S.GEN, S.ORD, S.STATUS)
+    copies = dups.filter(F.col(S.GEN) != gen).select(S.GEN, S.ORD)
+    removed = rflags.filter(F.col(match.D)).select(S.GEN, S.ORD).union(copies)
+    kept_new = None
     if appended is not None:
-        kept_new = appended.join(dups, [S.GEN, S.ORD], "left_anti")
-        table = table.union(kept_new.select(*[S.qcol(c) for c in columns]))
+        kept_new = appended.join(dups, [S.GEN, S.ORD], "left_anti").select(*[S.qcol(c) for c in columns])
+        table = table.union(kept_new)
 
     summary = _summary(zone, keyed_u, rflags, roster, act_col, add, add_new, add_existing, dups)
     return ZoneRun(
@@ -209,6 +216,9 @@ def reconcile_zone(
         appended=appended,
         dups=dups,
         table=table,
+        changed=changed,
+        removed=removed,
+        kept_new=kept_new,
         summary=summary,
     )
 

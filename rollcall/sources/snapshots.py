@@ -1,7 +1,15 @@
 """Versioned userbase snapshots, never overwritten.
 
-    <base>/data/<attempt>/     parquet of one attempt to write a version
-    <base>/commits/<N>.json    version N: its attempt, and the run that made it
+    <base>/data/<attempt>/     parquet of one attempt to write a version: a whole
+                               table, or a layer of changes in three folders
+                               (status, removed, appended)
+    <base>/commits/<N>.json    version N: its attempt, the whole table and the layers
+                               it is read from, and the run that made it
+
+A zone run changes few rows of a large table, so it writes a layer: the rows
+whose status changed, those that went, and those that came. A version is read by
+merging its layers, in order, into the whole table below them; after
+``MAX_LAYERS`` layers a run writes a whole table again.
 
 Each zone run reads version N and writes N+1, so the previous state is
 always kept (the reference's timestamped backup) and "restore" is a read of
@@ -16,6 +24,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -73,10 +82,69 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
     return v[-1] if v else None
 
 
+MAX_LAYERS = 8
+STATUS_ROWS, REMOVED_ROWS, APPENDED_ROWS = "status", "removed", "appended"
+
+
+@dataclass
+class Layer:
+    """What a run changes: new statuses ``(_gen, _ord, status)``, rows that go
+    ``(_gen, _ord)``, and rows that come, with the columns of the table."""
+
+    status: DataFrame
+    removed: DataFrame
+    appended: DataFrame | None
+
+
+@dataclass
+class Commit:
+    """``chain``: the attempt that holds a whole table, then layers in order."""
+
+    version: int
+    data: str
+    run: str | None
+    chain: list[str]
+    unique_emails: bool
+
+
+def read_commit(spark: SparkSession, base: str, version: int) -> Commit:
+    schema = "data string, run string, chain array<string>, unique_emails boolean"
+    row = spark.read.schema(schema).json(_commit_path(base, version)).first()
+    return Commit(version, row["data"], row["run"], row["chain"] or [row["data"]], bool(row["unique_emails"]))
+
+
+def _data(base: str, attempt: str, part: str = "") -> str:
+    return f"{base.rstrip('/')}/data/{attempt}{'/' + part if part else ''}"
+
+
 def snapshot_path(spark: SparkSession, base: str, version: int) -> str:
-    """The folder that holds a committed version."""
-    row = spark.read.schema("data string").json(_commit_path(base, version)).first()
-    return f"{base.rstrip('/')}/data/{row['data']}"
+    """The folder that a committed version wrote."""
+    return _data(base, read_commit(spark, base, version).data)
+
+
+def merged(spark: SparkSession, base: str, chain: list[str]) -> DataFrame:
+    """A whole table with the layers above it. A row's last status counts; what
+    meets the table is one short row for each changed one."""
+    table = spark.read.parquet(_data(base, chain[0]))
+    layers = chain[1:]
+    if not layers:
+        return table
+    columns = table.columns
+
+    def stacked(part: str, *marks):
+        found = None
+        for i, attempt in enumerate(layers):
+            rows = spark.read.parquet(_data(base, attempt, part)).select("*", *[m(i) for m in marks])
+            found = rows if found is None else found.unionByName(rows)
+        return found
+
+    appended = stacked(APPENDED_ROWS)
+    rows = table.unionByName(appended.select(*[S.qcol(c) for c in columns]))
+    status = stacked(STATUS_ROWS, lambda i: F.lit(i).alias("_layer"))
+    last = status.groupBy(S.GEN, S.ORD).agg(F.max_by(S.STATUS, "_layer").alias("_status"))
+    merged_rows = rows.join(stacked(REMOVED_ROWS), [S.GEN, S.ORD], "left_anti").join(last, [S.GEN, S.ORD], "left")
+    new = F.coalesce(F.col("_status"), F.col(S.STATUS)).alias(S.STATUS)
+    return merged_rows.select(*[new if c == S.STATUS else S.qcol(c) for c in columns])
 
 
 def read_snapshot(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
@@ -85,23 +153,45 @@ def read_snapshot(spark: SparkSession, base: str, version: int | None = None) ->
         version = latest_version(spark, base)
         if version is None:
             raise ValueError(f"No snapshot under {base}")
-    return spark.read.parquet(snapshot_path(spark, base, version))
+    return merged(spark, base, read_commit(spark, base, version).chain)
 
 
-def write_snapshot(df: DataFrame, base: str, version: int, run_id: str | None = None) -> str:
-    """Write ``df`` and commit it as version ``version`` of run ``run_id``.
-    Raises if the version is taken, whoever took it and when."""
-    spark = df.sparkSession
-    if version in versions(spark, base):
-        raise ValueError(f"version {version} already committed under {base}")
-    attempt = f"v={version}-{uuid.uuid4().hex[:12]}"
-    path = f"{base.rstrip('/')}/data/{attempt}"
-    df.write.mode("errorifexists").parquet(path)
-    if not write_once(spark, _commit_path(base, version), json.dumps({"version": version, "data": attempt, "run": run_id})):
+def _commit(spark: SparkSession, base: str, version: int, attempt: str, chain: list[str], run_id: str | None, unique_emails: bool) -> None:
+    text = json.dumps({"version": version, "data": attempt, "run": run_id, "chain": chain, "unique_emails": unique_emails})
+    if not write_once(spark, _commit_path(base, version), text):
         fs, jvm = _fs(spark, base)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(_data(base, attempt)), True)
         raise ValueError(f"version {version} was committed under {base} by another writer")
-    return path
+
+
+def _attempt(spark: SparkSession, base: str, version: int) -> str:
+    if version in versions(spark, base):
+        raise ValueError(f"version {version} already committed under {base}")
+    return f"v={version}-{uuid.uuid4().hex[:12]}"
+
+
+def write_snapshot(df: DataFrame, base: str, version: int, run_id: str | None = None, unique_emails: bool = False) -> str:
+    """Write ``df`` whole and commit it as version ``version`` of run ``run_id``.
+    Raises if the version is taken, whoever took it and when. ``unique_emails``
+    states that no two rows share a normalised email."""
+    spark = df.sparkSession
+    attempt = _attempt(spark, base, version)
+    df.write.mode("errorifexists").parquet(_data(base, attempt))
+    _commit(spark, base, version, attempt, [attempt], run_id, unique_emails)
+    return _data(base, attempt)
+
+
+def write_layer(spark: SparkSession, layer: Layer, base: str, version: int, run_id: str | None = None, unique_emails: bool = False) -> str:
+    """Write what changed since the version before and commit it as ``version``."""
+    below = read_commit(spark, base, version - 1).chain
+    attempt = _attempt(spark, base, version)
+    appended = layer.appended
+    if appended is None:
+        appended = merged(spark, base, below).limit(0)
+    for part, rows in ((STATUS_ROWS, layer.status), (REMOVED_ROWS, layer.removed), (APPENDED_ROWS, appended)):
+        rows.write.mode("errorifexists").parquet(_data(base, attempt, part))
+    _commit(spark, base, version, attempt, [*below, attempt], run_id, unique_emails)
+    return _data(base, attempt)
 
 
 def version_of_run(spark: SparkSession, base: str, run_id: str) -> int | None:
