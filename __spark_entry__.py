@@ -35,6 +35,7 @@ from rollcall.functions import (  # noqa: E402
 )
 from rollcall.operators import clean, match, skew  # noqa: E402
 from rollcall.operators.dedupe import dedupe_email, topk_per_key  # noqa: E402
+from rollcall.operators.order import with_position  # noqa: E402
 from rollcall.operators.zone import resolve_zones  # noqa: E402
 from rollcall.plans import diagnose as diag  # noqa: E402
 from rollcall.plans import jobs  # noqa: E402
@@ -343,8 +344,8 @@ def q_topk_per_key(spark, sf):
 
 
 def q_stable_order(spark, sf):
-    t = _run(spark, sf).table
-    return short(t.orderBy(S.GEN, S.ORD), ["gen", "ord", "email", "status"])
+    t = with_position(_run(spark, sf).table, written_table(spark, "positions"))
+    return short(t, ["position", "gen", "ord", "email", "status"])
 
 
 def q_reconcile_zone(spark, sf):

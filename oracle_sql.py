@@ -345,7 +345,7 @@ def queries() -> dict[str, str]:
                      CAST(row_number() OVER (PARTITION BY ltrim(g, '0') ORDER BY g) AS INTEGER) AS rank
               FROM (SELECT DISTINCT {n_id('gid')} AS g FROM ub) WHERE g <> '') WHERE rank <= 3"""
     )
-    q["stable_order"] = with_(*BASE) + "SELECT gen, ord, email, status FROM z_fin"
+    q["stable_order"] = with_(*BASE) + "SELECT row_number() OVER (ORDER BY gen, ord) - 1 AS position, gen, ord, email, status FROM z_fin"
     q["reconcile_zone"] = with_(*BASE) + f"SELECT {FINAL_COLS} FROM z_fin"
     run_cols = CLEAN_COLS + ["status"]
     q["run_zone"] = with_(EXPORT, CLEANED, ROSTER, ADD, *reconcile_ctes("z_", "cub", "ros", "addl", ZONE, 1, run_cols)) + (

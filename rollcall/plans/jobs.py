@@ -17,7 +17,7 @@ from rollcall import schema as S
 from rollcall.operators.clean import clean_export
 from rollcall.plans.reconcile import reconcile_zone
 from rollcall.session import case_sensitive, written_table
-from rollcall.sources import snapshots
+from rollcall.sources import files, snapshots
 
 CLEAN_MODES = ("auto", "never", "force")
 
@@ -102,6 +102,12 @@ def ingest(spark: SparkSession, base: str, export: DataFrame) -> int:
     return 0
 
 
+def export_delimited(spark: SparkSession, base: str, path: str, version: int | None = None, sep: str = ",") -> None:
+    """The latest or the given version as delimited text in row order, with a
+    byte order mark before each file."""
+    files.write_delimited(snapshots.read_snapshot(spark, base, version), path, sep=sep, bom=True)
+
+
 def accumulate_zones(
     spark: SparkSession, base: str, runs: list[tuple[DataFrame, DataFrame | None, str | None]], clean: str = "auto"
 ) -> list[RunResult]:

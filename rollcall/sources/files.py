@@ -175,10 +175,16 @@ def read_export(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return clean_export(read_delimited(spark, path, sep=sep))
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
+def write_delimited(df: DataFrame, path: str, sep: str = ",", bom: bool = False) -> None:
     """Write a table as header-ed CSV part files, in ``(_gen, _ord)`` order
-    (a range-partitioned sort, so part-file order is row order), values as they are."""
+    (a range-partitioned sort, so part-file order is row order), values as they
+    are. ``bom`` puts a byte order mark before each file, as spreadsheets want it."""
     order = [c for c in (S.GEN, S.ORD) if c in df.columns]
     out = df.orderBy(*order).drop(*order) if order else df
+    if bom and out.columns:
+        first = out.columns[0]
+        if any(c in first for c in (sep, '"', "\n", "\r")):
+            raise ValueError(f"a byte order mark can't stand before a quoted name: {first!r}")
+        out = out.toDF("\ufeff" + first, *out.columns[1:])
     writer = out.write.mode("errorifexists").option("header", True).option("sep", sep).option("escape", '"').option("emptyValue", "")
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -10,7 +10,7 @@ from rollcall import schema as S
 from rollcall.plans import jobs
 from rollcall.plans.reconcile import reconcile_zone
 from rollcall.session import scratch_path, written_table
-from rollcall.sources import derived, snapshots
+from rollcall.sources import derived, files, snapshots
 
 
 def _rows(df):
@@ -84,3 +84,29 @@ def test_unique_emails_need_no_full_dedupe(spark):
     assert _rows(quick.dups) == _rows(full.dups) and full.dups.count() > 0
     assert _rows(quick.table) == _rows(full.table) and quick.summary.first() == full.summary.first()
     hook.cleanup()
+
+
+def test_positions_are_dense_and_in_order(spark):
+    from rollcall.operators.order import with_position
+
+    rows = [(g, o * 7919 % 1000 + (o << 40) % 3, f"{g}-{o}") for g in (0, 1, 5) for o in range(200)]
+    df = spark.createDataFrame(rows, f"{S.GEN} int, {S.ORD} bigint, v string").repartition(5)
+    for ranges in (1, 3, 40):
+        hook = written_table(spark, "positions-test")
+        got = {r["v"]: r["position"] for r in with_position(df, hook, ranges).collect()}
+        assert got == {v: i for i, (_, _, v) in enumerate(sorted(rows))}
+        hook.cleanup()
+    assert with_position(df.limit(0), written_table(spark, "positions-test")).count() == 0
+
+
+def test_a_version_as_delimited_text(spark):
+    base, path = scratch_path(spark, "export-base"), scratch_path(spark, "export-text")
+    jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
+    jobs.export_delimited(spark, base, path)
+    parts = sorted(f for f in os.listdir(path.replace("file://", "")) if f.endswith(".csv"))
+    with open(os.path.join(path.replace("file://", ""), parts[0]), "rb") as f:
+        assert f.read(3) == b"\xef\xbb\xbf"
+    back = files.read_userbase(spark, path)
+    want = snapshots.read_snapshot(spark, base)
+    assert back.columns[:-2] == [c for c in want.columns if c not in (S.GEN, S.ORD)]
+    assert _rows(back.drop(S.GEN, S.ORD)) == _rows(want.drop(S.GEN, S.ORD))
