@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,14 +36,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rollcall.llm.common import Memo, pick, small
+from rollcall.llm.common import pick, small
 from rollcall.session import written_table
 
 # The way in which byte-level vocabularies cut a text before they merge (a fixed value of the format).
 BYTE_LEVEL_PARTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 STRETCH = 250_000  # tokens of A that are aligned at a time
-# Merges of both kinds never reach over a space that follows something else than white space.
-_SEGMENT = re.compile(r"(?<=\S)(?= )")
+PART = 1_000_000  # characters that are encoded at a time
+# Merges of both kinds never reach over a space between two characters that aren't white space.
+_CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -69,7 +71,8 @@ class TokenizerA:
         usual = before["type"] == "ByteLevel" and before["use_regex"] and not before["add_prefix_space"] and spec["normalizer"] is None
         if usual and merged == sorted(set(merged)) and len(merged) + 256 == len(plain):
             ranks = {self.bytes[i]: i for i in plain.values()}
-            self.encode = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PARTS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            merges = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_PARTS, mergeable_ranks=ranks, special_tokens={})
+            self.encode = merges.encode_ordinary
         else:
             tokenizer = Tokenizer.from_str(vocabulary)
             tokenizer.encode_special_tokens = True
@@ -89,30 +92,35 @@ class TokenizerB:
 
 
 class Pair:
-    """Both tokenizers, and the lengths of their tokens."""
+    """Both tokenizers. Very long texts are encoded in parts."""
 
-    def __init__(self, vocabulary_a: str, model_b: bytes, memo: int = 120_000):
+    def __init__(self, vocabulary_a: str, model_b: bytes, part: int = PART):
         self.a, self.b = TokenizerA(vocabulary_a), TokenizerB(model_b)
-        self.kinds = tuple("<u2" if len(t.bytes) <= 1 << 16 else "<u4" for t in (self.a, self.b))
-        self.memo = Memo(self._both, memo)
-
-    def _both(self, text: str) -> tuple[bytes, bytes, bool]:
-        """Ids of a text that starts with a space, and whether both spell it out."""
-        a, b = self.a.encode(text), self.b.encode(text[1:])
-        spelled = text.encode()
-        same = b"".join(map(self.a.bytes.__getitem__, a)) == spelled == b"".join(map(self.b.bytes.__getitem__, b))
-        return np.array(a, self.kinds[0]).tobytes(), np.array(b, self.kinds[1]).tobytes(), same
-
-    def ids(self, text: str) -> tuple[bytes, bytes]:
-        """Ids of A and B, little-endian; none unless both spell out a space and the text."""
+        self.kinds = tuple("H" if len(t.bytes) <= 1 << 16 else "I" for t in (self.a, self.b))
+        self.part = part
+
+    def ids(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of A and of B, little-endian, of each text; none unless both spell out a space and the text."""
+        short = [t for t in texts if len(t) <= self.part]
+        found = iter(zip(short, self.b.encode(short, num_threads=1), strict=True))
+        return [self._both(*next(found)) if len(t) <= self.part else self._long(t) for t in texts]
+
+    def _both(self, text: str, b: list[int]) -> tuple[bytes, bytes]:
         if not text:
             return b"", b""
-        if self.b.apart and not text.endswith(" "):
-            parts = [self.memo[p] if len(p) < 40 else self._both(p) for p in _SEGMENT.split(" " + text)]
-            if all(p[2] for p in parts):
-                return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-        a, b, same = self._both(" " + text)
-        return (a, b) if same else (b"", b"")
+        a, spelled = self.a.encode(" " + text), (" " + text).encode()
+        if b"".join(map(self.a.bytes.__getitem__, a)) != spelled or b"".join(map(self.b.bytes.__getitem__, b)) != spelled:
+            return b"", b""
+        return array(self.kinds[0], a).tobytes(), array(self.kinds[1], b).tobytes()
+
+    def _long(self, text: str) -> tuple[bytes, bytes]:
+        cuts = [0]
+        while self.b.apart and (m := _CUT.search(text, cuts[-1] + self.part)):
+            cuts.append(m.start())
+        # Each part but the first starts with its space, which both put there by themselves.
+        parts = [text[a + (a > 0) : b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+        found = [self._both(p, self.b.encode(p)) for p in parts]
+        return tuple(b"".join(x) for x in zip(*found, strict=True)) if all(a for a, _ in found) else (b"", b"")
 
 
 def aligned(starts_a: np.ndarray, ends_a: np.ndarray, starts_b: np.ndarray, ends_b: np.ndarray):
@@ -159,7 +167,7 @@ class Aligner:
 
     def __call__(self, a: bytes, b: bytes):
         """(ids of A, ids of B, groups of A, groups of B, A ids of links, B ids of links) of each stretch."""
-        ids_a, ids_b = np.frombuffer(a, self.kinds[0]), np.frombuffer(b, self.kinds[1])
+        ids_a, ids_b = (np.frombuffer(x, k) for x, k in zip((a, b), self.kinds, strict=True))
         ends_a, ends_b = self.lengths[0][ids_a].cumsum(), self.lengths[1][ids_b].cumsum()
         if not len(ids_a):
             return
@@ -181,8 +189,8 @@ def encoded(docs: DataFrame, vocabulary_a: str, model_b: bytes) -> DataFrame:
 
     def work(batches):
         both = Pair(vocabulary_a, model_b)
-        for batch in small(batches):
-            ids = [both.ids(t or "") for t in batch.column("text").to_pylist()]
+        for batch in small(batches, 256):
+            ids = both.ids([t or "" for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array([x[0] for x in ids], pa.binary()), pa.array([x[1] for x in ids], pa.binary())], ["doc_id", "row", "a", "b"])
 
     rows = pick(docs, doc_id="bigint", text="string").withColumn("row", F.monotonically_increasing_id())

@@ -89,15 +89,15 @@ def test_alignment_of_the_table(spark, documents):
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("ab .,'\n\t é日1 ▁<s>\x1c"), max_size=25))
-def test_ids_by_segments(text):
-    with_memo = PAIR.ids(text)
+def test_ids_of_long_texts_in_parts(text):
+    found = PAIR.ids([text, text + ' x', text])[2]
     a, b = tokens(text)
-    assert np.frombuffer(with_memo[0], "<u2").tolist() == [x[0] for x in a]
-    assert np.frombuffer(with_memo[1], "<u2").tolist() == [x[0] for x in b]
+    assert np.frombuffer(found[0], "<u2").tolist() == [x[0] for x in a]
+    assert np.frombuffer(found[1], "<u2").tolist() == [x[0] for x in b]
 
 
 with open(PATHS[0], encoding="utf-8") as _a, open(PATHS[1], "rb") as _b:
-    PAIR = T.Pair(_a.read(), _b.read(), memo=50)
+    PAIR = T.Pair(_a.read(), _b.read(), part=4)
 
 
 @settings(max_examples=200, deadline=None)
