@@ -13,7 +13,8 @@ Only DataFrame functions are used. Nothing is broadcast by a hint: the
 benchmark's tables are written first, so that Spark knows their true sizes.
 
 Defined results: null and empty texts, and documents without words, have no
-windows and are not contaminated; items without words have no windows. Rows
+windows and are not contaminated; items without words have no windows. Words in
+windows of an item without an id are hit, but no item is named for them. Rows
 that repeat a doc_id, or an item_id, are told apart by a hash of the text.
 """
 
@@ -50,7 +51,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def item_terms(items: DataFrame) -> DataFrame:
     """(item, item_id, place, term, width, size): the words of every item, and
     the width of its windows. ``item`` tells texts of the same item_id apart."""
-    found = pick(items, item_id="bigint", text="string").filter("item_id is not null and text is not null").distinct()
+    found = pick(items, item_id="bigint", text="string").filter("text is not null").distinct()
     found = found.select(F.xxhash64("item_id", "text").alias("item"), "item_id", words(F.col("text")).alias("words"))
     width = F.least(F.size("words"), F.lit(WINDOW))
     each = found.select("item", "item_id", width.alias("width"), F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
@@ -82,9 +83,9 @@ def matches(docs: DataFrame, items: DataFrame, *, slop: int = 0) -> DataFrame:
     the windows that match begin."""
     keep = written_table(docs.sparkSession, "positional-index")
     places = keep(item_terms(items).withColumn("word", F.col("term")).withColumn("term", F.xxhash64("term")))
-    index = keep(postings(docs, keep(places.select("term", "word").distinct().repartition(1))))
-    counts = keep(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")).repartition(1))
-    pairs = keep(rarest(places.drop("word"), counts).repartition(1))
+    index = keep(postings(docs, keep(places.select("term", "word").distinct())))
+    counts = keep(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
+    pairs = keep(rarest(places.drop("word"), counts))
 
     off = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
     first = pairs.select(F.col("first_term").alias("term"), "item", "first").distinct()
@@ -143,7 +144,7 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 # Windows as strings: every 13 words of an item against every 13 words of a document.
 SQL = r"""
 with d as (select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
-b as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null and item_id is not null),
+b as (select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null),
 iw as (select distinct item_id, least(len(w), 13) as m, array_to_string(w[s:s + least(len(w), 13) - 1], ' ') as win from (select item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) as s from b where len(w) > 0)),
 widths as (select distinct m from iw),
 dw as (select r, s, m, array_to_string(w[s:s + m - 1], ' ') as win from (select r, w, m, unnest(range(1, len(w) - m + 2)) as s from d, widths where len(w) >= m)),

@@ -61,6 +61,25 @@ def test_decontamination(spark, texts):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == brute.contamination(texts[r.doc_id], items)
 
 
+def test_items_without_an_id(spark, duck):
+    """Their passages are hit and contaminate, without a name."""
+    from rollcall.llm import decontaminate
+
+    passage = " ".join(f"passage{i}" for i in range(15))
+    docs = [(1, passage), (2, "before " + passage + " after"), (3, "a clean text"), (None, passage), (4, passage + " named words here")]
+    items = [(None, passage), (None, passage), (7, "named words here"), (8, passage[::-1])]
+    docs_df, items_df = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = sorted((str(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.query(docs_df, items_df).collect())
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert found == [("1", 15, 15, 0, sha(""), True), ("2", 17, 15, 0, sha(""), True), ("3", 3, 0, 0, sha(""), False), ("4", 18, 18, 1, sha("7"), True), ("None", 15, 15, 0, sha(""), True)]
+    con = duck.cursor()
+    con.execute("create temp table documents as select * from (values " + ", ".join(f"({'null' if i is None else i}::bigint, '{t}')" for i, t in docs) + ") as x(doc_id, text)")
+    con.execute("create temp table benchmark as select * from (values " + ", ".join(f"({'null' if i is None else i}::bigint, '{t}')" for i, t in items) + ") as x(item_id, text)")
+    twin = con.execute(decontaminate.SQL)
+    at = [[c[0] for c in twin.description].index(c) for c in ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")]
+    assert sorted((str(r[at[0]]), *(r[i] for i in at[1:])) for r in twin.fetchall()) == found
+
+
 def test_decontamination_planted(spark):
     from rollcall.llm import decontaminate
 
