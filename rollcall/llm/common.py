@@ -57,8 +57,9 @@ def bounded_examples(docs: DataFrame, chosen: DataFrame, key: str, label: str, l
     share = min(1.0, 2 * limit / max(1, ids.count()))
     ids = ids.filter(place < F.lit(int(share * (1 << 40)))).orderBy(place, "doc_id").limit(limit)
     found = texts(docs).filter(F.col("doc_id").isNotNull()).join(F.broadcast(ids), "doc_id")
-    # Repeated rows of one document count once.
-    return found.dropDuplicates(["doc_id"])
+    # Repeated rows of one document count once; of several texts the one with the smallest hash.
+    one = found.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("at"), "text", "label")).alias("x"))
+    return one.select("doc_id", "x.text", "x.label")
 
 
 def learned(rows: DataFrame, learn: Callable, otherwise):

@@ -1,21 +1,29 @@
 """Toxicity by the nearest labelled examples.
 
-Terms are words and their first four and five letters. Those whose presence
-depends on the label (chi-squared over the labelled documents) span the
-vector space; texts are unit TF-IDF vectors in it. The examples sit in an
-inverted index cut into blocks, with each term's largest weight per block: a
-block is scored only while its bound (the dot product of the query with these
-maxima) can still reach the k best, so the k nearest are exact. A score is
-the similarity-weighted share of toxic examples among them, smoothed by the
-share of all. Ties go to the example listed first.
-
-Defined results: texts without any of the terms (empty and null ones too) get
-the share of toxic documents among the examples without terms. No labelled
-rows: score 0.
+Terms are words and their first four and five letters; every term of the
+examples spans a dimension, none is left out. A term weighs
+``(1 + ln count) x idf x |phi|``, ``phi`` being the correlation of its
+presence with the label over the examples (chi-squared over their number, its
+root), which doesn't grow with the number of labels; terms that no example
+holds weigh nothing. Texts are unit vectors.
+
+The examples sit in an inverted index with, per term, its largest weight in
+each block of ``BLOCK`` examples. Strong and rare terms are summed for all
+examples; what the other terms can still add is bounded block by block from
+these maxima; only examples that can reach the k best are scored in full, so
+the k nearest are exact. A score is the similarity-weighted share of toxic
+examples among them, smoothed by the share of all.
+
+Defined results: texts without any weighing term (empty and null ones too)
+get the share of toxic documents among the examples without one. Examples with
+equal vectors are one example, which votes its share of toxic rows; ties go to
+the smallest doc_id. Repeated rows are scored alike. Rows without an id are
+scored, not learned from. Long texts are read whole. No labelled rows: score 0.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass, field
 
@@ -24,9 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import Memo, bounded_examples, fold_is, pick, small
+from rollcall.llm.common import Memo, bounded_examples, fold_is, learned, pick, small
 
 SCHEMA = "doc_id bigint, score double, evidence array<string>"
+BLOCK = 32
+OPEN = 0.1  # how much cosine is left to the block maxima; any value gives the same result
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -35,147 +45,184 @@ def terms(chunk: str) -> tuple[str, ...]:
     return tuple(t for w in _WORD.findall(chunk.lower()) for t in {w, *((f"{w[:n]}-") for n in (4, 5) if len(w) > n)})
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges [start, start + size), one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 @dataclass
 class Index:
-    """Unit vectors of distinct examples, sorted so that alike ones share a block."""
-
-    vocabulary: dict[str, int]
-    idf: np.ndarray
-    matrix: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))  # examples x terms
+    """Unit vectors of distinct examples, row by row, sorted so that those with
+    the same strongest terms share a block."""
+
+    vocabulary: dict[str, int] = field(default_factory=dict)
+    weight: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by term
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(1, dtype=np.int64))  # of rows
+    terms: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int32))
+    values: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.float32))
     toxic: np.ndarray = field(default_factory=lambda: np.zeros(0))
     count: np.ndarray = field(default_factory=lambda: np.zeros(0))
     example: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
-    none: tuple[float, float] = (0.0, 0.0)  # toxic and all examples without a term
-    block: int = 32
-    block_max: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    postings: list = field(default_factory=list)  # by block: term -> (rows, weights)
+    none: tuple[float, float] = (0.0, 0.0)  # toxic and all examples without a weighing term
+
+    def __len__(self) -> int:
+        return len(self.starts) - 1
 
     def build(self) -> Index:
-        n = len(self.matrix)
-        starts = range(0, n, self.block)
-        self.block_max = np.array([self.matrix[a : a + self.block].max(axis=0) for a in starts]) if n else np.zeros((0, len(self.idf)))
-        self.postings = []
-        for a in starts:
-            part = self.matrix[a : a + self.block]
-            rows, cols = np.nonzero(part)
-            by_term: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-            for t in np.unique(cols):
-                at = rows[cols == t]
-                by_term[int(t)] = (at, part[at, t])
-            self.postings.append(by_term)
+        """The inverted lists and their block maxima."""
+        rows = np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.starts))
+        by_term = np.argsort(self.terms, kind="stable")  # rows ascend within a term
+        self.rows, self.row_values, of = rows[by_term].astype(np.int64), self.values[by_term].astype(float), self.terms[by_term]
+        self.lists = np.searchsorted(of, np.arange(len(self.weight) + 1))
+        block = self.rows // BLOCK
+        new = np.ones(len(of), dtype=bool)
+        new[1:] = (of[1:] != of[:-1]) | (block[1:] != block[:-1])
+        first = np.nonzero(new)[0]
+        self.blocks = block[first]
+        self.block_max = np.maximum.reduceat(self.row_values, first) if len(first) else self.row_values
+        self.block_lists = np.searchsorted(of[first], np.arange(len(self.weight) + 1))
+        self.term_max = np.zeros(len(self.weight))
+        np.maximum.at(self.term_max, of[first], self.block_max)
+        self.query = np.zeros(len(self.weight))
         return self
 
-    def nearest(self, at: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k examples nearest to a sparse unit vector."""
-        bound = self.block_max[:, at] @ weight
-        order = np.argsort(-bound, kind="stable")
-        rows, found = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for b in order:
-            if len(rows) == k and bound[b] < found[-1] - 1e-12 or bound[b] <= 0:
-                break
-            score = np.zeros(min(self.block, len(self.matrix) - b * self.block))
-            own = self.postings[b]
-            for t, w in zip(at.tolist(), weight.tolist(), strict=True):
-                if t in own:
-                    where, value = own[t]
-                    score[where] += w * value
-            hit = np.nonzero(score)[0]
-            rows, found = np.concatenate([rows, hit + b * self.block]), np.concatenate([found, score[hit]])
-            best = np.lexsort((rows, -np.round(found, 9)))[:k]
-            rows, found = rows[best], found[best]
-        return rows, found
-
-
-def coded(text: str | None, memo: Memo) -> bytes:
-    """The text's term ids, sorted, and last the weight of its other words as
-    one term (1 + ln of their number, to the quarter, negated); empty if the
-    text has no term."""
-    found = list(map(memo.__getitem__, (text or "").split()))
-    ids = sorted(t for ts in found for t in ts)
-    rest = sum(not ts for ts in found)
-    return np.array([*ids, -(round(4 * (1 + np.log(rest))) if rest else 0)], dtype=np.int32).tobytes() if ids else b""
-
-
-def counted(code: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse unit vector of a code: (1 + ln count) x idf. The other words are
-    in every text, so that their idf is 1; they say how dense the terms are."""
-    ids = np.frombuffer(code, dtype=np.int32)
-    at, counts = np.unique(ids[:-1], return_counts=True)
-    at, weight = np.append(at, len(idf)), np.append((1 + np.log(counts)) * idf[at], -ids[-1] / 4)
-    return at, weight / np.linalg.norm(weight)
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 8000, most_terms: int = 600, least_chi2: float = 30.0, least_docs: int = 3) -> Index:
-    """Terms and examples from at most ``limit`` labelled documents (the
-    documented bound of the fit); ``labels`` holds only rows that may be learned from.
-    """
+    def vector(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sparse unit vector (terms, weights) of a text's term ids; empty if none weighs."""
+        at, counts = np.unique(ids, return_counts=True)
+        w = (1 + np.log(counts)) * self.weight[at]
+        at, w = at[w > 0], w[w > 0]
+        return at, w / np.linalg.norm(w) if len(w) else w
+
+    def summed(self, at: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """The part of every example's cosine that some terms give."""
+        sizes = self.lists[at + 1] - self.lists[at]
+        p = ranges(self.lists[at], sizes)
+        return np.bincount(self.rows[p], np.repeat(w, sizes) * self.row_values[p], minlength=len(self))
+
+    def nearest(self, at: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and cosines of the k examples nearest to a sparse unit vector,
+        of equal ones the first; those without a common term don't count."""
+        if not len(at) or not len(self) or not k:
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        # Terms that can add much for few postings come first.
+        sizes = self.lists[at + 1] - self.lists[at]
+        most = w * self.term_max[at]
+        order = np.argsort(-most / np.maximum(sizes, 1), kind="stable")
+        at, w, most = at[order], w[order], most[order]
+        lead = int((np.cumsum(most[::-1])[::-1] > OPEN).sum())
+        score = self.summed(at[:lead], w[:lead])
+        rest, rest_w = at[lead:], w[lead:]
+        if len(rest):
+            sizes = self.block_lists[rest + 1] - self.block_lists[rest]
+            p = ranges(self.block_lists[rest], sizes)
+            more = np.bincount(self.blocks[p], np.repeat(rest_w, sizes) * self.block_max[p], minlength=-(-len(self) // BLOCK))
+            least = np.partition(score, len(self) - k)[len(self) - k] if len(self) > k else 0.0
+            can = np.nonzero(score + np.repeat(more, BLOCK)[: len(self)] >= least - 1e-6)[0]
+            sizes = self.starts[can + 1] - self.starts[can]
+            if sizes.sum() > (self.lists[rest + 1] - self.lists[rest]).sum():  # the lists are the shorter way
+                score = score + self.summed(rest, rest_w)
+            else:
+                query = self.query
+                query[rest] = rest_w
+                p = ranges(self.starts[can], sizes)
+                full = score[can] + np.bincount(np.repeat(np.arange(len(can)), sizes), query[self.terms[p]] * self.values[p], minlength=len(can))
+                query[rest] = 0
+                score = np.zeros(len(self))
+                score[can] = full
+        found = np.round(score, 9)
+        if len(found) > k:
+            some = np.nonzero(found >= np.partition(found, len(found) - k)[len(found) - k])[0]
+        else:
+            some = np.arange(len(found))
+        some = some[found[some] > 0]
+        best = some[np.lexsort((self.example[some], -found[some]))[:k]]
+        return best, score[best]
+
+
+def coded(text: str | None, memo: Memo) -> np.ndarray:
+    """The ids of the text's terms that the index knows, repeats included."""
+    return np.frombuffer(b"".join(map(memo.__getitem__, (text or "").split())), dtype=np.int32)
+
+
+def known(vocabulary: dict[str, int]) -> Memo:
+    return Memo(lambda chunk: np.array([vocabulary[t] for t in terms(chunk) if t in vocabulary], dtype=np.int32).tobytes())
+
+
+def indexed(rows: list[tuple[int, str, int]]) -> Index:
+    """The index of (doc_id, text, label) rows."""
+    rows = sorted(rows)
+    vocabulary: dict[str, int] = {}
+    memo = Memo(lambda chunk: np.array([vocabulary.setdefault(t, len(vocabulary)) for t in terms(chunk)], dtype=np.int32).tobytes())
+    coded_rows = [(coded(text, memo), doc_id, label == 1) for doc_id, text, label in rows]
+    n, p, size = float(len(rows)), float(sum(r[2] for r in coded_rows)), len(vocabulary)
+    holding = np.zeros((2, size))
+    for ids, _, y in coded_rows:
+        holding[int(y), np.unique(ids)] += 1
+    both = holding.sum(axis=0)
+    spread = both * (n - both) * p * (n - p)
+    phi = np.abs(holding[1] * (n - p) - holding[0] * p) / np.sqrt(np.where(spread > 0, spread, np.inf))
+    index = Index(vocabulary, (np.log((1 + n) / (1 + both)) + 1) * phi)
+    distinct: dict[bytes, list] = {}
+    for ids, doc_id, y in coded_rows:
+        at, w = index.vector(ids)
+        one = distinct.setdefault(at.tobytes() + w.tobytes(), [at, w, doc_id, 0, 0])
+        one[3:] = [one[3] + y, one[4] + 1]
+    empty = [x for x in distinct.values() if not len(x[0])]
+    index.none = (empty[0][3], empty[0][4]) if empty else (0, 0)
+    kept = sorted((x for x in distinct.values() if len(x[0])), key=lambda x: (x[0][np.argsort(-x[1], kind="stable")[:3]].tolist(), x[2]))
+    index.starts = np.cumsum([0, *(len(x[0]) for x in kept)])
+    if kept:
+        index.terms = np.concatenate([x[0] for x in kept]).astype(np.int32)
+        index.values = np.concatenate([x[1] for x in kept]).astype(np.float32)
+    index.toxic, index.count = np.array([x[3] for x in kept], float), np.array([x[4] for x in kept], float)
+    index.example = np.array([x[2] for x in kept], dtype=np.int64)
+    return index
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str, *, limit: int = 8000) -> Index:
+    """The index of at most ``limit`` labelled documents (the documented bound
+    of the fit); ``labels`` holds only rows that may be learned from. It grows
+    with the examples' distinct terms, about 4 MB a thousand examples here."""
     rows = bounded_examples(docs, labels, "doc_id", label, limit)
 
-    def count(batches):
-        memo, found = Memo(terms), {}
-        for b in small(batches):
-            for text, y in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True):
-                for t in {"", *(t for ts in map(memo.__getitem__, text.split()) for t in ts)}:  # "": the documents
-                    pair = found.setdefault(t, [0, 0])
-                    pair[y == 1] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([p[1] for p in found.values()], pa.int64()), pa.array([p[0] for p in found.values()], pa.int64())], ["term", "yes", "no"])
-
-    sums = rows.mapInArrow(count, "term string, yes bigint, no bigint").groupBy("term").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    both = F.col("yes") + F.col("no")
-    whole = rows.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("label") == 1, 1)).alias("p")).first()
-    n, p = float(whole["n"]), float(whole["p"])
-    chi2 = n * F.pow(F.col("yes") * (n - p) - F.col("no") * p, 2) / F.greatest(both * (n - both) * p * (n - p), F.lit(1e-9))
-    best = sums.filter(F.col("term") != "").withColumn("chi2", chi2).filter((F.col("chi2") >= least_chi2) & (both >= least_docs))
-    best = best.orderBy(F.desc("chi2"), "term").limit(most_terms).collect()  # at most `most_terms` rows
-    idf = np.array([np.log((1 + n) / (1 + r["yes"] + r["no"])) + 1 for r in best])
-    index = Index({r["term"]: i for i, r in enumerate(best)}, idf)
-    vocabulary = index.vocabulary
-
-    def vectors(batches):
-        memo = Memo(lambda chunk: tuple(vocabulary[t] for t in terms(chunk) if t in vocabulary))
-        for b in small(batches):
-            ids = [coded(t, memo) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.binary()), b.column("label")], ["doc_id", "ids", "label"])
-
-    same = rows.mapInArrow(vectors, "doc_id bigint, ids binary, label int").groupBy("ids").agg(F.min("doc_id").alias("example"), F.count(F.lit(1)).alias("n"), F.sum("label").alias("toxic"))
-    examples = same.collect()  # at most `limit` rows
-    last = min((r["example"] for r in examples if not r["ids"]), default=-1)
-    index.none = (sum(r["toxic"] for r in examples if not r["ids"]), sum(r["n"] for r in examples if not r["ids"]))
-    examples = sorted((r for r in examples if r["ids"]), key=lambda r: (bytes(r["ids"]), r["example"]))
-    # The examples without terms are one vector: other words only.
-    index.matrix = np.zeros((len(examples) + 1, len(idf) + 1))
-    index.matrix[-1, -1] = 1
-    for i, r in enumerate(examples):
-        at, weight = counted(bytes(r["ids"]), idf)
-        index.matrix[i, at] = weight
-    examples = [(r["toxic"], r["n"], r["example"]) for r in examples] + [(*index.none, last)]
-    index.toxic, index.count = np.array([e[0] for e in examples], float), np.array([e[1] for e in examples], float)
-    index.example = np.array([e[2] for e in examples], dtype=np.int64)
-    return index
+    def learn(batches):
+        return vars(indexed([r for pdf in batches for r in zip(pdf["doc_id"], pdf["text"], pdf["label"], strict=True)]))
+
+    return Index(**learned(rows, learn, {}))
+
+
+def voted(index: Index, ids: np.ndarray, k: int) -> tuple[float, list[str]]:
+    """Score and evidence of a text's term ids."""
+    at, w = index.vector(ids)
+    base = (index.toxic.sum() + index.none[0]) / max(1.0, index.count.sum() + index.none[1])
+    if not len(at):
+        return float((index.none[0] + base) / (index.none[1] + 1.0)), []
+    rows, near = index.nearest(at, w, k)
+    votes = near**2
+    score = float((votes * index.toxic[rows] / index.count[rows]).sum() + base) / float(votes.sum() + 1)
+    return score, [f"{index.example[r]}:{c:.3f}" for r, c in zip(rows[:3], near[:3], strict=True)]
 
 
-def predict(docs: DataFrame, index: Index, *, k: int = 15, most_copies: int = 5) -> DataFrame:
+def predict(docs: DataFrame, index: Index, *, k: int = 15) -> DataFrame:
     """(doc_id, score, evidence) of every document; the evidence lists the
-    nearest examples as id:cosine. Equal examples vote as ``most_copies`` at most."""
-    vocabulary, idf = index.vocabulary, index.idf
-    toxic, count, example, none = index.toxic, index.count, index.example, index.none
-    base = toxic.sum() / max(1.0, count.sum())
-    plain = (none[0] + base) / (none[1] + 1.0)
+    nearest examples as id:cosine."""
 
     def work(batches):
         index.build()
-        memo = Memo(lambda chunk: tuple(vocabulary[t] for t in terms(chunk) if t in vocabulary))
+        memo = known(index.vocabulary)
+        judged: dict[bytes, tuple] = {}  # of copies within a task, by the text's digest
 
-        def judge(code: bytes):
-            rows, near = index.nearest(*counted(code, idf), k)
-            votes = near**2 * np.minimum(count[rows], most_copies)
-            score = float((votes * toxic[rows] / np.maximum(count[rows], 1)).sum() + base) / float(votes.sum() + 1)
-            return score, [f"{example[r]}:{c:.3f}" for r, c in zip(rows[:3], near[:3], strict=True)]
+        def judge(text: str | None):
+            key = hashlib.blake2b((text or "").encode("utf-8", "surrogatepass"), digest_size=16).digest()
+            if key not in judged:
+                if len(judged) >= 20_000:
+                    judged.clear()
+                judged[key] = voted(index, coded(text, memo), k)
+            return judged[key]
 
-        judged = Memo(judge, 20_000)
         for b in small(batches):
-            codes = [coded(text, memo) for text in b.column("text").to_pylist()]
-            out = [judged[c] if c else (plain, []) for c in codes]
+            out = [judge(text) for text in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x[0] for x in out], pa.float64()), pa.array([x[1] for x in out], pa.list_(pa.string()))], ["doc_id", "score", "evidence"])
 
     return pick(docs, doc_id="bigint", text="string").mapInArrow(work, SCHEMA)
