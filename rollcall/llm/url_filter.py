@@ -2,15 +2,19 @@
 
 The rules (host, path prefix) judge the URLs they fit; those verdicts label
 the training rows. The trees see lexical features only: lengths, depth, digit
-ratio, entropy, parameter counts and how often the host's suffix and the
-first path segment occur. Features are cut into at most 32 bins at their
+ratio, entropy, parameter counts, how often the host's suffix and the first
+path segment occur, and how labelled urls with them are judged, out of fold
+and only where several rules judge them (else a rate would repeat the rule
+that labels the row). Features are cut into at most 32 bins at their
 quantiles; equal rows of bins are one weighted row, and each level of a tree
 is one grouped sum of gradients over (leaf, feature, bin). Trees become
 column expressions. No Python runs on the rows.
 
 Defined results: null urls and those without ``://`` have empty host and path
 and no rule; their verdict is the trees' on the empty url. Without a labelled
-url of both kinds all unruled urls are allowed.
+url of both kinds all unruled urls are allowed. Repeated rows are judged
+alike, each on its own; long urls are read whole; rows without an id are
+judged as well. Of equally good cuts the first feature's smallest bin is taken.
 """
 
 from __future__ import annotations
@@ -94,13 +98,35 @@ def lexical(rows: DataFrame) -> tuple[DataFrame, list[str]]:
     return out, [f"f_{k}" for k in features]
 
 
+FOLDS = 5
+
+
+def fold() -> Column:
+    """The fold of a row, by the hash of its id and url."""
+    return F.pmod(F.xxhash64("page_id", "url"), F.lit(FOLDS))
+
+
 def statistics(rows: DataFrame) -> DataFrame:
     """How labelled urls of each suffix, and of each first path segment, are
-    judged, and how many urls have it: (kind, name, rate, count)."""
-    both = [rows.select(F.lit(k).alias("kind"), F.col(k).alias("name"), "ruled") for k in ("suffix", "segment")]
-    seen = both[0].union(both[1]).groupBy("kind", "name").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("ruled") == "block", 1)).alias("block"), F.count("ruled").alias("known"))
-    # Smoothed towards one half: an unknown name says nothing.
-    return seen.select("kind", "name", ((F.col("block") + 2) / (F.col("known") + 4)).alias("rate"), F.log1p(F.col("n").cast("double")).alias("count"))
+    judged, fold by fold, whether by several rules, and how many urls have it:
+    (kind, name, several, block, known, count)."""
+    both = [rows.select(F.lit(k).alias("kind"), F.col(k).alias("name"), "ruled", "rule", fold().alias("fold")) for k in ("suffix", "segment")]
+    in_fold = lambda c: F.array(*[F.count(F.when(c & (F.col("fold") == i), 1)) for i in range(FOLDS)])
+    return both[0].union(both[1]).groupBy("kind", "name").agg(
+        F.coalesce(F.min("rule") < F.max("rule"), F.lit(False)).alias("several"),
+        in_fold(F.col("ruled") == "block").alias("block"),
+        in_fold(F.col("ruled").isNotNull()).alias("known"),
+        F.log1p(F.count(F.lit(1)).cast("double")).alias("count"),
+    )
+
+
+def rate() -> Column:
+    """Share of blocked among a name's labelled urls, smoothed towards one half.
+    A labelled row doesn't see its own fold's labels, and a name that one rule
+    alone has judged says nothing but the rule: it has one half."""
+    own = F.when(F.col("ruled").isNotNull(), fold()).otherwise(F.lit(-1))
+    others = lambda c: F.aggregate(F.transform(c, lambda x, i: F.when(i == own, F.lit(0).cast("bigint")).otherwise(x)), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return F.when(F.col("several"), (others(F.col("block")) + 2) / (others(F.col("known")) + 4)).otherwise(F.lit(0.5))
 
 
 # ---- trees ------------------------------------------------------------------
@@ -199,8 +225,8 @@ def verdicts(pages: DataFrame) -> DataFrame:
     rows = keep(rows)
     stats = keep(statistics(rows))
     for kind in ("suffix", "segment"):
-        own = stats.filter(F.col("kind") == kind).select(F.col("name").alias(kind), F.col("rate").alias(f"f_{kind}_rate"), F.col("count").alias(f"f_{kind}_count"))
-        rows = rows.join(own, kind)
+        own = stats.filter(F.col("kind") == kind).select(F.col("name").alias(kind), "several", "block", "known", F.col("count").alias(f"f_{kind}_count"))
+        rows = rows.join(own, kind).withColumn(f"f_{kind}_rate", rate()).drop("several", "block", "known")
         features = [*features, f"f_{kind}_rate", f"f_{kind}_count"]
     model = fit(rows, features)
     if model is None:

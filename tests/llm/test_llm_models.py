@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from llm_fixtures import *  # noqa: F403
 
-from rollcall.llm import golay, language_id, packing, queries, secrets_crf, simhash, toxicity_knn
+from rollcall.llm import golay, language_id, packing, queries, secrets_crf, simhash, toxicity_knn, url_filter
 from rollcall.llm.components import components
 
 MID = "/root/testdata/sf0.01"
@@ -278,3 +278,34 @@ def test_patterns_hold_the_histogram():
             for length, (first, _, _) in packing.places(found).items():
                 assert first[0] == 0 and (np.diff(first) > 0).all() and first[-1] < histogram[length]
     assert packing.patterns({}) == []
+
+
+def test_urls_by_their_lexical_features(spark):
+    """Urls of one unruled host get different verdicts where the labelled ones
+    differ by digits, length, entropy and parameters, not by names."""
+    rng = np.random.default_rng(3)
+    words = ["garden", "music", "river", "winter", "market", "story"]
+    junk = lambda: "/" + rng.bytes(12).hex() + f"?id={rng.integers(10**9)}&s={rng.integers(10**9)}"
+    plain = lambda: "/" + "-".join(rng.choice(words, 2)) + "/"
+    rows = [f"https://shop{i % 7}.net{junk()}" for i in range(200)] + [f"https://example.net/en{plain()}" for _ in range(200)]
+    asked = [f"https://other.info{junk()}" for _ in range(40)] + [f"https://other.info{plain()}" for _ in range(40)]
+    pages = spark.createDataFrame([(i, u, "") for i, u in enumerate(rows + asked)], "page_id long, url string, html string")
+    got = {r.page_id: r for r in url_filter.query(pages).collect()}
+    assert len(got) == 480 and all(got[i].rule is None for i in range(400, 480))
+    assert np.mean([got[i].verdict == "block" for i in range(400, 440)]) > 0.9
+    assert np.mean([got[i].verdict == "allow" for i in range(440, 480)]) > 0.9
+
+
+def test_url_rates_hold_no_rows_own_label(spark):
+    rows = spark.createDataFrame([(i, f"u{i}", "a.b", "s", r, v) for i, (r, v) in enumerate([("x/", "block")] * 30 + [("y/", "allow")] * 10 + [(None, None)])] + [(99, "u", "one.rule", "t", "x/", "block")], "page_id long, url string, suffix string, segment string, rule string, ruled string")
+    stats = {r.name: r for r in url_filter.statistics(rows).filter("kind = 'suffix'").collect()}
+    joined = rows.join(url_filter.statistics(rows).filter("kind = 'suffix'").withColumnRenamed("name", "suffix"), "suffix").select("page_id", url_filter.fold().alias("fold"), "ruled", url_filter.rate().alias("rate"))
+    for r in joined.collect():
+        one = stats["a.b"]
+        block, known = sum(one.block), sum(one.known)
+        if r.page_id == 99:
+            assert r.rate == 0.5
+        elif r.ruled is None:
+            assert abs(r.rate - (block + 2) / (known + 4)) < 1e-12
+        else:
+            assert abs(r.rate - (block - one.block[r.fold] + 2) / (known - one.known[r.fold] + 4)) < 1e-12
