@@ -17,8 +17,15 @@ or no spaces), their lack says nothing and doesn't count against it there.
 Only DataFrame functions are used, within the row: no text is shuffled, only
 counts of words. The driver holds 7 + ``COMMON`` numbers a language.
 
+A language needs ``least_docs`` documents and ``least_words`` words for a
+reference; texts of smaller ones are judged by their characters against the
+others' references, not by their words.
+
 Defined results: null and empty texts have no words and fail the base rules.
-Without documents that name a language the distances are 0.
+Without a language of enough documents the distances are 0. Repeated rows
+count each and are judged alike; rows without an id or a language are judged
+as well; long texts are counted whole. Of equally common words the first in
+order is listed, of equally near languages the lesser class distance counts.
 """
 
 from __future__ import annotations
@@ -109,17 +116,17 @@ def features(docs: DataFrame) -> DataFrame:
     )
 
 
-def references(rows: DataFrame) -> dict[str, tuple[list[float], dict[str, float]]]:
+def references(rows: DataFrame, *, least_docs: int = 20, least_words: int = 1000) -> dict[str, tuple[list[float], dict[str, float]]]:
     """By language: shares of the character classes, and of its common words
-    among all words. At most languages x (classes + words) numbers."""
+    among all words. At most languages x (classes + words) numbers. Languages
+    of fewer documents or words have no reference."""
     known = rows.filter(F.col("lang").isNotNull())
-    total = known.groupBy("lang").agg(F.sum("n_words").alias("n"), F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES) + 1)]).alias("classes"))
+    enough = (F.count(F.when(F.col("n_words") > 0, 1)) >= least_docs) & (F.sum("n_words") >= least_words)
+    total = known.groupBy("lang").agg(enough.alias("enough"), F.sum("n_words").alias("n"), F.array(*[F.sum(F.col("classes")[i]) for i in range(len(CLASSES) + 1)]).alias("classes"))
     # The words counted in the rows include the commonest of every language.
     common = commonest(known.select("lang", F.explode("common").alias("x")).groupBy("lang", "x.word").agg(F.sum("x.n").alias("n")))
     found = {}
-    for r in total.collect():
-        if not r["n"]:
-            continue
+    for r in total.filter("enough").collect():
         chars = sum(r["classes"])
         found[r["lang"]] = ([c / chars for c in r["classes"]], {w: n / r["n"] for w, n in common.get(r["lang"], {}).items()})
     return found
@@ -169,6 +176,8 @@ def distances(rows: DataFrame, reference: dict, *, most_class: float = 0.28, mos
         one.append(F.struct(F.lit(lang).alias("lang"), F.array(*[F.lit(q) for q in classes]).alias("classes"), share.alias("common"), F.lit(float(sum(common.values()))).alias("listed"), F.lit(farthest(common)).alias("farthest")))
     chars = F.aggregate("classes", F.lit(0.0), add)
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    # Of a language that is named but has no reference, only the characters can be judged.
+    unlisted = F.coalesce(~F.col("lang").isin(*reference), F.lit(False))
 
     def measured(ref: Column) -> Column:
         by_class = F.aggregate(F.zip_with("_shares", ref["classes"], term), F.lit(0.0), add)
@@ -177,7 +186,7 @@ def distances(rows: DataFrame, reference: dict, *, most_class: float = 0.28, mos
         listed = F.aggregate(own, F.lit(0.0), lambda a, x: a + x["n"]) / n
         there = F.aggregate(own, F.lit(0.0), added(ref["common"], n))
         by_word = there + ref["listed"] / 2 + term(1 - listed, 1 - ref["listed"])
-        few = (n * ref["listed"] < least_common) & F.coalesce(F.col("lang") == ref["lang"], F.lit(False))
+        few = unlisted | (n * ref["listed"] < least_common) & F.coalesce(F.col("lang") == ref["lang"], F.lit(False))
         return F.struct(root(by_class).alias("class_distance"), root(by_word).alias("word_distance"), ref["farthest"].alias("farthest"), few.alias("few"))
 
     def judged_by(x: Column) -> Column:

@@ -309,3 +309,18 @@ def test_url_rates_hold_no_rows_own_label(spark):
             assert abs(r.rate - (block + 2) / (known + 4)) < 1e-12
         else:
             assert abs(r.rate - (block - one.block[r.fold] + 2) / (known - one.known[r.fold] + 4)) < 1e-12
+
+
+def test_a_language_of_one_document_is_no_reference(spark):
+    """Symbols under a language name of their own are judged like those
+    without one; clean words of a rare language stay."""
+    from rollcall.llm import quality_rules
+
+    rng = np.random.default_rng(5)
+    junk = " ".join("".join(rng.choice(list("#*$%&|<>{}~^"), 6)) for _ in range(400))
+    rare = " ".join("".join(rng.choice(list("abcdefghijklmnoprstuvz"), int(n))) for n in rng.integers(2, 9, 300))
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    odd = spark.createDataFrame([(-1, junk, "zz", "s", 0), (-2, junk, None, "s", 0), (-3, rare, "yy", "s", 0)], docs.schema.simpleString()[7:-1].replace(":", " "))
+    got = {r.doc_id: r for r in quality_rules.query(docs.unionByName(odd)).filter("doc_id < 0").collect()}
+    assert not any(got[i].base_failed for i in got) and not got[-1].kept and not got[-2].kept and got[-3].kept
+    assert got[-1].class_distance > 0.28
