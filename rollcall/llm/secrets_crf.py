@@ -1,11 +1,23 @@
 """Secrets in text: fixed patterns, and a linear-chain conditional random field.
 
 The patterns (``base_spans``) give the sure finds. The CRF tags every token as
-begin (B), inside (I) or outside (O) of a secret from its shape, the shapes
-of the two tokens before and the one after it, and features of the whole
-text; Viterbi decodes the best tags. It is trained here on windows around the
-patterns' finds and on windows of other text. What of its finds no pattern
-find covers is added as kind ``crf``.
+begin (B), inside (I) or outside (O) of a secret from its own shape, the
+shapes of the two tokens before and the one after it, hashed words around it,
+whether a word that names secrets is near before it, and features of the whole
+text; Viterbi decodes the best tags. What of its finds no pattern find covers is
+added as kind ``crf``.
+
+It is trained here on windows around the patterns' finds and on windows of other
+text. So that it learns what secrets look like and not the patterns again:
+
+* the weight of a shape is the sum of the weights of what it is made of (signs,
+  digits, cases, length, changes between them), which finds of one kind share
+  with secrets of others;
+* each window with a find also comes with its cue masked (the tokens before the
+  secret and after it become ordinary ones), with the secret cut to 10 to 23
+  characters, and with that after a naming word without signs between them;
+* windows of other text in which a value stands after a naming word without
+  being a pattern's find teach nothing: they may hold secrets.
 
 Viterbi runs only where it can matter: where O beats B and I at a token by
 more than any two transitions can give back, every best path has O there
@@ -13,13 +25,16 @@ more than any two transitions can give back, every best path has O there
 short runs between such tokens. The result is that of decoding whole texts.
 
 Defined results: null and empty texts have no spans. Offsets are code points,
-the end exclusive. Without training finds the CRF adds nothing.
+the end exclusive; texts of any length are tagged whole. Without training finds
+the CRF adds nothing. Rows without an id or with another's id are searched and
+learned from like any other; rows of one text teach once.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +53,18 @@ _ASSIGN = re.compile(rf"""({_ANY_CASE}|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")  # a run with at least 16 characters
 _HEX = re.compile(r"[0-9a-f]{32,}")
 
+_ASSIGNED = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s+/.\-]")
-_KEYWORD = re.compile(r"pass|pwd|secret|token|key|auth|cred|bearer|private", re.I)
-_ONLY_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
+_NAMING = ("pass", "pwd", "secret", "token", "key", "auth", "cred", "bearer", "private")  # parts of words that name secrets
+_NAMES = re.compile("|".join(_NAMING))
+_RUNS = re.compile(r"\d+|[a-z]+|[A-Z]+|[^\W\d_a-zA-Z]+")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     """(start, kind, end, start of the secret itself) of the patterns' finds, in order."""
     found = []
-    if ":" in text or "=" in text:
+    low = text.lower() if ":" in text or "=" in text else ""
+    if any(name in low for name in _ASSIGNED):
         found += [(m.start(), 0, m.end(), m.start(2)) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end(), m.start()) for m in _ACCESS.finditer(text)]
@@ -60,46 +78,99 @@ def listed(spans) -> str:
 
 # ---- features ---------------------------------------------------------------
 
-N_SHAPES = 64
-END = 0  # the shape beyond a text's ends
+END, NAMING = 0, 5  # the shapes beyond a text's ends, and of words that name secrets
+N_SHAPES = 6 + 8 * 2 * 4 * 3
+N_BINS = 256  # of hashed words; 0 is no word
+BEFORE, AFTER = 4, 1  # how many tokens around one count
+
+
+def coded(token: str) -> tuple[int, int]:
+    """A token's shape and word. Shapes: signs, naming words, and words by what they
+    hold, their length and how often digits and cases change in them."""
+    low = token.lower()
+    word = 1 + zlib.crc32(low.encode("utf-8", "surrogatepass")) % (N_BINS - 1)
+    length = len(token)
+    if length == 1 and not token.isalnum() and token not in "_+/.-":
+        return {"=": 1, ":": 2, '"': 3, "'": 3}.get(token, 4), word
+    letters = token.isalpha()
+    digits = 0 if letters else sum(map(str.isdigit, token))
+    if 2 < length < 24 and digits < 3 and _NAMES.search(low):
+        return NAMING, word
+    upper, lower = token != low, token != token.upper()
+    runs = _RUNS.findall(token) if digits or (upper and lower) else ()
+    # A capital before small letters is no change.
+    changes = max(0, len(runs) - 1 - (len(runs) > 1 and len(runs[0]) == 1 and runs[0].isupper()))
+    holds = (digits > 0) + 2 * lower + 4 * upper + 8 * (not letters and any(c in token for c in "+/_.-"))
+    size = (length >= 8) + (length >= 14) + (length >= 24)
+    return 6 + (holds * 4 + size) * 3 + (changes >= 2) + (changes >= 4), word
 
 
 def shape(token: str) -> int:
-    """One of 63 shapes: signs, keywords, and words by what they hold and their length."""
-    if len(token) == 1 and not token.isalnum() and token not in "_+/.-":
-        return {"=": 1, ":": 2, '"': 3, "'": 3}.get(token, 4)
-    if _KEYWORD.search(token) and len(token) < 24:
-        return 5
-    size = (len(token) >= 8) + (len(token) >= 14) + (len(token) >= 24)
-    digit, lower, upper = any(map(str.isdigit, token)), any(map(str.islower, token)), any(map(str.isupper, token))
-    if digit and (lower or upper) and _ONLY_HEX.fullmatch(token):
-        what = 0
-    elif any(c in "+/_" for c in token):
-        what = 1 + digit
-    elif digit:
-        what = 3 + lower + 2 * upper
-    elif upper and lower:
-        what = 7 + (not token[1:].islower())
-    elif upper:
-        what = 9
-    else:
-        what = 10
-    return 6 + 4 * what + size
-
-
-def shapes(chunk: str) -> bytes:
-    """Shapes of the tokens of a piece of text without white space."""
-    return bytes(shape(t) for t in _TOKEN.findall(chunk))
+    return coded(token)[0]
+
+
+def encoded(chunk: str) -> bytes:
+    """Two bytes, shape and word, for each token of a piece of text without white space."""
+    if chunk.isalpha():
+        return bytes(coded(chunk))
+    out = bytearray()
+    for token in _TOKEN.findall(chunk):
+        out += bytes(coded(token))
+    return bytes(out)
+
+
+def looked_up(text: str, memo: Memo) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shapes and words of the text's tokens, with the places beyond its ends,
+    and whether a naming word is among the tokens before each."""
+    both = b"".join((bytes(2 * BEFORE), *map(memo.__getitem__, text.split()), bytes(2 * AFTER)))
+    both = np.frombuffer(both, dtype=np.uint8).reshape(-1, 2)
+    return both[:, 0], both[:, 1], named(both[:, 0])
+
+
+def named(codes: np.ndarray) -> np.ndarray:
+    naming, cue = codes == NAMING, np.zeros(len(codes), dtype=np.uint8)
+    if naming.any():
+        for back in range(1, BEFORE + 1):
+            cue[back:] |= naming[:-back]
+    return cue
 
 
 def text_kind(text: str) -> int:
-    """Features of the whole text: it assigns values, names secrets, has several lines."""
-    return ("=" in text) + 2 * (_KEYWORD.search(text) is not None) + 4 * ("\n" in text)
+    """Features of the whole text: assigns values, names secrets, has several
+    lines, has signs of code, has addresses."""
+    low = text.lower()
+    return ("=" in text) + 2 * any(name in low for name in _NAMING) + 4 * ("\n" in text) + 8 * ("{" in text or ";" in text) + 16 * ("://" in text)
+
+
+# Tables of weights: which array they look into (shapes, words, cue), and how far from the token.
+LOOKS = {"own": (0, 0), "back": (0, -1), "back2": (0, -2), "next": (0, 1), "word": (1, -1), "word2": (1, -2), "word3": (1, -3), "word_next": (1, 1), "cue": (2, 0)}
+SIZES = (N_SHAPES, N_BINS, 2)
 
 
-def emissions(codes: np.ndarray, kind: int, w: dict) -> np.ndarray:
-    """Scores (token, tag); ``codes`` are shapes with two ends before and one after."""
-    return w["own"][codes[2:-1]] + w["back"][codes[1:-2]] + w["back2"][codes[:-3]] + w["next"][codes[3:]] + w["text"][kind]
+def _made_of() -> dict[str, np.ndarray]:
+    """What a token's own shape and the features of the text are made of (rows: values, columns: parts)."""
+    own = []
+    for code in range(N_SHAPES):
+        x = max(0, code - 6)
+        changes, size, holds = x % 3, x // 3 % 4, x // 12
+        digit, lower, upper, sign = (holds >> i & 1 for i in range(4))
+        mixed = digit and (lower or upper)
+        word = [digit, lower, upper, sign, mixed, lower and upper, digit and not mixed, size > 0, size > 1, size > 2, changes > 0, changes > 1,
+                mixed and size > 0, mixed and size > 1, changes > 0 and size > 0, changes > 1 and size > 1, sign and not digit]
+        own.append([code == i for i in range(6)] + [code >= 6 and bool(f) for f in word])
+    bits = [[True] + [bool(kind >> i & 1) for i in range(5)] for kind in range(32)]
+    return {"own": np.array(own, dtype=float), "text": np.array(bits, dtype=float)}
+
+
+MADE_OF = _made_of()
+# Shapes of values that a naming word before them makes suspect: digits and letters, 8 or more.
+_VALUE = (MADE_OF["own"][:, 6 + 12] > 0)
+
+
+def emissions(arrays: tuple, a: int, b: int, kind: int, w: dict) -> np.ndarray:
+    """Scores (token, tag) of the tokens from a to b."""
+    at = BEFORE + a, BEFORE + b
+    return sum(w[k][arrays[x][at[0] + d : at[1] + d]] for k, (x, d) in LOOKS.items()) + w["text"][kind]
 
 
 # ---- training ---------------------------------------------------------------
@@ -108,47 +179,77 @@ AROUND = 12
 BEYOND = -1  # the tag of places beyond a short text's end, which count for nothing
 
 
-def windows(text: str, memo: Memo, step: int) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """(shapes with their surroundings, tags, text kind) around each find, and
-    one window of ordinary text at every ``step`` tokens."""
+def windows(text: str, memo: Memo, step: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(shapes and words with their surroundings, tags, text kind) around each
+    find as it is, with its cue masked, cut to a shorter secret, and so without
+    the signs around it, and one window of ordinary text at every ``step`` tokens."""
     where = [m.span() for m in _TOKEN.finditer(text)]
-    codes = np.frombuffer(b"\0\0" + b"".join(map(memo.__getitem__, text.split())) + b"\0", dtype=np.uint8)
+    codes, words, cue = looked_up(text, memo)
     tags = np.zeros(len(where), dtype=np.int8)
     starts = np.array([a for a, _ in where], dtype=np.int64)
-    middles = []
+    found = {}
     for _, _, end, begin in base_spans(text):
         i, j = np.searchsorted(starts, begin), np.searchsorted(starts, end)
         i -= i == len(starts) or starts[i] > begin  # begins inside a token
         if i < j:
             tags[i], tags[i + 1 : j] = B, I
-            middles.append((i + j) // 2)
-    middles += range(AROUND, len(where), step)
+            found[int(i)] = int(j)
     size, kind, out = 2 * AROUND + 1, text_kind(text), []
-    if 0 < len(where) < size:  # one window, filled up with places beyond the text
-        gap = size - len(where)
-        return [(np.pad(codes, (0, gap)), np.pad(tags, (0, gap), constant_values=BEYOND), kind)]
-    for m in middles:
-        a = max(0, min(m - AROUND, len(where) - size))
-        if len(where):
-            out.append((codes[a : a + size + 3], tags[a : a + size], kind))
+    gap = max(0, size - len(where))  # a short text is filled up with places beyond it
+    codes, words = np.pad(codes, (0, gap)), np.pad(words, (0, gap))
+    suspect = np.append(_VALUE[codes] & (cue if not gap else np.pad(cue, (0, gap))).astype(bool), False)[BEFORE : BEFORE + len(where)] & (tags == O)
+    tags = np.pad(tags, (0, gap), constant_values=BEYOND)
+
+    def cut(m):
+        a = max(0, min(m - AROUND, len(tags) - size))
+        return codes[a : a + size + BEFORE + AFTER].copy(), words[a : a + size + BEFORE + AFTER].copy(), tags[a : a + size], kind
+
+    def altered(i, j, masked=(), shorter=False):
+        own, near, t, k = cut((i + j) // 2)
+        first = BEFORE - max(0, min((i + j) // 2 - AROUND, len(tags) - size))  # the place of the text's first token
+        around = [x + first for x in (*range(i - BEFORE, i), j) if 0 <= x + first < len(own)]
+        around = [x for x in around if own[x] != END and own[x] in masked]
+        own[around], near[around] = PLAIN, 0
+        if shorter:
+            token = text[where[i][0] : where[i][1]]
+            own[first + i] = shape(token[: 10 + zlib.crc32(token.encode("utf-8", "surrogatepass")) % 14])
+        return own, near, t, k & ~1 if NAMING not in masked else k & ~3
+
+    for i, j in found.items():
+        out += [cut((i + j) // 2), altered(i, j, EVERY), altered(i, j, (), True), altered(i, j, EVERY - {NAMING}, True)]
+    for m in range(min(AROUND, len(where) - 1), len(where), step):
+        a = max(0, min(m - AROUND, len(tags) - size))
+        inside = tags[a : a + size]
+        if not suspect[a : a + size].any() and not (inside > O).any():
+            out.append(cut(m))
     return out
 
 
-def trained(examples: list, rounds: int = 150, rate: float = 0.15, l2: float = 1e-3) -> dict:
+PLAIN = shape("plain")
+EVERY = frozenset(range(N_SHAPES))
+
+
+def trained(examples: list, rounds: int = 100, rate: float = 0.15, l2: float = 1e-3) -> dict:
     """Weights that maximise the windows' regularised conditional likelihood
     (forward-backward gradients, Adam steps)."""
-    codes, tags, kinds = (np.array([e[i] for e in examples]) for i in range(3))
+    codes, words, tags, kinds = (np.array([e[i] for e in examples]) for i in range(4))
     n, size = tags.shape
-    shapes_of = {"own": (0, N_SHAPES), "back": (0, N_SHAPES), "back2": (0, N_SHAPES), "next": (0, N_SHAPES), "text": (0, 8)}
-    w = {k: np.zeros((s[1], 3)) for k, s in shapes_of.items()} | {"step": np.zeros((3, 3))}
-    slices = {"own": codes[:, 2:-1], "back": codes[:, 1:-2], "back2": codes[:, :-3], "next": codes[:, 3:], "text": np.repeat(kinds[:, None], size, axis=1)}
+    arrays = codes, words, np.array([named(c) for c in codes])
+    slices = {k: arrays[x][:, BEFORE + d : BEFORE + d + size] for k, (x, d) in LOOKS.items()} | {"text": np.repeat(kinds[:, None], size, axis=1)}
+    sizes = {k: SIZES[x] for k, (x, _) in LOOKS.items()} | {"text": len(MADE_OF["text"])}
+    learned_of = {k: np.zeros((MADE_OF[k].shape[1] if k in MADE_OF else m, 3)) for k, m in sizes.items()} | {"step": np.zeros((3, 3))}
+
+    def tables():
+        return {k: MADE_OF[k] @ v if k in MADE_OF else v for k, v in learned_of.items()}
+
     there = tags != BEYOND
     tags = np.where(there, tags, O)
     one_hot = np.eye(3)[tags]
     seen_step = (np.eye(9)[3 * tags[:, :-1] + tags[:, 1:]] * there[:, 1:, None]).sum(axis=(0, 1)).reshape(3, 3)
-    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in learned_of.items()}
     # Finds are rare among the windows' tokens: nothing is reweighted, the transitions carry their length.
     for r in range(1, rounds + 1):
+        w = tables()
         e = sum(w[k][slices[k]] for k in slices)
         forward, backward, scale = np.empty_like(e), np.empty_like(e), np.exp(w["step"])
         x = np.exp(e - e.max(axis=2, keepdims=True))
@@ -168,14 +269,16 @@ def trained(examples: list, rounds: int = 150, rate: float = 0.15, l2: float = 1
         off = ((one_hot - p) * there[:, :, None]).reshape(-1, 3)
         for k in slices:
             at = slices[k].reshape(-1)
-            gradient[k] = np.stack([np.bincount(at, off[:, y], minlength=len(w[k])) for y in range(3)], axis=1)
+            g = np.stack([np.bincount(at, off[:, y], minlength=sizes[k]) for y in range(3)], axis=1)
+            gradient[k] = MADE_OF[k].T @ g if k in MADE_OF else g
         for k, g in gradient.items():
-            g = g / n - l2 * w[k]
-            m, v = moments[k]
+            v = learned_of[k]
+            g = g / n - l2 * v
+            m, q = moments[k]
             m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            w[k] += rate * (m / (1 - 0.9**r)) / (np.sqrt(v / (1 - 0.99**r)) + 1e-8)
-    return w
+            q += 0.01 * (g * g - q)
+            v += rate * (m / (1 - 0.9**r)) / (np.sqrt(q / (1 - 0.99**r)) + 1e-8)
+    return tables()
 
 
 def with_finds(docs: DataFrame) -> DataFrame:
@@ -202,13 +305,13 @@ def fit(docs: DataFrame, *, limit: int = 4000, most_windows: int = 6000) -> dict
     rows = positive.unionByName(rest)
 
     def learn(batches):
-        memo, examples = Memo(shapes), []
+        memo, examples = Memo(encoded), []
         for pdf in batches:
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
                 examples += [(doc_id, i, x) for i, x in enumerate(windows(text, memo, 400))]
-        examples.sort(key=lambda e: (not (e[2][1] == B).any(), e[1] > 2, hashlib.md5(str(e[0]).encode()).digest(), e[1]))
+        examples.sort(key=lambda e: (not (e[2][2] == B).any(), e[1] > 2, hashlib.md5(str(e[0]).encode()).digest(), e[1]))
         examples = [x for *_, x in examples[:most_windows]]
-        found = any((tags == B).any() for _, tags, _ in examples)
+        found = any((tags == B).any() for _, _, tags, _ in examples)
         return trained(examples) if found else None
 
     return learned(rows, learn, None)
@@ -245,26 +348,32 @@ def slack(step: np.ndarray) -> float:
 
 class Tagger:
     def __init__(self, w: dict):
-        self.w, self.memo, self.slack = w, Memo(shapes), slack(w["step"])
+        self.w, self.memo, self.slack = w, Memo(encoded), slack(w["step"])
         rivals = np.maximum  # of O: the better of B and I, feature by feature, is a bound of both
-        self.lead = {k: (w[k][:, O] - rivals(w[k][:, B], w[k][:, I])).astype(np.float32) for k in ("own", "back", "back2", "next", "text")}
+        self.lead = {k: (w[k][:, O] - rivals(w[k][:, B], w[k][:, I])).astype(np.float32) for k in (*LOOKS, "text")}
+        # The least that all but a token's own shape, the cue and the text can add.
+        self.least = sum(float(self.lead[k].min()) for k in LOOKS if k not in ("own", "cue"))
 
     def tags(self, text: str) -> np.ndarray | None:
         """The tags of the text's tokens; None if all are O."""
-        codes = np.frombuffer(b"\0\0" + b"".join(map(self.memo.__getitem__, text.split())) + b"\0", dtype=np.uint8)
-        n = len(codes) - 3
+        arrays = looked_up(text, self.memo)
+        n = len(arrays[0]) - BEFORE - AFTER
         if n <= 0:
             return None
-        kind, lead = text_kind(text), self.lead
-        sure = lead["own"][codes[2:-1]] + lead["back"][codes[1:-2]] + lead["back2"][codes[:-3]] + lead["next"][codes[3:]] + lead["text"][kind] > self.slack + 1e-3
-        if sure.all():
+        kind, lead, need = text_kind(text), self.lead, self.slack + 1e-3
+        own = (lead["own"][arrays[0][BEFORE:-AFTER]] + lead["cue"][arrays[2][BEFORE:-AFTER]]) + lead["text"][kind]
+        maybe = np.nonzero(own + self.least <= need)[0]
+        for k, (x, d) in LOOKS.items():
+            if k not in ("own", "cue") and len(maybe):
+                own[maybe] += lead[k][arrays[x][maybe + BEFORE + d]]
+        open_at = maybe[own[maybe] <= need]
+        if not len(open_at):
             return None
-        open_at = np.nonzero(~sure)[0]
         runs = np.split(open_at, np.nonzero(np.diff(open_at) > 1)[0] + 1)
         out = np.zeros(n, dtype=np.int8)
         for run in runs:
             a, b = int(run[0]), int(run[-1]) + 1
-            e = emissions(codes[a : b + 3], kind, self.w)
+            e = emissions(arrays, a, b, kind, self.w)
             out[a:b] = viterbi(e, self.w["step"], O if a else None, O if b < n else None)
         return out if out.any() else None
 
