@@ -5,15 +5,22 @@ and triples. Each language is described by several centroids (spherical
 k-means over its training documents); a document gets the language of the
 centroid with the largest cosine.
 
-Rejection: hashed bins collide, so the cosine of a text in no known language
-grows with its length. What is compared instead is the share of the text's
-character triples, by 32-bit hashes, that the training documents of its
-language hold; it doesn't depend on the length. The bound is learned from the
-shares of the training documents themselves, each against the others.
+Rejection is by distance: that of the text to its centroid, 1 minus their cosine
+on the grams of the text. For it grams are told apart by 32 bits, for hashed bins
+collide, and the cosine of a text in no known language would grow with its
+length. Grams that the language doesn't know count in the text's vector with the
+largest weight and meet nothing. Only the text's own grams count in the centroid,
+so that short texts are as near as long ones. Each centroid has its own bound,
+learned from the documents it was made of. A second guard is the share of the
+text's character triples that the training documents of its language hold, which
+doesn't depend on the length either: random letters make known pairs.
 
 Defined results: null text, or a text without any letter: ``und``, score 0,
-rejected. No training documents: every text is ``und``. Whole texts are used.
-A text that shares no triple with its language is always rejected.
+rejected. No training documents: every text is ``und``. Whole texts are used,
+however long. A text that shares no triple with its language is always rejected.
+Rows without an id, or with another's, are judged like any other; none without an
+id is learned from. Of centroids at equal cosine the first in the order of the
+languages' names counts; equal texts get equal results.
 """
 
 from __future__ import annotations
@@ -104,12 +111,69 @@ def known_triples(own: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray,
     return values[held >= least], bound
 
 
+def weighed(values: np.ndarray, counts: np.ndarray, grams: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """A text's known grams (their places in ``grams``), their TF-IDF, and the
+    length of its vector with all others, which weigh most."""
+    tf = np.log1p(counts)
+    at = np.minimum(np.searchsorted(grams, values), len(grams) - 1)
+    there = grams[at] == values
+    x = tf[there] * idf[at[there]]
+    return at[there], x, float(np.sqrt((x**2).sum() + ((tf[~there] * idf[-1]) ** 2).sum()))
+
+
+def nearness(found: tuple[np.ndarray, np.ndarray, float], centre: np.ndarray) -> float:
+    """1 - distance: the cosine on the text's grams; 0 for a text without any."""
+    at, x, size = found
+    c = centre[at]
+    length = size * float(np.sqrt((c**2).sum()))
+    return float(x @ c) / length if length > 0 else 0.0
+
+
+def exact_centres(own_grams: list[tuple[np.ndarray, np.ndarray]], belongs: np.ndarray, langs: np.ndarray, n_centres: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(grams, idf with that of all others at its end, centres on them, the least
+    nearness that each centre accepts) of the training documents' grams and centres.
+
+    A gram counts if one in a hundred documents of some language holds it."""
+    kept = [np.zeros(0, np.uint32)]
+    for lang in sorted(set(langs)):
+        own = [own_grams[i][0] for i in np.nonzero(langs == lang)[0]]
+        values, held = np.unique(np.concatenate(own), return_counts=True)
+        for least in (max(2, len(own) // 100), 2, 1):
+            if (held >= least).any():
+                break
+        kept.append(values[held >= least])
+    grams = np.unique(np.concatenate(kept))
+    if not len(grams):
+        return grams, np.ones(1), np.zeros((n_centres, 0), np.float32), np.full(n_centres, 2.0)
+    df = np.zeros(len(grams))
+    for values, _ in own_grams:
+        at = np.minimum(np.searchsorted(grams, values), len(grams) - 1)
+        df[at[grams[at] == values]] += 1
+    idf = np.append(np.log((1 + len(own_grams)) / (1 + df)) + 1, np.log(1 + len(own_grams)) + 1)
+    found = [weighed(v, n, grams, idf) for v, n in own_grams]
+    centres = np.zeros((n_centres, len(grams)))
+    for (at, x, size), k in zip(found, belongs, strict=True):
+        centres[k, at] += x / max(size, 1e-12)
+    near = np.array([nearness(f, centres[k]) for f, k in zip(found, belongs, strict=True)])
+    bounds = np.full(n_centres, 2.0)
+    for k in set(belongs.tolist()):
+        # Half of what is usual: noisy documents don't lower it, a centre of few documents isn't stricter.
+        bounds[k] = max(float(np.median(near[belongs == k])) / 2, 1e-9)
+    return grams, idf, unit(centres).astype(np.float32), bounds
+
+
+def counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    values, counts = np.unique(short_hashes(hashes), return_counts=True)
+    return values, counts.astype(np.uint32)
+
+
 def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 8000, clusters: int = 4, bins: int = 4096) -> dict:
     """Centroids learned from at most ``per_language`` documents of each
     language, ``limit`` in all (the documented bounds of the fit).
 
-    Returns a small dict: idf, centres, the language of each centre, and by
-    language its known triples and the least share of them that it accepts.
+    Returns a small dict: idf, centres, the language of each centre, by
+    language its known triples and the least share of them that it accepts, and
+    the centres on exact grams with the least nearness that each accepts.
     """
     named = pick(docs, doc_id="bigint", lang="string").filter(may_learn & F.col("lang").isNotNull())
     # A language may hold most rows: the smallest hashes of each of its 64 parts, then of those.
@@ -120,14 +184,15 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
     rows = bounded_examples(docs, chosen, "doc_id", "lang", limit)
 
     def learn(batches):
-        raw, langs, ids, triples = [], [], [], []
+        raw, langs, ids, triples, grams = [], [], [], [], []
         for pdf in batches:
             pdf = pdf[[has_letter(t) for t in pdf["text"]]]
             for at in range(0, len(pdf), 64):
                 part = pdf.iloc[at : at + 64]
                 both = [pairs_and_triples(t) for t in part["text"]]
                 raw.append(vectors(both, bins, None).astype(np.float16))
-                triples += [(v, n.astype(np.uint32)) for v, n in (np.unique(short_hashes(three), return_counts=True) for _, three in both)]
+                triples += [counted(three) for _, three in both]
+                grams += [counted(np.concatenate(b)) for b in both]
                 langs += part["label"].tolist()
                 ids += part["doc_id"].tolist()
         if not ids:
@@ -136,15 +201,17 @@ def fit(docs: DataFrame, may_learn, *, per_language: int = 1500, limit: int = 80
         m, langs = np.concatenate(raw)[order].astype(np.float32), np.array(langs, dtype=object)[order]
         idf = (np.log((1 + len(m)) / (1 + (m > 0).sum(axis=0))) + 1).astype(np.float32)
         m = unit(m * idf)
-        triples = [triples[i] for i in order]
+        triples, grams = ([x[i] for i in order] for x in (triples, grams))
         centres, names, known = [], [], {}
+        belongs = np.zeros(len(m), dtype=np.int64)
         for lang in sorted(set(langs)):
             own = m[langs == lang]
             c = clustered(own, clusters)
+            belongs[langs == lang] = len(names) + (own @ c.T).argmax(axis=1)
             centres.append(c)
             names += [lang] * len(c)
             known[lang] = known_triples([triples[i] for i in np.nonzero(langs == lang)[0]])
-        return {"bins": bins, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "langs": names, "known": known}
+        return {"bins": bins, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "langs": names, "known": known, "exact": exact_centres(grams, belongs, langs, len(names))}
 
     return learned(rows, learn, {})
 
@@ -161,9 +228,11 @@ def judged(whole: list, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray
         best = cosine.argmax(axis=1)
         score[rows] = np.clip(cosine[np.arange(len(rows)), best], 0, 1)
         pred[rows] = [model["langs"][b] for b in best]
-        for i, (_, three) in zip(rows, both, strict=True):
+        grams, gram_idf, centres, bounds = model["exact"]
+        for i, (two, three), k in zip(rows, both, best, strict=True):
             known, least = model["known"][pred[i]]
-            rejected[i] = share_in(known, short_hashes(three)) < least
+            far = share_in(known, short_hashes(three)) < least
+            rejected[i] = far or nearness(weighed(*counted(np.concatenate((two, three))), grams, gram_idf), centres[k]) < bounds[k]
     return pred, score, rejected
 
 

@@ -64,6 +64,68 @@ def test_language_rejects_the_unlike_at_any_length(spark):
     assert np.mean(language_id.judged(texts, model)[2]) < 0.01
 
 
+def test_language_distance_is_stable_over_lengths(spark):
+    """Pieces of 5 to 2,000 words of known languages are nearer than the bound
+    of their centroid, texts in no known language of any length farther, by
+    distance alone."""
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    from pyspark.sql import functions as F
+
+    model = language_id.fit(docs, F.lit(True))
+    grams, idf, centres, bounds = model["exact"]
+
+    def near(text):
+        found = language_id.weighed(*language_id.counted(np.concatenate(language_id.pairs_and_triples(text))), grams, idf)
+        return np.array([language_id.nearness(found, c) for c in centres])
+
+    words = " ".join(r.text for r in docs.filter("lang = 'en'").orderBy("doc_id").limit(200).collect()).split()
+    known = {n: np.mean([(near(" ".join(words[a : a + n])) >= bounds).any() for a in range(0, 40 * n, n) if a + n <= len(words)]) for n in (5, 20, 100, 2000)}
+    assert min(known.values()) > 0.97, known
+    rng = np.random.default_rng(8)
+    for first, size in ((0x3B1, 25), (0x430, 32), (0x4E00, 3000), (ord("a"), 26)):
+        for n in (5, 100, 10_000):
+            text = " ".join("".join(chr(x) for x in rng.integers(first, first + size, rng.integers(2, 10))) for _ in range(n))
+            assert (near(text) < bounds).all(), (chr(first), n)
+
+
+def test_language_vectors_and_centres_by_hand():
+    """Weights, centres and nearness on exact grams against plain arithmetic."""
+    from collections import Counter
+    from math import log, log1p, sqrt
+
+    texts = ["abab cd", "abab ce", "xyz xyz xy", "xyz w", "abab cd cd"]
+    belongs, langs = np.array([0, 0, 1, 1, 0]), np.array(["a", "a", "b", "b", "a"], dtype=object)
+    pairs = [language_id.pairs_and_triples(t) for t in texts]
+    own = [language_id.counted(np.concatenate(p)) for p in pairs]
+    grams, idf, centres, bounds = language_id.exact_centres(own, belongs, langs, 2)
+    bags = [Counter(language_id.short_hashes(np.concatenate(p)).tolist()) for p in pairs]
+    held = Counter(g for b in bags for g in b)
+    often = {g for lang in "ab" for g, n in Counter(g for b, x in zip(bags, langs, strict=True) if x == lang for g in b).items() if n >= 2}
+    assert often == set(grams.tolist())
+
+    def vector(bag):
+        v = {g: log1p(c) * (log(6 / (1 + held[g])) + 1 if g in often else log(6) + 1) for g, c in bag.items()}
+        size = sqrt(sum(x * x for x in v.values()))
+        return {g: x / size for g, x in v.items()}
+
+    centre = [Counter(), Counter()]
+    for b, k in zip(bags, belongs, strict=True):
+        for g, x in vector(b).items():
+            if g in often:
+                centre[k][g] += x
+    for k in (0, 1):
+        size = sqrt(sum(x * x for x in centre[k].values()))
+        assert np.allclose(centres[k], [centre[k][g] / size for g in grams.tolist()])
+    for text in (*texts, "abab zz", "q"):
+        p = language_id.pairs_and_triples(text)
+        v = vector(Counter(language_id.short_hashes(np.concatenate(p)).tolist()))
+        for k in (0, 1):
+            c = {g: centre[k][g] for g in v if centre[k][g]}
+            want = sum(v[g] * x for g, x in c.items()) / sqrt(sum(x * x for x in c.values())) if c else 0.0
+            got = language_id.nearness(language_id.weighed(*language_id.counted(np.concatenate(p)), grams, idf), centres[k])
+            assert abs(got - want) < 1e-5
+
+
 def test_language_noise_in_the_sample_keeps_the_bound():
     rng = np.random.default_rng(9)
     words = ["".join(chr(97 + x) for x in rng.integers(0, 26, 5)) for _ in range(80)]
