@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rollcall import schema as S
 from rollcall.operators.clean import clean_export
-from rollcall.plans.reconcile import reconcile_zone
+from rollcall.plans.reconcile import Counters, reconcile_zone, row_keys
 from rollcall.session import case_sensitive, written_table
 from rollcall.sources import files, snapshots
 
@@ -62,7 +62,11 @@ def run_zone(
     the version before; the whole table where the clean changed its rows and
     columns, where it had no status yet, and after ``snapshots.MAX_LAYERS``
     layers. ``run_id`` becomes part of the commit, so a caller that retries can
-    tell whether the run took effect."""
+    tell whether the run took effect.
+
+    The first run that writes a layer stores the rows' keys with it; later ones
+    read them and those of the layers since, and don't scan the table for keys.
+    The counters are taken while the tables are written."""
     version = snapshots.latest_version(spark, base)
     if version is None:
         raise ValueError(f"No snapshot under {base}; ingest the export first")
@@ -71,17 +75,34 @@ def run_zone(
     data_cols = [c for c in current.columns if c not in (S.GEN, S.ORD)]
     do_clean = should_clean(data_cols, clean)
     missing = S.missing_keep_columns(data_cols) if do_clean else []
-    hook = _checkpointer(spark)
+    hook, counters = _checkpointer(spark), Counters()
+    whole = do_clean or not S.is_prepared(data_cols) or S.GEN not in current.columns or len(below.chain) > snapshots.MAX_LAYERS
+    unique = below.unique_emails and not do_clean
+    keyed = snapshots.stored_keys(spark, base, below) if unique else None
+    attempt = snapshots.new_attempt(spark, base, version + 1)
+    storing = not whole and keyed is None
+
+    def store_keys(df: DataFrame) -> DataFrame:
+        df.write.parquet(snapshots.keys_path(base, attempt))
+        return spark.read.parquet(snapshots.keys_path(base, attempt))
+
     try:
         with case_sensitive(spark):
             userbase = clean_export(current) if do_clean else current
-            run = reconcile_zone(userbase, roster, add, zone=zone, gen=version + 1, materialize=hook, unique_emails=below.unique_emails and not do_clean)
-            summary = run.summary.first().asDict()
-            if do_clean or not S.is_prepared(data_cols) or S.GEN not in current.columns or len(below.chain) > snapshots.MAX_LAYERS:
+            run = reconcile_zone(
+                userbase, roster, add, zone=zone, gen=version + 1, materialize=hook, unique_emails=unique,
+                keyed=keyed, keep_keys=store_keys if storing else None, counters=counters,
+            )
+            if whole:
                 snapshots.write_snapshot(run.table, base, version + 1, run_id, unique_emails=True)
             else:
-                layer = snapshots.Layer(run.changed, run.removed, run.kept_new)
-                snapshots.write_layer(spark, layer, base, version + 1, run_id, unique_emails=True)
+                layer = snapshots.Layer(run.changed, run.removed, run.kept_new, keys_of=row_keys)
+                snapshots.write_layer(spark, layer, base, version + 1, run_id, unique_emails=True, attempt=attempt, keys=storing)
+            summary = counters.summary(run.zone)
+    except BaseException:
+        if snapshots.latest_version(spark, base) == version:
+            snapshots.drop_attempt(spark, base, attempt)
+        raise
     finally:
         hook.cleanup()  # the committed snapshot doesn't depend on them
     return RunResult(

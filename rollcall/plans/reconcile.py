@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rollcall import schema as S
@@ -49,6 +49,36 @@ SUMMARY_COLUMNS = [
 ]
 
 
+class Counters:
+    """Counts taken of rows while a job writes them, so that no job of its own
+    counts them again. Each is taken in the last stage of a write, whose tasks
+    Spark counts once even if an executor is lost and they run again."""
+
+    def __init__(self):
+        self.taken: list[Observation] = []
+
+    def of(self, df: DataFrame, **counts: Column) -> DataFrame:
+        seen = Observation()
+        self.taken.append(seen)
+        return df.observe(seen, *[e.alias(n) for n, e in counts.items()])
+
+    def summary(self, zone: str) -> dict:
+        """The counters of a run all of whose tables are written."""
+        n: dict = {}
+        for seen in self.taken:
+            n.update(seen.get)
+        if "in_zone" in n:
+            n["not_found"] = n["in_zone"] - n["referenced"]
+        n["newly_added"] = n.get("usable_add", 0) - n.get("skipped_existing", 0)
+        return {c: zone if c == "zone" else n.get(c, 0) for c in SUMMARY_COLUMNS}
+
+
+def row_keys(ub: DataFrame) -> DataFrame:
+    """What matching needs of each row: its place, its three keys and its zone.
+    None of it changes from run to run."""
+    return match.with_norm_keys(ub).select(S.GEN, S.ORD, match.E, match.G, match.L, S.ZONE)
+
+
 @dataclass
 class ZoneRun:
     zone: str
@@ -94,6 +124,9 @@ def reconcile_zone(
     gen: int = 1,
     materialize=None,
     unique_emails: bool = False,
+    keyed: DataFrame | None = None,
+    keep_keys=None,
+    counters: Counters | None = None,
 ) -> ZoneRun:
     """Reconcile one zone. ``gen`` stamps appended rows and must exceed every
     ``_gen`` already in the userbase so they sort after it.
@@ -106,8 +139,15 @@ def reconcile_zone(
     the costliest per row) and lineage is cut at a reliable copy.
 
     ``unique_emails`` states that no two userbase rows share a normalised email
-    (a run before left it so): the dedupe then looks at appended emails only."""
+    (a run before left it so): the dedupe then looks at appended emails only.
+
+    ``keyed`` is ``row_keys`` of the userbase where a run before stored it: the
+    userbase is then not scanned for its keys. Otherwise ``keep_keys``, if given,
+    is applied to it instead of ``materialize``. ``counters`` takes the counts
+    while the tables are written (by ``materialize``, and ``table`` or
+    ``changed`` by the caller, once)."""
     keep = materialize or (lambda df: df)
+    counted = counters.of if counters else (lambda df, **_: df)
     ub = prepare_userbase(userbase)
     S.require_columns(roster, (S.GLOBAL_ID, S.EMAIL), "Zones roster tab")
     if S.ORD not in roster.columns:
@@ -124,12 +164,21 @@ def reconcile_zone(
     # Userbase keys (narrow), matched over the whole userbase: cross-zone hits count.
     # Each key row carries its row's zone membership, so the counters never
     # need to join the wide userbase again.
-    keyed_u = keep(match.with_norm_keys(ub).select(S.GEN, S.ORD, match.E, match.G, match.L, in_zone(S.ZONE, zone).alias(INZ)))
+    if keyed is None:
+        keyed = row_keys(ub)
+        if not unique_emails:
+            keyed = counted(keyed, in_zone=F.count_if(in_zone(S.ZONE, zone)))
+        keyed = (keep_keys or keep)(keyed)
+    elif counters and not unique_emails:
+        raise ValueError("stored keys are those of a table with unique emails")
+    keyed_u = keyed.select(S.GEN, S.ORD, match.E, match.G, match.L, in_zone(S.ZONE, zone).alias(INZ))
     keys_u = match.key_index(keyed_u, S.GEN, S.ORD, INZ)
 
     # Roster keys, with the action class carried per row.
+    usable = valid_email(S.EMAIL)
+    counted_r = counted(roster, bad_roster_emails=F.count_if(~usable), blank_actions=F.count_if(usable & (action_class(act_col) == ACT_NOOP)))
     keyed_r = match.with_norm_keys(
-        roster_valid.withColumns({match.RID: F.col(S.ORD), match.ACT: action_class(act_col)})
+        clean.valid_rows(counted_r).withColumns({match.RID: F.col(S.ORD), match.ACT: action_class(act_col)})
     )
     keys_r = match.key_index(keyed_r, match.RID, match.ACT)
 
@@ -138,7 +187,8 @@ def reconcile_zone(
     add_valid = None
     if add is not None:
         add_valid = clean.valid_rows(add)
-        keyed_a = match.with_norm_keys(add_valid.withColumn(match.RID, F.col(S.ORD)))
+        counted_a = counted(add, bad_add_emails=F.count_if(~usable), usable_add=F.count_if(usable))
+        keyed_a = match.with_norm_keys(clean.valid_rows(counted_a).withColumn(match.RID, F.col(S.ORD)))
         keys_a = match.key_index(keyed_a, match.RID).select(
             F.lit("a").alias("_src"), match.RID, F.lit(None).cast("string").alias(match.ACT), match.TIER, match.KEY
         )
@@ -157,10 +207,13 @@ def reconcile_zone(
 
     # First hitting tier per probe row, roster and add list in one aggregate.
     probe_hot = skew.hot_keys(probe_n, keys_tk, match.N, per_task)
-    hits = keep(match.cascade_match(probe, exists, "_src", match.RID, match.ACT, hot=probe_hot))
+    hits = match.cascade_match(probe, exists, "_src", match.RID, match.ACT, hot=probe_hot)
+    hits = keep(counted(hits, skipped_existing=F.count_if(F.col("_src") == "a")))
     winners = hits.filter(F.col("_src") == "r").drop("_src")
     flags = match.key_flags(winners)
-    rflags = keep(match.row_flags(meets(keys_u, exists, keys_tk), flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, match.N, per_task)))
+    rflags = match.row_flags(meets(keys_u, exists, keys_tk), flags, INZ, hot=skew.hot_keys(exists_n, keys_tk, match.N, per_task))
+    gone = F.col(match.D)
+    rflags = keep(counted(rflags, validated=F.count_if(F.col(match.V) & ~gone), removed=F.count_if(gone), referenced=F.count_if(F.col(INZ))))
 
     decided = update.with_row_decisions(ub, rflags.drop(INZ), zone)
 
@@ -186,10 +239,12 @@ def reconcile_zone(
     if appended is not None:
         new = match.with_norm_keys(appended).select(S.GEN, S.ORD, e).filter(F.col(e) != "")
         rows = (near(survivors, new, [e]) if unique_emails else survivors).union(new)
-    dups = keep(duplicate_rows(rows, e, materialize=keep))
+    dups = keep(counted(duplicate_rows(rows, e, materialize=keep), dedupe_removed=F.count(F.lit(1))))
 
     old = "_old"
     staying = update.apply_status(update.remove_rows(decided).withColumn(old, F.col(S.STATUS))).join(dups, [S.GEN, S.ORD], "left_anti")
+    if unique_emails:  # only appended rows are copies, so all rows not found stay
+        staying = counted(staying, not_found=F.count_if(update.NF))
     table = staying.select(*[S.qcol(c) for c in columns])
     changed = staying.filter(F.col(S.STATUS) != F.col(old)).select(S.GEN, S.ORD, S.STATUS)
     copies = dups.filter(F.col(S.GEN) != gen).select(S.GEN, S.ORD)

@@ -2,7 +2,8 @@
 
     <base>/data/<attempt>/     parquet of one attempt to write a version: a whole
                                table, or a layer of changes in three folders
-                               (status, removed, appended)
+                               (status, removed, appended) and the appended rows' keys
+    <base>/keys/<attempt>/     the keys of all rows as that attempt found them
     <base>/commits/<N>.json    version N: its attempt, the whole table and the layers
                                it is read from, and the run that made it
 
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -84,33 +86,40 @@ def latest_version(spark: SparkSession, base: str) -> int | None:
 
 MAX_LAYERS = 8
 STATUS_ROWS, REMOVED_ROWS, APPENDED_ROWS = "status", "removed", "appended"
+APPENDED_KEYS = "appended_keys"
 
 
 @dataclass
 class Layer:
     """What a run changes: new statuses ``(_gen, _ord, status)``, rows that go
-    ``(_gen, _ord)``, and rows that come, with the columns of the table."""
+    ``(_gen, _ord)``, and rows that come, with the columns of the table.
+    ``keys_of`` makes the keys of the rows that come, where keys are stored."""
 
     status: DataFrame
     removed: DataFrame
     appended: DataFrame | None
+    keys_of: Callable | None = None
 
 
 @dataclass
 class Commit:
-    """``chain``: the attempt that holds a whole table, then layers in order."""
+    """``chain``: the attempt that holds a whole table, then layers in order.
+    ``keys``: the attempt that holds the keys of all rows as they were below the
+    layer ``keys_at`` of the chain; None where no run has stored them."""
 
     version: int
     data: str
     run: str | None
     chain: list[str]
     unique_emails: bool
+    keys: str | None = None
+    keys_at: int | None = None
 
 
 def read_commit(spark: SparkSession, base: str, version: int) -> Commit:
-    schema = "data string, run string, chain array<string>, unique_emails boolean"
+    schema = "data string, run string, chain array<string>, unique_emails boolean, keys string, keys_at int"
     row = spark.read.schema(schema).json(_commit_path(base, version)).first()
-    return Commit(version, row["data"], row["run"], row["chain"] or [row["data"]], bool(row["unique_emails"]))
+    return Commit(version, row["data"], row["run"], row["chain"] or [row["data"]], bool(row["unique_emails"]), row["keys"], row["keys_at"])
 
 
 def _data(base: str, attempt: str, part: str = "") -> str:
@@ -147,6 +156,27 @@ def merged(spark: SparkSession, base: str, chain: list[str]) -> DataFrame:
     return merged_rows.select(*[new if c == S.STATUS else S.qcol(c) for c in columns])
 
 
+def keys_path(base: str, attempt: str) -> str:
+    """Where an attempt stores the keys of the rows that it found."""
+    return f"{base.rstrip('/')}/keys/{attempt}"
+
+
+def stored_keys(spark: SparkSession, base: str, commit: Commit) -> DataFrame | None:
+    """The keys of the rows of a version, if a run has stored them: those found
+    then, without the rows that later layers removed, and with the keys of
+    those that they appended. The table itself isn't read."""
+    if commit.keys is None:
+        return None
+    keys = spark.read.parquet(keys_path(base, commit.keys))
+    for attempt in commit.chain[commit.keys_at :]:
+        keys = keys.unionByName(spark.read.parquet(_data(base, attempt, APPENDED_KEYS)))
+    removed = None
+    for attempt in commit.chain[commit.keys_at :]:
+        rows = spark.read.parquet(_data(base, attempt, REMOVED_ROWS))
+        removed = rows if removed is None else removed.union(rows)
+    return keys if removed is None else keys.join(removed, [S.GEN, S.ORD], "left_anti")
+
+
 def read_snapshot(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """The given version, or the latest committed one."""
     if version is None:
@@ -156,15 +186,22 @@ def read_snapshot(spark: SparkSession, base: str, version: int | None = None) ->
     return merged(spark, base, read_commit(spark, base, version).chain)
 
 
-def _commit(spark: SparkSession, base: str, version: int, attempt: str, chain: list[str], run_id: str | None, unique_emails: bool) -> None:
-    text = json.dumps({"version": version, "data": attempt, "run": run_id, "chain": chain, "unique_emails": unique_emails})
+def _commit(spark: SparkSession, base: str, version: int, attempt: str, chain: list[str], run_id: str | None, unique_emails: bool, keys: str | None = None, keys_at: int | None = None) -> None:
+    text = json.dumps({"version": version, "data": attempt, "run": run_id, "chain": chain, "unique_emails": unique_emails, "keys": keys, "keys_at": keys_at})
     if not write_once(spark, _commit_path(base, version), text):
-        fs, jvm = _fs(spark, base)
-        fs.delete(jvm.org.apache.hadoop.fs.Path(_data(base, attempt)), True)
+        drop_attempt(spark, base, attempt)
         raise ValueError(f"version {version} was committed under {base} by another writer")
 
 
-def _attempt(spark: SparkSession, base: str, version: int) -> str:
+def drop_attempt(spark: SparkSession, base: str, attempt: str) -> None:
+    """Remove what an attempt that isn't committed has written."""
+    fs, jvm = _fs(spark, base)
+    for path in (_data(base, attempt), keys_path(base, attempt)):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def new_attempt(spark: SparkSession, base: str, version: int) -> str:
+    """The name of an attempt to write a version that isn't taken yet."""
     if version in versions(spark, base):
         raise ValueError(f"version {version} already committed under {base}")
     return f"v={version}-{uuid.uuid4().hex[:12]}"
@@ -175,22 +212,30 @@ def write_snapshot(df: DataFrame, base: str, version: int, run_id: str | None =
     Raises if the version is taken, whoever took it and when. ``unique_emails``
     states that no two rows share a normalised email."""
     spark = df.sparkSession
-    attempt = _attempt(spark, base, version)
+    attempt = new_attempt(spark, base, version)
     df.write.mode("errorifexists").parquet(_data(base, attempt))
     _commit(spark, base, version, attempt, [attempt], run_id, unique_emails)
     return _data(base, attempt)
 
 
-def write_layer(spark: SparkSession, layer: Layer, base: str, version: int, run_id: str | None = None, unique_emails: bool = False) -> str:
-    """Write what changed since the version before and commit it as ``version``."""
-    below = read_commit(spark, base, version - 1).chain
-    attempt = _attempt(spark, base, version)
+def write_layer(
+    spark: SparkSession, layer: Layer, base: str, version: int, run_id: str | None = None, unique_emails: bool = False, attempt: str | None = None, keys: bool = False
+) -> str:
+    """Write what changed since the version before and commit it as ``version``.
+
+    ``keys`` states that the caller has stored the keys of the rows of the version
+    before under ``keys_path(base, attempt)``. Keys stored by a run before stay in use."""
+    below = read_commit(spark, base, version - 1)
+    attempt = attempt or new_attempt(spark, base, version)
     appended = layer.appended
     if appended is None:
-        appended = merged(spark, base, below).limit(0)
+        appended = merged(spark, base, below.chain).limit(0)
     for part, rows in ((STATUS_ROWS, layer.status), (REMOVED_ROWS, layer.removed), (APPENDED_ROWS, appended)):
         rows.write.mode("errorifexists").parquet(_data(base, attempt, part))
-    _commit(spark, base, version, attempt, [*below, attempt], run_id, unique_emails)
+    if keys or (below.keys and layer.keys_of):
+        layer.keys_of(spark.read.parquet(_data(base, attempt, APPENDED_ROWS))).write.mode("errorifexists").parquet(_data(base, attempt, APPENDED_KEYS))
+    stored = (attempt, len(below.chain)) if keys else (below.keys, below.keys_at) if layer.keys_of else (None, None)
+    _commit(spark, base, version, attempt, [*below.chain, attempt], run_id, unique_emails, *stored)
     return _data(base, attempt)
 
 

@@ -110,3 +110,56 @@ def test_a_version_as_delimited_text(spark):
     want = snapshots.read_snapshot(spark, base)
     assert back.columns[:-2] == [c for c in want.columns if c not in (S.GEN, S.ORD)]
     assert _rows(back.drop(S.GEN, S.ORD)) == _rows(want.drop(S.GEN, S.ORD))
+
+
+def test_keys_are_stored_once_and_follow_the_layers(spark, monkeypatch):
+    """The second zone reads the keys that the first one stored, with the rows
+    that went and came since, and does not scan the userbase for keys."""
+    from rollcall.plans import reconcile
+
+    base = scratch_path(spark, "keys")
+    jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
+    roster, second, add = derived.roster(spark, SF_SMALL), derived.roster_second_zone(spark, SF_SMALL), derived.add_list(spark, SF_SMALL)
+    assert snapshots.stored_keys(spark, base, snapshots.read_commit(spark, base, 0)) is None
+    jobs.run_zone(spark, base, roster, add, zone="AMERICA")
+    scans, row_keys = [], reconcile.row_keys
+    monkeypatch.setattr(reconcile, "row_keys", lambda ub: scans.append(ub) or row_keys(ub))
+    jobs.run_zone(spark, base, second, add.limit(3), zone="EUROPE")
+    jobs.run_zone(spark, base, roster, add, zone="AMERICA")
+    assert scans == []
+    for v in (1, 2, 3):
+        commit = snapshots.read_commit(spark, base, v)
+        keys = snapshots.stored_keys(spark, base, commit)
+        assert commit.keys_at == 1 and commit.keys == commit.chain[1]
+        assert _rows(keys) == _rows(row_keys(snapshots.read_snapshot(spark, base, v))), v
+        plan = keys._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan  # few rows went: they are broadcast
+
+
+def test_counters_taken_while_writing_equal_the_summary(spark):
+    """Observed counters against the summary as a job of its own, with and
+    without an add list, unique emails, and rows that match nothing."""
+    base = scratch_path(spark, "counters")
+    jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
+    roster, second, add = derived.roster(spark, SF_SMALL), derived.roster_second_zone(spark, SF_SMALL), derived.add_list(spark, SF_SMALL)
+    nobody = roster.limit(0)
+    runs = [(roster, add, "AMERICA"), (nobody, None, "ASIA"), (second, add, "EUROPE")]
+    for v, (r, a, z) in enumerate(runs):
+        hook = written_table(spark, "counters-test")
+        want = reconcile_zone(hook(snapshots.read_snapshot(spark, base, v)), r, a, zone=z, gen=v + 1, materialize=hook).summary.first().asDict()
+        assert jobs.run_zone(spark, base, r, a, zone=z).summary == want, v
+        hook.cleanup()
+
+
+def test_a_run_that_fails_leaves_no_attempt(spark, monkeypatch):
+    base = scratch_path(spark, "failing").replace("file://", "")
+    jobs.ingest(spark, base, derived.userbase(spark, SF_SMALL))
+
+    def fails(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    before = os.listdir(f"{base}/data")
+    monkeypatch.setattr(snapshots, "write_layer", fails)
+    with pytest.raises(RuntimeError, match="lost"):
+        jobs.run_zone(spark, base, derived.roster(spark, SF_SMALL), None, zone="AMERICA")
+    assert os.listdir(f"{base}/data") == before
