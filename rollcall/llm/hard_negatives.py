@@ -15,15 +15,17 @@ labels whose score lies in the window under the positive's. Both keep a bounded
 number of candidates per block, of which windows by anchor take the first.
 
 Defined results: rows with a null id or label, a null vector or a component
-that is null, not finite or of 2**53 or more when scaled (no exact whole number)
-take no part. Rows of one id count once: the smallest (label, vector) stands for
-them. A vector shorter than the others is filled with zeros. Equal scores go by
-the smaller id. Scores beyond 64 bits are compared exactly, but returned as null.
+that is null or not finite (also once scaled) take no part. Rows of one id count
+once: the smallest (label, vector) stands for them. A moved label is the
+remainder from 0 to 9. A vector shorter than the others is filled with zeros.
+Equal scores go by the smaller id. Scores beyond 64 bits are compared exactly,
+but returned as null.
 Empty tables give no rows. Further columns of the input are not used.
 """
 
 from __future__ import annotations
 
+import contextlib
 import math
 
 import numpy as np
@@ -41,15 +43,16 @@ LOW, HIGH, OF = 50, 95, 100  # a negative's score lies between these hundredths
 
 EXACT = 1 << 24  # whole numbers up to here are exact in float32
 AT_ONCE = 4096  # products that are summed up in float32
+FEWER = (64, 4)  # where the score needs more primes than there are for so many
 COMPONENTS = 1 << 20  # of a block of rows; a block of anchors has half of them
 TILE = 1 << 22  # scores that are held at a time
 
 
-def primes(size: int, bound: int) -> list[int]:
+def primes(size: int, bound: int, at_once: int = AT_ONCE) -> list[int]:
     """Primes so small that the sums of ``size`` products of centred residues
     are exact in float32, and so many that their product exceeds twice the bound."""
     found: list[int] = []
-    p = 2 * math.isqrt(EXACT // max(64, min(size, AT_ONCE))) + 1
+    p = 2 * math.isqrt(EXACT // max(min(64, at_once), min(size, at_once))) + 1
     while math.prod(found) <= 2 * bound:
         p -= 1
         if p < 3:
@@ -59,8 +62,16 @@ def primes(size: int, bound: int) -> list[int]:
     return found
 
 
+def basis(size: int, bound: int) -> tuple[list[int], int]:
+    """The primes, and how many products are summed up at once."""
+    for at_once in (AT_ONCE, *FEWER[:-1]):
+        with contextlib.suppress(ValueError):
+            return primes(size, bound, at_once), at_once
+    return primes(size, bound, FEWER[-1]), FEWER[-1]
+
+
 def centred(matrix: np.ndarray, p: int) -> np.ndarray:
-    """Residues modulo p from -(p-1)/2 to (p-1)/2, as float32."""
+    """Residues modulo p from -(p-1)/2 to (p-1)/2, as float32 (of large float64, too, they are exact)."""
     rest = np.mod(matrix, p)
     return np.where(rest > p // 2, rest - p, rest).astype(np.float32)
 
@@ -74,29 +85,39 @@ def scores(left: np.ndarray, right: np.ndarray, bound: int) -> np.ndarray:
     """Inner products of the rows of two matrices of whole numbers, exact, none
     beyond ``bound``: int64, or Python integers where the bound is wide."""
     size = left.shape[1]
-    basis, digits, radix = primes(size, bound), [], 1
-    total = np.zeros((len(left), len(right)), object if is_wide(bound) else np.int64)
-    for k, p in enumerate(basis):
+    (moduli, at_once), digits, radix = basis(size, bound), [], 1
+    total = np.zeros((len(left), len(right)), object if math.prod(moduli) >= 1 << 63 else np.int64)
+    for k, p in enumerate(moduli):
         a, b = centred(left, p), centred(right, p)
         rest = np.zeros(total.shape, np.int64)
-        for at in range(0, size, AT_ONCE):
-            rest += (a[:, at : at + AT_ONCE] @ b[:, at : at + AT_ONCE].T).astype(np.int64)
+        for at in range(0, size, at_once):
+            rest += (a[:, at : at + at_once] @ b[:, at : at + at_once].T).astype(np.int64)
         # Mixed radix: the next digit is what the digits before leave over, divided by the primes before.
         weight = 1
-        for q, digit in zip(basis[:k], digits, strict=True):
+        for q, digit in zip(moduli[:k], digits, strict=True):
             rest -= digit * weight
             weight = weight * q % p
         digit = rest % p * pow(weight, -1, p) % p
         digits.append(digit)
         total += digit.astype(total.dtype) * radix
         radix *= p
-    return np.where(total > radix // 2, total - radix, total)
+    return np.where(total > radix // 2, total - radix, total).astype(object if is_wide(bound) else np.int64, copy=False)
+
+
+def coded(score: int, bound: int) -> str:
+    """A score that may not fit 64 bits, as hexadecimal digits that sort like the scores."""
+    return f"{score + bound:0{len(f'{2 * bound:x}')}x}"
+
+
+def decoded(score: str, bound: int) -> int:
+    return int(score, 16) - bound
 
 
 def matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
     """The vectors as rows, filled with zeros up to ``size``."""
     flat = column.combine_chunks()
-    out = np.zeros((len(flat), size), np.int64)
+    wide = pa.types.is_floating(flat.type.value_type)
+    out = np.zeros((len(flat), size), np.float64 if wide else np.int64)
     lengths = np.diff(flat.offsets.to_numpy())
     out[np.arange(size) < lengths[:, None]] = flat.flatten().to_numpy(zero_copy_only=False)
     return out
@@ -127,7 +148,8 @@ class Blocks:
 
     @staticmethod
     def _dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumns({own: F.pmod(F.xxhash64("vec_id"), F.lit(n)), other: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))})
+        # Both sides' keys have one type: cogroup shuffles by their hashes, which differ between int and bigint.
+        return df.withColumns({own: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"), other: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))})
 
     def each(self, anchors: DataFrame, work, schema: str) -> DataFrame:
         queries = self._dealt(anchors, "anchors", self.of_anchors, "rows", self.of_rows)
@@ -145,19 +167,24 @@ def mine(embeddings: DataFrame, every: int = EVERY, positives: int = POSITIVES,
     spark = embeddings.sparkSession
     keep, result = written_table(spark, "hard-negatives"), written_table(spark, "hard-negatives-result")
     plain = pick(embeddings, vec_id="bigint", embedding="array<double>", label="bigint").dropna()
-    fits = F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x * SCALE) < float(1 << 53)), F.lit(False)))
+    fits = F.forall("embedding", lambda x: F.coalesce(F.abs(x * SCALE) < float("inf"), F.lit(False)))
+    # From 2**53 on every double is a whole number, which a bigint may not hold.
+    whole = lambda x: F.when(F.abs(x * SCALE) < float(1 << 53), F.floor(x * SCALE).cast("double")).otherwise(x * SCALE)
     moved = F.when(F.col("vec_id") % MOVED == 0, F.pmod(F.col("label") + 1, F.lit(LABELS))).otherwise(F.col("label"))
-    vectors = plain.filter(fits).select("vec_id", moved.alias("label"), F.transform("embedding", lambda x: F.floor(x * SCALE)).alias("vector"))
+    vectors = plain.filter(fits).select("vec_id", moved.alias("label"), F.transform("embedding", whole).alias("vector"))
     one = vectors.groupBy("vec_id").agg(F.min(F.struct("label", "vector")).alias("row")).select("vec_id", "row.label", "row.vector")
     try:
         used = keep(one)
         is_anchor = F.col("vec_id") % every == 0
         largest = F.array_max(F.transform("vector", lambda x: F.abs(x)))
         seen = used.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_anchor).alias("anchors"), F.max(F.size("vector")).alias("size"), F.max(largest).alias("most")).first()
-        size, most = seen["size"] or 0, seen["most"] or 0
+        size, most = seen["size"] or 0, int(seen["most"] or 0)
         bound = max(1, size * most * most)
-        kind, name = (pa.decimal128(38, 0), "decimal(38,0)") if is_wide(bound) else (pa.int64(), "bigint")
-        narrow = "smallint" if most < 1 << 15 else "int" if most < 1 << 31 else "bigint"
+        wide = is_wide(bound)
+        kind, name = (pa.string(), "string") if wide else (pa.int64(), "bigint")
+        sent = (lambda score: coded(score, bound)) if wide else int
+        got = (lambda score: decoded(score, bound)) if wide else int
+        narrow = "smallint" if most < 1 << 15 else "int" if most < 1 << 31 else "bigint" if most < 1 << 53 else "double"
         used = used.withColumn("vector", F.col("vector").cast(f"array<{narrow}>"))
         blocks = Blocks(used, seen["n"], seen["anchors"], size)
         anchors = used.filter(is_anchor)
@@ -168,7 +195,7 @@ def mine(embeddings: DataFrame, every: int = EVERY, positives: int = POSITIVES,
             for ids, labels, at, row in tiles(rows, queries, size, bound):
                 found = np.flatnonzero((labels == own[at]) & (ids != names[at]))
                 found = found[np.argsort(-row[found], kind="stable")[:positives]]
-                out += [(names[at], i, s) for i, s in zip(ids[found].tolist(), row[found].tolist(), strict=True)]
+                out += [(names[at], i, sent(s)) for i, s in zip(ids[found].tolist(), row[found].tolist(), strict=True)]
             columns = list(zip(*out, strict=True)) or [[]] * 3
             return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], kind)], ["anchor_id", "positive_id", "positive_score"])
 
@@ -181,7 +208,7 @@ def mine(embeddings: DataFrame, every: int = EVERY, positives: int = POSITIVES,
             names, own, wanted = (queries.column(c).to_pylist() for c in ("vec_id", "label", "targets"))
             out: list = []
             for ids, labels, at, row in tiles(rows, queries, size, bound):
-                goals = [(t["positive_id"], int(t["positive_score"])) for t in wanted[at]]
+                goals = [(t["positive_id"], got(t["positive_score"])) for t in wanted[at]]
                 windows = [(-(-LOW * s // OF), HIGH * s // OF) for _, s in goals]
                 widest = (row >= min(w[0] for w in windows)) & (row <= max(w[1] for w in windows))
                 near = np.flatnonzero((labels != own[at]) & widest)
@@ -191,7 +218,7 @@ def mine(embeddings: DataFrame, every: int = EVERY, positives: int = POSITIVES,
                     start = int(np.searchsorted(fallen, -high))
                     for i in near[start : start + negatives].tolist():
                         if row[i] >= low:
-                            out.append((names[at], goal, int(ids[i]), score, int(row[i])))
+                            out.append((names[at], goal, int(ids[i]), sent(score), sent(int(row[i]))))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), kind, kind)
             return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"])
@@ -199,8 +226,11 @@ def mine(embeddings: DataFrame, every: int = EVERY, positives: int = POSITIVES,
         schema = f"anchor_id bigint, positive_id bigint, negative_id bigint, positive_score {name}, negative_score {name}"
         found = blocks.each(keep(anchors.join(targets, "vec_id")), in_window, schema)
         mined = first(found, ["anchor_id", "positive_id"], "negative_score", "negative_id", negatives)
-        long = [F.expr(f"try_cast({c} as bigint)").alias(c) for c in ("positive_score", "negative_score")]
-        return result(mined.select("anchor_id", "positive_id", "rank", "negative_id", *long))
+        columns = ["positive_score", "negative_score"]
+        if wide:
+            long = F.udf(lambda s: n if -(1 << 63) <= (n := decoded(s, bound)) < 1 << 63 else None, "bigint")
+            mined = mined.withColumns({c: long(c) for c in columns})
+        return result(mined.select("anchor_id", "positive_id", "rank", "negative_id", *columns))
     finally:
         keep.cleanup()
 

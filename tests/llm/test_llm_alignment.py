@@ -162,6 +162,25 @@ def test_mined_with_ties_and_hot_vectors(spark, tmp_path):
     assert wider.columns == list(MINED) and sorted(tuple(r[c] for c in MINED) for r in wider.collect()) == want
 
 
+def test_mined_in_blocks_of_several_tasks(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(int(i), [float(x) for x in rng.integers(-40, 90, 8) / 256], int(rng.integers(0, 4))) for i in range(4000)], VECTORS)
+    want = duck_mined(spark, df, tmp_path)
+    with conf_scope(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        assert sorted(tuple(r[c] for c in MINED) for r in H.query(df).collect()) == want and len(want) > 1000
+
+
+@pytest.mark.parametrize(("kind", "factor"), [("float", 2.0**70), ("float", 2.0**117), ("double", 2.0**900)])
+def test_mined_huge_components(spark, kind, factor):
+    rows = [(50, [3.0, 1.0], 1), (1, [2.0, 1.0], 1), (2, [1.0, 1.0], 2), (3, [1.5, 1.5], 2), (4, [9.0, 9.0], 2), (5, [2.0, -1.0], 2)]
+    huge = spark.createDataFrame([(i, [x * factor for x in e], label) for i, e, label in rows], f"vec_id bigint, embedding array<{kind}>, label int")
+    found = H.query(huge).collect()
+    assert sorted((r.anchor_id, r.positive_id, r["rank"], r.negative_id) for r in found) == [(50, 1, 1, 3), (50, 1, 2, 5), (50, 1, 3, 2)]
+    one = spark.createDataFrame([(i, e, label) for i, e, label in rows] + [(6, [factor, factor], 2), (7, [-factor, 0.0], 1)], huge.schema)
+    got = sorted((r["rank"], r.negative_id, r.positive_score, r.negative_score) for r in H.query(one).collect() if r.positive_id == 1)
+    assert got == [(1, 3, 7 << 16, 6 << 16), (2, 5, 7 << 16, 5 << 16), (3, 2, 7 << 16, 4 << 16)]
+
+
 def test_mined_odd_tables(spark):
     assert H.query(spark.createDataFrame([], VECTORS)).count() == 0
     assert H.query(spark.createDataFrame([(50, [0.1], 1)], VECTORS)).count() == 0
