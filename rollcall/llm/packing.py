@@ -46,7 +46,8 @@ class Words:
     Plain words (Latin letters, perhaps with signs behind) go through the same
     merges in ``tiktoken``, whose merging is faster: its ranks are the ids of
     the vocabulary, in which merged tokens stand in the order of their merges,
-    and ``\\x01`` marks the end of a word. Everything else goes to the tokenizer.
+    and ``\\x01`` marks the end of a word. Everything else goes to the tokenizer;
+    signs behind words, which recur with ever other words, do so once.
     """
 
     PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*|<>]*)")
@@ -55,6 +56,7 @@ class Words:
     def __init__(self, vocabulary: str):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         model = json.loads(vocabulary)["model"]
+        self.signs = Memo(self.whole)
         self.merges = self._merges(model) if model["type"] == "BPE" and model["end_of_word_suffix"] == self.END_OF_WORD else None
 
     def _merges(self, model: dict) -> tiktoken.Encoding | None:
@@ -78,7 +80,7 @@ class Words:
         if not plain:
             return self.whole(part)
         ids = array("I", self.merges.encode_ordinary(plain[1].lower() + "\x01")).tobytes()
-        return ids + self.whole(plain[2]) if plain[2] else ids
+        return ids + self.signs[plain[2]] if plain[2] else ids
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()

@@ -155,6 +155,16 @@ def test_plain_words_as_tokenizer():
         assert words(w) == words.whole(w), w
 
 
+def test_signs_behind_words_are_encoded_once(monkeypatch):
+    words = packing.Words(open(packing.vocabulary_path(), encoding="utf-8").read())
+    seen, whole = [], words.whole
+    tails = [".", ",", "?!", "...", "$%&", "|<>", "#"]
+    want = {f"word{'abcdefghij'[i]}{s}": whole(f"word{'abcdefghij'[i]}{s}") for s in tails for i in range(10)}
+    monkeypatch.setattr(words.signs, "compute", lambda s: seen.append(s) or whole(s))
+    monkeypatch.setattr(words, "whole", lambda s: seen.append(s) or whole(s))
+    assert {w: words(w) for w in want} == want and seen == tails
+
+
 def test_quality_rules(spark, texts):
     rows = queries.op7_quality_rules(spark, SF).collect()
     for r in rows:
