@@ -166,6 +166,29 @@ def test_toxicity_recall_and_calibration():
         assert abs(score[part].mean() - toxic[part].mean()) < 0.25
 
 
+def test_nearest_of_texts_together():
+    """As found one by one, whichever terms are kept as dense rows, and by sums over all examples."""
+    rng = np.random.default_rng(5)
+    words = ["a", "Ab_cd", "four4", "fivesix-sevens", "ŒUVRES", "İstanbul", "x٣y²", "ﬁnding", *(f"wo{i * 7919 % 1000}rd{i}" for i in range(200))]
+    share = 1 / np.arange(1, len(words) + 1)
+    texts = [" ".join(rng.choice(words, int(n), p=share / share.sum())) for n in rng.integers(1, 60, 700)]
+    index = toxicity_knn.indexed([(i, x, int(rng.random() < 0.3)) for i, x in enumerate(texts[:500])]).build()
+    memo = toxicity_knn.known(index.vocabulary)
+    for x in {c for t in texts for c in t.split()}:
+        assert sorted(np.frombuffer(memo[x], np.int32)) == sorted(index.vocabulary[t] for t in toxicity_knn.terms(x) if t in index.vocabulary)
+    vectors = [index.vector(toxicity_knn.coded(x, memo)) for x in [*texts[450:], "", "unknown"]]
+    whole = np.zeros((len(index), len(index.weight)))
+    whole[np.repeat(np.arange(len(index)), np.diff(index.starts)), index.terms] = index.values
+    for cells in (toxicity_knn.CELLS, 0, 20 * len(index)):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(toxicity_knn, "CELLS", cells)
+            index.build()
+        for (at, w), (rows, near) in zip(vectors, index.nearest_of(vectors, 9), strict=True):
+            cosines = np.round(whole[:, at] @ w, 9)
+            want = sorted((-c, e) for c, e in zip(cosines, index.example, strict=True) if c > 0)[:9]
+            assert [(-c, e) for c, e in zip(np.round(near, 9), index.example[rows], strict=True)] == want
+
+
 def test_nearest_is_exact():
     """The k nearest, their cosines and the votes against all examples, with
     equal vectors, ties and words that no example holds."""
